@@ -24,8 +24,25 @@ SNAPSHOT_DAYS = 7
 RUN_ID = "20240131000000-0badcafe"
 
 
+# FIXED VALUES: columns and types of the tables that are read. Giving the schema saves the
+# inference job of every read.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def choose(selector: Column, cases: dict, otherwise: Column) -> Column:
@@ -38,8 +55,13 @@ def choose(selector: Column, cases: dict, otherwise: Column) -> Column:
     return branches.otherwise(otherwise)
 
 
+def _padded(text: Column, width: int) -> Column:
+    """Zero-padded on the left; longer text is kept whole."""
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
 def _numbered(prefix: str, column: Column) -> Column:
-    return F.format_string(f"{prefix}%08d", column)
+    return F.concat(F.lit(prefix), _padded(column.cast("string"), 8))
 
 
 # --- feeds -----------------------------------------------------------------------------
@@ -171,12 +193,14 @@ def silver_weather(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def trip_enriched(spark: SparkSession, folder: str) -> DataFrame:
+    keys = contracts.conform(bronze_trips(spark, folder), m.TRIP_CONTRACT.fields, once=False)
     return enrich.enrich_trips(
         contracts.accepted(judged_trips(spark, folder)),
         contracts.accepted(judged_payments(spark, folder)),
         silver_stations(spark, folder),
         silver_weather(spark, folder),
         m.ENRICHED_COLUMNS,
+        keys=keys,
     )
 
 
@@ -188,8 +212,10 @@ def snapshot_of(day: Column) -> Column:
 # --- run history and evidence ----------------------------------------------------------
 
 
-def run_id_of(number: Column) -> Column:
-    return F.format_string("%014d-%08x", number, number)
+def run_id_of(number: Column | str) -> Column:
+    number = F.col(number) if isinstance(number, str) else number
+    decimal, hexadecimal = number.cast("string"), F.lower(F.hex(number))
+    return F.concat_ws("-", _padded(decimal, 14), _padded(hexadecimal, 8))
 
 
 def runs(spark: SparkSession, folder: str) -> DataFrame:

@@ -65,15 +65,9 @@ def bronze_provenance(spark: SparkSession, folder: str) -> DataFrame:
 def ingest_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Manifest of the table files themselves."""
     names = ("customer", "events", "lineitem", "orders")
-    parts = []
-    for name in names:
-        path = f"{folder}/{name}.parquet"
-        rows = spark.read.parquet(path)
-        parts.append(files.file_manifest(spark, rows, [path], F.lit(name), folder))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionAll(part)
-    return result
+    feeds = {name: d.table(spark, folder, name) for name in names}
+    paths = {name: [f"{folder}/{name}.parquet"] for name in names}
+    return files.file_manifest(spark, feeds, paths, folder)
 
 
 @query

@@ -11,10 +11,12 @@ from pyspark.sql import types as T
 
 from lakegate.functions import casting
 from lakegate.operators import joins
-from lakegate.sources.staging import stage
+from lakegate.sources.staging import stage_measured
 
 REASON = "rejection_reason"
 
+SAFE_KINDS = ("key", "enum", "number", "timestamp")
+
 Predicate = Callable[["RuleContext"], Column]
 
 
@@ -120,11 +122,14 @@ def _any(conditions) -> Column:
 # --- operators -------------------------------------------------------------------------
 
 
-def conform(df: DataFrame, fields: Sequence[Field], *, whole_date: bool = True) -> DataFrame:
+def conform(
+    df: DataFrame, fields: Sequence[Field], *, whole_date: bool = True, once: bool = True
+) -> DataFrame:
     """Type the contract columns and keep every other column (provenance) as it is.
 
     Safe kinds turn bad values into NULL; every other kind is a SQL type cast strictly, so
-    under ANSI mode a bad value stops the job.
+    under ANSI mode a bad value stops the job. With ``once`` the parsed columns can be
+    filtered without parsing them again; without it, unused ones are not parsed at all.
     """
 
     def typed(field: Field) -> Column:
@@ -144,7 +149,20 @@ def conform(df: DataFrame, fields: Sequence[Field], *, whole_date: bool = True)
 
     names = {field.name for field in fields}
     rest = [name for name in df.columns if name not in names]
-    return df.select(*[typed(field).alias(field.name) for field in fields], *rest)
+    result = df.select(*[typed(field).alias(field.name) for field in fields], *rest)
+    safe = any(field.kind in SAFE_KINDS for field in fields)
+    return evaluated_once(result) if safe and once else result
+
+
+def evaluated_once(df: DataFrame) -> DataFrame:
+    """Keep filters above the parsing of these columns.
+
+    A filter on parsed columns would be pushed below the projection with every parsing
+    expression copied into it, once per use: the trip contract then parses each timestamp
+    several times per row. Predicates do not pass a generator, and this one stays inside the
+    same generated code.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -168,6 +186,7 @@ def attach_key_counts(
     df: DataFrame,
     counts: Mapping[str, str],
     *,
+    keys_only: DataFrame | None = None,
     limit: int = joins.BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
     """Add, per key column, the number of rows sharing its value (NULL for a NULL key).
@@ -175,10 +194,10 @@ def attach_key_counts(
     This is a windowed count without the window: a window would sort every row of a hot key
     in one task. Only repeated keys are joined back. They are staged and measured; a small
     set is broadcast and the rows are not shuffled at all, a large one is joined with its
-    hottest keys salted.
+    hottest keys salted. ``keys_only`` may give the same keys by a cheaper route.
     """
-    repeats = stage(key_counts(df, list(counts)), "key-counts")
-    size = joins.content_bytes({"repeats": repeats})["repeats"]
+    source = df if keys_only is None else keys_only
+    repeats, size = stage_measured(key_counts(source, list(counts)), "key-counts")
     result = df if size <= limit else joins.with_row_id(df)
     for key, output in counts.items():
         of_key = repeats.where(F.col("key_name") == key).select(
@@ -221,7 +240,9 @@ def apply_contract(
     typed = conform(raw, contract.fields, whole_date=whole_date)
     counts = {key: f"{key}_count" for key in contract.unique_keys}
     if counts:
-        typed = attach_key_counts(typed, counts)
+        key_fields = [field for field in contract.fields if field.name in counts]
+        keys = conform(raw.select(*counts), key_fields, whole_date=whole_date, once=False)
+        typed = attach_key_counts(typed, counts, keys_only=keys)
     context = RuleContext(reject_null_enum=reject_null_enum, counts=counts)
     return classify(typed, contract, context).drop(*counts.values())
 

@@ -93,13 +93,14 @@ def enrich_trips(
     weather: DataFrame,
     columns: tuple[str, ...],
     *,
+    keys: DataFrame | None = None,
     limit: int = joins.BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
     """All four left joins.
 
     The payments join shuffles, so it runs first on the narrow trip rows; the dimensions are
     attached afterwards, broadcast when their measured size allows it. Hot keys are looked up
-    only for joins that shuffle.
+    only for joins that shuffle; ``keys`` may hold the trips' key columns by a cheaper route.
     """
     sizes = joins.content_bytes(
         {
@@ -111,7 +112,7 @@ def enrich_trips(
     shuffled += ["start_station_id", "end_station_id"] if sizes["stations"] > limit else []
     shuffled += ["trip_hour"] if sizes["weather"] > limit else []
     timed = with_trip_time(trips)
-    hot = joins.frequent_keys(timed, shuffled)
+    hot = joins.frequent_keys(timed if keys is None else with_trip_time(keys), shuffled)
 
     paid = join_payments(joins.with_row_id(timed), payments, hot=hot)
     placed = join_stations(paid, stations, stations_bytes=sizes["stations"], hot=hot)

@@ -193,7 +193,7 @@ def status_label(status: Column, published_at: Column) -> Column:
 def display_seconds(started: Column, ended: Column) -> Column:
     """Run duration for display: never negative, NULL while running."""
     seconds = scaled_round(temporal.runtime_seconds(started, ended), 3)
-    return F.when(ended.isNotNull(), F.greatest(seconds, F.lit(0.0)))
+    return F.when(seconds.isNotNull(), F.greatest(seconds, F.lit(0.0)))
 
 
 def public_runs(runs: DataFrame) -> DataFrame:

@@ -6,9 +6,10 @@ from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from lakegate.sources.staging import content_size
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 HOT_KEY_SUPPORT = 0.01
@@ -26,20 +27,11 @@ def with_row_id(df: DataFrame) -> DataFrame:
 
 
 def content_bytes(frames: Mapping[str, DataFrame]) -> dict[str, int]:
-    """Measured size of each frame (text by its length, other values as 8 bytes), in one job."""
-
-    def measured(name: str, df: DataFrame) -> DataFrame:
-        width: Column = F.lit(0).cast("bigint")
-        for field in df.schema.fields:
-            if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-                width = width + F.coalesce(F.octet_length(field.name), F.lit(0)) + F.lit(8)
-            else:
-                width = width + F.lit(8)
-        return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).select(
-            F.lit(name).alias("name"), "bytes"
-        )
-
-    parts = [measured(name, df) for name, df in frames.items()]
+    """Measured size of each frame, in one job."""
+    parts = [
+        df.agg(content_size(df).alias("bytes")).select(F.lit(name).alias("name"), "bytes")
+        for name, df in frames.items()
+    ]
     rows = reduce(DataFrame.unionAll, parts).collect()  # one row per frame
     return {row["name"]: row["bytes"] for row in rows}
 

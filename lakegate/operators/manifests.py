@@ -43,15 +43,22 @@ def _step(state: Column, part: Column) -> Column:
     return F.struct(depth.alias("depth"), F.least(state["lowest"], depth).alias("lowest"))
 
 
+def file_verdict(found_bytes: Column, found_sha256: Column) -> Column:
+    """First reason a recorded file cannot be used again, or ``complete``."""
+    return (
+        F.when(escapes_root(F.col("source_file")), "escapes_root")
+        .when(found_bytes.isNull(), "missing")
+        .when(found_bytes != F.col("file_bytes"), "size_mismatch")
+        .when(found_sha256 != F.col("file_sha256"), "sha_mismatch")
+        .otherwise("complete")
+    )
+
+
 def verify_manifest(
-    recorded: DataFrame, observed: DataFrame, by: Sequence[str] = ("run_id",)
+    recorded: DataFrame, observed: DataFrame, keys: Sequence[str] = ("run_id", "dataset_name")
 ) -> DataFrame:
-    """Compare recorded files with the files found now, dataset by dataset.
-
-    Verdicts: complete, unexpected (found but never recorded), escapes_root, missing,
-    size_mismatch, sha_mismatch; the first that applies.
-    """
-    keys = [*by, "dataset_name"]
+    """Compare recorded files with the files found now; found but never recorded files come
+    out as ``unexpected``."""
     found = observed.select(
         *[F.col(name).alias(f"__{name}") for name in keys],
         F.col("file_bytes").alias("observed_bytes"),
@@ -59,17 +66,13 @@ def verify_manifest(
     )
     on = [F.col(name) == F.col(f"__{name}") for name in keys]
     joined = recorded.join(found, on, "full_outer")
-    verdict = (
-        F.when(F.col("dataset_name").isNull(), "unexpected")
-        .when(escapes_root(F.col("source_file")), "escapes_root")
-        .when(F.col("observed_bytes").isNull(), "missing")
-        .when(F.col("observed_bytes") != F.col("file_bytes"), "size_mismatch")
-        .when(F.col("observed_sha256") != F.col("file_sha256"), "sha_mismatch")
-        .otherwise("complete")
+    verdict = F.when(F.col("file_sha256").isNull(), "unexpected").otherwise(
+        file_verdict(F.col("observed_bytes"), F.col("observed_sha256"))
     )
+    rest = [name for name in ("dataset_name", "source_file") if name not in keys]
     return joined.select(
         *[F.coalesce(name, f"__{name}").alias(name) for name in keys],
-        "source_file",
+        *rest,
         verdict.alias("verdict"),
     )
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakegate.functions import hashing
+
 # Files up to this size are hashed from one in-memory value; larger ones are streamed.
 IN_MEMORY_BYTES = 256 * 1024 * 1024
 _CHUNK = 4 * 1024 * 1024
@@ -35,11 +38,19 @@ def file_hashes(
         spark.read.format("binaryFile")
         .load(paths)
         .where(F.col("length") <= in_memory)
-        .select("path", F.col("length").alias("file_bytes"), F.sha2("content", 256).alias("sha"))
+        .select(
+            "path",
+            F.col("length").alias("file_bytes"),
+            F.sha2("content", 256).alias("file_sha256"),
+        )
     )
     large = file_listing(spark, paths).where(F.col("file_bytes") > in_memory)
-    streamed = large.mapInPandas(_stream_hashes, "path string, file_bytes bigint, sha string")
-    return whole.unionByName(streamed).withColumnRenamed("sha", "file_sha256")
+    if large.isEmpty():
+        return whole
+    streamed = large.repartition("path").mapInPandas(
+        _stream_hashes, "path string, file_bytes bigint, file_sha256 string"
+    )
+    return whole.unionByName(streamed)
 
 
 def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -54,7 +65,7 @@ def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 while chunk := source.read(_CHUNK):
                     digest.update(chunk)
             digests.append(digest.hexdigest())
-        yield batch.assign(sha=digests)
+        yield batch.assign(file_sha256=digests)
 
 
 def rows_per_file(df: DataFrame) -> DataFrame:
@@ -74,15 +85,50 @@ def relative_to(path: Column, root: str) -> Column:
 
 
 def file_manifest(
-    spark: SparkSession, rows: DataFrame, paths: list[str], dataset: Column, root: str
+    spark: SparkSession, feeds: Mapping[str, DataFrame], paths: Mapping[str, list[str]], root: str
 ) -> DataFrame:
-    """One row per file. A file without data rows counts 0."""
-    hashed = file_hashes(spark, paths)
-    counted = rows_per_file(rows)
-    return hashed.join(counted, F.col("path") == F.col("__file"), "left").select(
-        dataset.alias("dataset_name"),
+    """One row per file of every feed. A file without data rows counts 0."""
+    counted = reduce(
+        DataFrame.unionAll,
+        [rows_per_file(df).withColumn("__dataset", F.lit(name)) for name, df in feeds.items()],
+    )
+    hashed = reduce(
+        DataFrame.unionAll,
+        [
+            file_hashes(spark, paths[name]).withColumn("dataset_name", F.lit(name))
+            for name in feeds
+        ],
+    )
+    same_file = (F.col("path") == F.col("__file")) & (F.col("dataset_name") == F.col("__dataset"))
+    return hashed.join(counted, same_file, "left").select(
+        "dataset_name",
         relative_to(F.col("path"), root).alias("source_file"),
         "file_sha256",
         "file_bytes",
         F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"),
     )
+
+
+def dataset_manifest(parts: DataFrame) -> DataFrame:
+    """One row per dataset. A dataset in one file keeps that file's name and hash; for many
+    files the hash covers the bag of (path, hash) pairs and adds up in partial aggregates."""
+    digest = F.sha2(F.concat_ws(":", "source_file", "file_sha256"), 256)
+    bags = hashing.multiset_digest(parts, digest, ["dataset_name"]).select(
+        F.col("dataset_name").alias("__dataset"), F.col("fingerprint_sha256").alias("__bag")
+    )
+    totals = parts.groupBy("dataset_name").agg(
+        F.count(F.lit(1)).alias("__files"),
+        F.min("source_file").alias("__first"),
+        F.min("file_sha256").alias("__sha"),
+        F.sum("file_bytes").alias("file_bytes"),
+        F.sum("row_count").alias("row_count"),
+    )
+    single = F.col("__files") == 1
+    many = F.concat(F.regexp_replace("__first", "[^/]*$", ""), F.lit("*"))
+    return totals.join(bags, F.col("dataset_name") == F.col("__dataset")).select(
+        "dataset_name",
+        F.when(single, F.col("__first")).otherwise(many).alias("source_file"),
+        F.when(single, F.col("__sha")).otherwise(F.col("__bag")).alias("file_sha256"),
+        "file_bytes",
+        "row_count",
+    )

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from uuid import uuid4
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,6 +29,25 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_measured(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """Stage a frame and return the size of its values, observed by the same write.
+
+    A retried task may be counted twice, so the size is an upper bound.
+    """
+    size = Observation()
+    staged = stage(df.observe(size, content_size(df).alias("bytes")), label)
+    return staged, size.get["bytes"]
+
+
+def content_size(df: DataFrame) -> Column:
+    """Aggregate over a frame's rows: text by its length, any other value as 8 bytes."""
+    width = F.lit(8 * len(df.columns)).cast("bigint")
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+    return F.coalesce(F.sum(width), F.lit(0))
+
+
 def literal_rows(spark: SparkSession, schema: pa.Schema, rows: Sequence[tuple]) -> DataFrame:
     """A small configuration relation (rules, specs, one run row) as a local relation."""
     columns = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
