@@ -33,6 +33,7 @@ def file_hashes(
 
     ``binaryFile`` holds a file in one value and has a 2 GB ceiling, so large files are read
     in chunks by the task instead; both ways give the plain SHA-256 of the whole file.
+    Files of zero bytes are not listed by the source; a feed file has at least its header.
     """
     whole = (
         spark.read.format("binaryFile")
