@@ -6,6 +6,7 @@ each contract rule meets rows; the same derivation is written in SQL in ``oracle
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 from lakegate.bindings import mobility as m
 from lakegate.functions import temporal
 from lakegate.functions.numeric import scaled_round
-from lakegate.operators import contracts, enrich, profiles
+from lakegate.operators import contracts, enrich, marts, profiles
+from lakegate.sources.staging import stage
 
 INTERVAL_END = date(2024, 1, 30)
 FIRST_DAY = date(2024, 1, 1)
@@ -192,11 +194,16 @@ def silver_weather(spark: SparkSession, folder: str) -> DataFrame:
     return contracts.conform(bronze_weather(spark, folder), m.WEATHER_FIELDS)
 
 
-def trip_enriched(spark: SparkSession, folder: str) -> DataFrame:
-    keys = contracts.conform(bronze_trips(spark, folder), m.TRIP_CONTRACT.fields, once=False)
+def enriched_from(
+    spark: SparkSession,
+    folder: str,
+    trips: DataFrame,
+    payments: DataFrame,
+    keys: DataFrame | None = None,
+) -> DataFrame:
     return enrich.enrich_trips(
-        contracts.accepted(judged_trips(spark, folder)),
-        contracts.accepted(judged_payments(spark, folder)),
+        contracts.accepted(trips),
+        contracts.accepted(payments),
         silver_stations(spark, folder),
         silver_weather(spark, folder),
         m.ENRICHED_COLUMNS,
@@ -204,6 +211,58 @@ def trip_enriched(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def trip_enriched(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact as one plan from the raw feeds, for queries that read it once."""
+    keys = contracts.conform(bronze_trips(spark, folder), m.TRIP_CONTRACT.fields, once=False)
+    return enriched_from(
+        spark, folder, judged_trips(spark, folder), judged_payments(spark, folder), keys
+    )
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """The silver layer as staged tables, for queries that read it several times.
+
+    Like a published snapshot, each relation is computed once and read column by column.
+    """
+
+    trips: DataFrame
+    payments: DataFrame
+    enriched: DataFrame
+
+    @property
+    def rejections(self) -> tuple[DataFrame, DataFrame]:
+        return contracts.rejected(self.trips), contracts.rejected(self.payments)
+
+    def relations(self) -> dict[str, DataFrame]:
+        """The fingerprinted relations."""
+        return {
+            "silver.trips": contracts.accepted(self.trips),
+            "silver.payments": contracts.accepted(self.payments),
+            "silver.trip_enriched": self.enriched,
+            "gold.hourly_mobility": marts.hourly_mobility(self.enriched),
+            "gold.daily_station_performance": marts.daily_station_performance(self.enriched),
+            "gold.revenue_by_zone": marts.revenue_by_zone(self.enriched),
+        }
+
+
+def snapshot(
+    spark: SparkSession,
+    folder: str,
+    *,
+    raw_trips: DataFrame | None = None,
+    raw_payments: DataFrame | None = None,
+    stage_fact: bool = True,
+) -> Snapshot:
+    """Build the staged silver layer; ``stage_fact=False`` leaves the fact to its one reader."""
+    raw_trips = bronze_trips(spark, folder) if raw_trips is None else raw_trips
+    raw_payments = bronze_payments(spark, folder) if raw_payments is None else raw_payments
+    trips = stage(contracts.apply_contract(raw_trips, m.TRIP_CONTRACT), "trips")
+    payments = stage(contracts.apply_contract(raw_payments, m.PAYMENT_CONTRACT), "payments")
+    fact = enriched_from(spark, folder, trips, payments)
+    return Snapshot(trips, payments, stage(fact, "enriched") if stage_fact else fact)
+
+
 def snapshot_of(day: Column) -> Column:
     """Weekly snapshot number of a trip date."""
     return F.floor(F.date_diff(day, F.lit(FIRST_DAY)) / F.lit(SNAPSHOT_DAYS)).cast("int")

@@ -443,16 +443,10 @@ def revenue_by_zone(spark: SparkSession, folder: str) -> DataFrame:
     return marts.in_revenue_order(marts.revenue_by_zone(d.trip_enriched(spark, folder)))
 
 
-def _rejections(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return (
-        contracts.rejected(d.judged_trips(spark, folder)),
-        contracts.rejected(d.judged_payments(spark, folder)),
-    )
-
-
 @query
 def dashboard_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.dashboard_summary(d.trip_enriched(spark, folder), *_rejections(spark, folder))
+    built = d.snapshot(spark, folder, stage_fact=False)
+    return marts.dashboard_summary(built.enriched, *built.rejections)
 
 
 @query
@@ -464,11 +458,9 @@ def filtered_facts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def summary_filtered(spark: SparkSession, folder: str) -> DataFrame:
+    built = d.snapshot(spark, folder, stage_fact=False)
     return serving.summary(
-        d.trip_enriched(spark, folder),
-        *_rejections(spark, folder),
-        d.runs(spark, folder),
-        WHERE_DAYS,
+        built.enriched, *built.rejections, d.runs(spark, folder), WHERE_DAYS
     )
 
 
@@ -518,7 +510,8 @@ def timeseries_sample(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def total_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    trips, payments = _rejections(spark, folder)
+    trips = contracts.rejected(d.judged_trips(spark, folder))
+    payments = contracts.rejected(d.judged_payments(spark, folder))
     counted = marts.with_rejections(
         d.table(spark, folder, "region").agg(F.count(F.lit(1)).alias("n")), trips, payments
     )
@@ -531,19 +524,22 @@ def total_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dataset_profiles(spark: SparkSession, folder: str) -> DataFrame:
-    trips = contracts.accepted(d.judged_trips(spark, folder))
-    enriched = stage(d.trip_enriched(spark, folder), "enriched")
-    return profiles.dataset_profiles(trips, enriched, marts.hourly_mobility(enriched), d.DAYS)
+    built = d.snapshot(spark, folder)
+    return profiles.dataset_profiles(
+        contracts.accepted(built.trips),
+        built.enriched,
+        marts.hourly_mobility(built.enriched),
+        d.DAYS,
+    )
 
 
-def _weekly_profiles(spark: SparkSession, folder: str) -> DataFrame:
+def _weekly_profiles(built: d.Snapshot) -> DataFrame:
     """Profiles of all weekly snapshots together; the snapshot number is the run id."""
-    trips = enrich.with_trip_time(contracts.accepted(d.judged_trips(spark, folder)))
-    enriched = stage(d.trip_enriched(spark, folder), "enriched")
-    hourly = marts.hourly_mobility(enriched)
+    trips = enrich.with_trip_time(contracts.accepted(built.trips))
+    hourly = marts.hourly_mobility(built.enriched)
     return profiles.dataset_profiles(
         trips.withColumn("snapshot", d.snapshot_of(F.col("trip_date"))),
-        enriched.withColumn("snapshot", d.snapshot_of(F.col("trip_date"))),
+        built.enriched.withColumn("snapshot", d.snapshot_of(F.col("trip_date"))),
         hourly.withColumn("snapshot", d.snapshot_of(F.col("trip_hour").cast("date"))),
         d.SNAPSHOT_DAYS,
         by=["snapshot"],
@@ -552,22 +548,25 @@ def _weekly_profiles(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def snapshot_profiles(spark: SparkSession, folder: str) -> DataFrame:
-    return _weekly_profiles(spark, folder)
+    return _weekly_profiles(d.snapshot(spark, folder))
 
 
-@query
-def drift_compare(spark: SparkSession, folder: str) -> DataFrame:
-    """Each weekly snapshot against the one before it."""
-    weekly = stage(
-        _weekly_profiles(spark, folder).withColumn("run_id", F.col("snapshot").cast("string")),
-        "weekly-profiles",
-    )
-    pairs = weekly.where((F.col("metric_name") == "total_trips") & (F.col("snapshot") > 0)).select(
+def _weekly_drift(built: d.Snapshot) -> DataFrame:
+    run_id = F.col("snapshot").cast("string")
+    weekly = stage(_weekly_profiles(built).withColumn("run_id", run_id), "weekly-profiles")
+    later = (F.col("metric_name") == "total_trips") & (F.col("snapshot") > 0)
+    pairs = weekly.where(later).select(
         "run_id", (F.col("snapshot") - 1).cast("string").alias("baseline_run_id")
     )
     return profiles.compare_profiles(pairs, weekly)
 
 
+@query
+def drift_compare(spark: SparkSession, folder: str) -> DataFrame:
+    """Each weekly snapshot against the one before it."""
+    return _weekly_drift(d.snapshot(spark, folder))
+
+
 @query
 def drift_compare_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Every run against its compatible baseline, with metrics missing on either side."""
@@ -587,22 +586,10 @@ def drift_ordered(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _relations(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The six fingerprinted relations; the fact is built once and read back."""
-    enriched = stage(d.trip_enriched(spark, folder), "enriched")
-    return {
-        "silver.trips": contracts.accepted(d.judged_trips(spark, folder)),
-        "silver.payments": contracts.accepted(d.judged_payments(spark, folder)),
-        "silver.trip_enriched": enriched,
-        "gold.hourly_mobility": marts.hourly_mobility(enriched),
-        "gold.daily_station_performance": marts.daily_station_performance(enriched),
-        "gold.revenue_by_zone": marts.revenue_by_zone(enriched),
-    }
-
-
 @query
 def relation_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    return fingerprints.relation_fingerprints(_relations(spark, folder), m.FINGERPRINTS)
+    relations = d.snapshot(spark, folder).relations()
+    return fingerprints.relation_fingerprints(relations, m.FINGERPRINTS)
 
 
 @query
@@ -613,37 +600,15 @@ def output_set_hash(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def replay_equivalence(spark: SparkSession, folder: str) -> DataFrame:
     """Two builds of the same input, the second from differently partitioned feeds."""
-    source = relation_fingerprints(spark, folder)
-    trips = contracts.accepted(
-        contracts.apply_contract(
-            d.bronze_trips(spark, folder).repartition(13), m.TRIP_CONTRACT
-        )
-    )
-    payments = contracts.accepted(
-        contracts.apply_contract(
-            d.bronze_payments(spark, folder).repartition(7), m.PAYMENT_CONTRACT
-        )
-    )
-    enriched = stage(
-        enrich.enrich_trips(
-            stage(trips, "replayed-trips"),
-            payments,
-            d.silver_stations(spark, folder),
-            d.silver_weather(spark, folder),
-            m.ENRICHED_COLUMNS,
-        ),
-        "replayed",
+    rebuilt = d.snapshot(
+        spark,
+        folder,
+        raw_trips=d.bronze_trips(spark, folder).repartition(13),
+        raw_payments=d.bronze_payments(spark, folder).repartition(7),
     )
-    rebuilt = {
-        "silver.trips": trips,
-        "silver.payments": payments,
-        "silver.trip_enriched": enriched,
-        "gold.hourly_mobility": marts.hourly_mobility(enriched),
-        "gold.daily_station_performance": marts.daily_station_performance(enriched),
-        "gold.revenue_by_zone": marts.revenue_by_zone(enriched),
-    }
     compared = fingerprints.compare_fingerprints(
-        source, fingerprints.relation_fingerprints(rebuilt, m.FINGERPRINTS)
+        relation_fingerprints(spark, folder),
+        fingerprints.relation_fingerprints(rebuilt.relations(), m.FINGERPRINTS),
     )
     return compared.select("relation_name", "row_count", "source_sha256", "equivalent")
 
@@ -654,34 +619,32 @@ def replay_equivalence(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def quality_checks(spark: SparkSession, folder: str) -> DataFrame:
     """All thirteen gates on the whole snapshot, drift taken from the weekly comparison."""
+    built = d.snapshot(spark, folder)
     return quality.quality_checks(
-        d.judged_trips(spark, folder),
-        d.judged_payments(spark, folder),
-        d.trip_enriched(spark, folder),
+        built.trips,
+        built.payments,
+        built.enriched,
         d.INTERVAL_END,
-        drift=drift_compare(spark, folder),
+        drift=_weekly_drift(built),
     ).drop("details")
 
 
 @query
 def quality_checks_no_baseline(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.quality_checks(
-        d.judged_trips(spark, folder),
-        d.judged_payments(spark, folder),
-        d.trip_enriched(spark, folder),
-        d.INTERVAL_END,
-    )
+    built = d.snapshot(spark, folder, stage_fact=False)
+    return quality.quality_checks(built.trips, built.payments, built.enriched, d.INTERVAL_END)
 
 
 def _single_check(name: str) -> Query:
     """One gate on its own: only the relation it looks at is computed."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        trips = d.judged_trips(spark, folder)
         if name in ("payment_contract_rejections", "payment_amount_reconciliation"):
             observed = quality.payment_observations(d.judged_payments(spark, folder))
         elif name == "duplicate_trip_ids":
-            observed = quality.duplicate_observation(contracts.accepted(trips))
+            observed = quality.duplicate_observation(
+                contracts.accepted(d.judged_trips(spark, folder))
+            )
         elif name == "cross_snapshot_drift":
             failed = F.count_if(F.col("status") != "pass")
             observed = quality.observe(drift_compare(spark, folder), {name: failed})
@@ -691,10 +654,11 @@ def _single_check(name: str) -> Query:
             "trip_contract_rejections",
             "invalid_trip_timestamps",
         ):
-            observed = quality.trip_observations(trips)
+            observed = quality.trip_observations(d.judged_trips(spark, folder))
         else:
+            built = d.snapshot(spark, folder, stage_fact=False)
             observed = quality.fact_observations(
-                d.trip_enriched(spark, folder), contracts.accepted(trips), d.INTERVAL_END
+                built.enriched, contracts.accepted(built.trips), d.INTERVAL_END
             )
         wanted = observed.where(F.col("check_name") == name)
         judged = quality.judge(wanted, d.INTERVAL_END, F.lit(""))
