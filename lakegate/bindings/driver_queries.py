@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ from lakegate.operators import (
 from lakegate.operators.contracts import Contract, Field, Rule
 from lakegate.operators.filters import FactFilter
 from lakegate.sources import feeds, files
-from lakegate.sources.staging import stage
+from lakegate.sources.staging import literal_rows, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -130,9 +131,8 @@ def readiness(spark: SparkSession, folder: str) -> DataFrame:
     listed = files.file_listing(spark, [f"{folder}/*.parquet"])
     name = F.regexp_extract("path", r"([^/]+)\.parquet$", 1)
     present = listed.select(name.alias("relation_name"))
-    required = lineage.lineage_edges(spark).select(
-        F.explode(F.array(*[F.lit(t) for t in ("events", "orders", "trip_archive")]))
-        .alias("relation_name")
+    required = literal_rows(
+        spark, pa.schema([("relation_name", pa.string())]), [(table,) for table in d.TABLES]
     )
     missing = manifests.missing_members(required, present, "relation_name")
     return feeds.readiness(missing, d.runs(spark, folder))

@@ -194,7 +194,8 @@ def attach_key_counts(
     This is a windowed count without the window: a window would sort every row of a hot key
     in one task. Only repeated keys are joined back. They are staged and measured; a small
     set is broadcast and the rows are not shuffled at all, a large one is joined with its
-    hottest keys salted. ``keys_only`` may give the same keys by a cheaper route.
+    hottest keys salted. ``keys_only`` may give the same keys by a cheaper route. A frame that
+    was shuffled already should carry its scan's :data:`joins.ROW_ID`.
     """
     source = df if keys_only is None else keys_only
     repeats, size = stage_measured(key_counts(source, list(counts)), "key-counts")

@@ -12,6 +12,7 @@ from lakegate.bindings import mobility as m
 from lakegate.functions import temporal
 from lakegate.functions.numeric import ratio, scaled_round
 from lakegate.operators import joins
+from lakegate.sources.staging import stage_measured
 
 
 def published(runs: DataFrame) -> DataFrame:
@@ -48,29 +49,39 @@ def baselines(runs: DataFrame) -> DataFrame:
 
     Within one (days, contract) group every run shares the same best candidate, except the
     best run itself, which takes the runner-up. Two partially aggregated maxima replace a
-    ranking window, whose few groups would each sort in a single task.
+    ranking window, whose few groups would each sort in a single task; the per-group results
+    go back to the runs by a size-checked lookup.
     """
-    group = ["days_requested", "contract_version"]
+    group = F.concat(F.col("days_requested").cast("string"), F.lit("/"), "contract_version")
     missing = F.lit("0001-01-01").cast("timestamp_ntz")
     candidate = F.struct(
         *[F.coalesce(F.col(name), missing).alias(name) for name in _BASELINE_ORDER], "run_id"
     )
-    candidates = published(runs).select(*group, candidate.alias("candidate"))
-    best = candidates.groupBy(*group).agg(F.max("candidate").alias("best"))
-    second = (
-        candidates.join(best, group)
-        .where(F.col("candidate.run_id") != F.col("best.run_id"))
-        .groupBy(*group)
-        .agg(F.max("candidate").alias("second"))
+    grouped = joins.with_row_id(runs).withColumn("__group", group)
+    candidates = published(grouped).select(
+        "__group", candidate.alias("candidate"), joins.ROW_ID
     )
-    chosen = F.when(
-        F.col("run_id") == F.col("best.run_id"), F.col("second.run_id")
-    ).otherwise(F.col("best.run_id"))
-    return (
-        runs.join(best, group, "left")
-        .join(second, group, "left")
-        .select("run_id", chosen.alias("baseline_run_id"))
+
+    def per_group(rows: DataFrame, name: str) -> tuple[DataFrame, int]:
+        top = rows.groupBy("__group").agg(F.max("candidate").alias(name))
+        flat = top.select(F.col("__group").alias(f"__{name}_group"), f"{name}.run_id")
+        return stage_measured(flat.withColumnRenamed("run_id", name), name)
+
+    def attach(rows: DataFrame, top: DataFrame, name: str, size: int) -> DataFrame:
+        hot = [] if size <= joins.BROADCAST_LIMIT_BYTES else (
+            joins.frequent_keys(rows, ["__group"])["__group"]
+        )
+        key = f"__{name}_group"
+        return joins.lookup_join(rows, top, "__group", key, right_bytes=size, hot=hot).drop(key)
+
+    best, best_size = per_group(candidates, "best")
+    others = attach(candidates, best, "best", best_size).where(
+        F.col("candidate.run_id") != F.col("best")
     )
+    second, second_size = per_group(others, "second")
+    ranked = attach(attach(grouped, best, "best", best_size), second, "second", second_size)
+    chosen = F.when(F.col("run_id") == F.col("best"), F.col("second")).otherwise(F.col("best"))
+    return ranked.select("run_id", chosen.alias("baseline_run_id"))
 
 
 # --- previous published run ------------------------------------------------------------

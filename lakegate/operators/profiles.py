@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from lakegate.bindings import mobility as m
 from lakegate.functions import casting
 from lakegate.functions.numeric import exact_mean, exact_sum, ratio, share
+from lakegate.operators import joins
+from lakegate.sources.staging import stage, stage_measured
 
 
 def fact_metrics(days: Column) -> dict[str, Column]:
@@ -123,31 +125,48 @@ DRIFT_COLUMNS = (
 )
 
 
-def compare_profiles(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
+def compare_profiles(
+    pairs: DataFrame, profiles: DataFrame, *, limit: int = joins.BROADCAST_LIMIT_BYTES
+) -> DataFrame:
     """Nine drift rows for every (run_id, baseline_run_id) pair.
 
     ``profiles`` holds (run_id, metric_name, metric_value). A metric missing on either side
-    still yields its row, with an undefined delta.
+    still yields its row, with an undefined delta. Runs are unique, but very many of them may
+    share one baseline: the baselines' profiles are picked out first, and attached by a
+    size-checked lookup.
     """
-    ruled = pairs.select(
-        "run_id", "baseline_run_id", F.explode(drift_rules()).alias("rule")
-    ).select("run_id", "baseline_run_id", "rule.*")
-
-    def side(prefix: str, key: str) -> DataFrame:
-        return profiles.select(
-            F.col("run_id").alias(key),
-            F.col("metric_name").alias(f"__{prefix}_metric"),
-            F.col("metric_value").alias(f"{prefix}_value"),
-        )
-
-    joined = ruled
-    for prefix, key in (("current", "run_id"), ("baseline", "baseline_run_id")):
-        joined = joined.join(
-            side(prefix, f"__{prefix}_run"),
-            (F.col(key) == F.col(f"__{prefix}_run"))
-            & (F.col("metric_name") == F.col(f"__{prefix}_metric")),
-            "left",
-        )
+    wanted = pairs.select(F.col("baseline_run_id").alias("run_id")).distinct()
+    metric_key = F.concat("run_id", F.lit("/"), "metric_name")
+    baseline, size = stage_measured(
+        profiles.join(wanted, "run_id", "left_semi").select(
+            metric_key.alias("__baseline_key"), F.col("metric_value").alias("baseline_value")
+        ),
+        "baseline-profiles",
+    )
+    hot: list[str] = []
+    if size > limit:
+        pairs = stage(pairs, "drift-pairs")  # a scan numbers rows alike on every attempt
+        shared = joins.frequent_keys(pairs, ["baseline_run_id"])["baseline_run_id"]
+        hot = [f"{run_id}/{metric}" for run_id in shared for metric, _, _ in m.DRIFT_RULES]
+    ruled = (
+        joins.with_row_id(pairs)
+        .withColumn("rule", F.explode(drift_rules()))
+        .select("run_id", "baseline_run_id", "rule.*", joins.ROW_ID)
+        .withColumn("__key", F.concat("baseline_run_id", F.lit("/"), "metric_name"))
+    )
+    current = profiles.select(
+        F.col("run_id").alias("__run"),
+        F.col("metric_name").alias("__metric"),
+        F.col("metric_value").alias("current_value"),
+    )
+    with_baseline = joins.lookup_join(
+        ruled, baseline, "__key", "__baseline_key", right_bytes=size, hot=hot, limit=limit
+    )
+    joined = with_baseline.join(
+        current,
+        (F.col("run_id") == F.col("__run")) & (F.col("metric_name") == F.col("__metric")),
+        "left",
+    )
     return with_drift(joined).select(*DRIFT_COLUMNS)
 
 

@@ -167,10 +167,10 @@ def tally(checks: DataFrame, by: Sequence[str] = ("run_id",)) -> DataFrame:
 
 
 def failed_check_messages(checks: DataFrame, by: Sequence[str] = ("run_id",)) -> DataFrame:
-    """Names of the failing checks in check order; a run has at most one row per check."""
+    """Names of the failing checks in check order; at most one entry per check."""
     entry = F.struct("check_order", "check_name")
     names = F.transform(
-        F.array_sort(F.collect_list(F.when(F.col("status") != "pass", entry))),
+        F.array_sort(F.collect_set(F.when(F.col("status") != "pass", entry))),
         lambda item: item["check_name"],
     )
     listed = checks.groupBy(*by).agg(names.alias("__names"))

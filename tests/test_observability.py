@@ -10,6 +10,7 @@ from lakegate.operators import (
     evidence,
     fingerprints,
     history,
+    joins,
     lineage,
     manifests,
     profiles,
@@ -59,7 +60,8 @@ def test_profiles_of_three_trips(spark):
         profiles.dataset_profiles(trips, enriched, spark.range(2), days=0)
 
 
-def test_drift_thresholds(spark):
+@pytest.mark.parametrize("limit", [joins.BROADCAST_LIMIT_BYTES, -1])
+def test_drift_thresholds(spark, limit):
     values = {
         "daily_trip_rate": (100.0, 126.0),
         "revenue_per_trip": (10.0, 12.0),
@@ -74,7 +76,7 @@ def test_drift_thresholds(spark):
     rows += [("cur", name, pair[1]) for name, pair in values.items()]
     stored = spark.createDataFrame(rows, "run_id string, metric_name string, metric_value double")
     pairs = spark.createDataFrame([("cur", "base")], "run_id string, baseline_run_id string")
-    found = {r["metric_name"]: r for r in profiles.compare_profiles(pairs, stored).collect()}
+    found = {r["metric_name"]: r for r in profiles.compare_profiles(pairs, stored, limit=limit).collect()}
     assert len(found) == 9
     assert {name: row["status"] for name, row in found.items()} == {
         "daily_trip_rate": "fail",
