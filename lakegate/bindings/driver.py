@@ -17,7 +17,7 @@ from lakegate.bindings import mobility as m
 from lakegate.functions import temporal
 from lakegate.functions.numeric import scaled_round
 from lakegate.operators import contracts, enrich, marts, profiles
-from lakegate.sources.staging import stage
+from lakegate.sources.staging import stage, together
 
 INTERVAL_END = date(2024, 1, 30)
 FIRST_DAY = date(2024, 1, 1)
@@ -257,10 +257,16 @@ def snapshot(
     """Build the staged silver layer; ``stage_fact=False`` leaves the fact to its one reader."""
     raw_trips = bronze_trips(spark, folder) if raw_trips is None else raw_trips
     raw_payments = bronze_payments(spark, folder) if raw_payments is None else raw_payments
-    trips = stage(contracts.apply_contract(raw_trips, m.TRIP_CONTRACT), "trips")
-    payments = stage(contracts.apply_contract(raw_payments, m.PAYMENT_CONTRACT), "payments")
-    fact = enriched_from(spark, folder, trips, payments)
-    return Snapshot(trips, payments, stage(fact, "enriched") if stage_fact else fact)
+    judged = together(
+        {
+            "trips": lambda: stage(contracts.apply_contract(raw_trips, m.TRIP_CONTRACT), "trips"),
+            "payments": lambda: stage(
+                contracts.apply_contract(raw_payments, m.PAYMENT_CONTRACT), "payments"
+            ),
+        }
+    )
+    fact = enriched_from(spark, folder, **judged)
+    return Snapshot(**judged, enriched=stage(fact, "enriched") if stage_fact else fact)
 
 
 def snapshot_of(day: Column) -> Column:

@@ -7,6 +7,7 @@ import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import UTC, date, datetime, timedelta
+from functools import partial
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
@@ -27,6 +28,7 @@ from lakegate.operators import (
     quality,
 )
 from lakegate.sources import feeds, files
+from lakegate.sources.staging import together
 from lakegate.sources.store import SnapshotStore
 
 Paths = Mapping[str, list[str]]
@@ -259,23 +261,34 @@ class SnapshotPipeline:
                 "Replay input fingerprint mismatch: source bytes changed while loading."
             )
 
-        judged = {}
-        for feed, contract in (("trips", m.TRIP_CONTRACT), ("payments", m.PAYMENT_CONTRACT)):
+        def judge(feed: str, contract: contracts.Contract) -> DataFrame:
             classified = contracts.apply_contract(bronze[feed], contract)
             store.write_judged(run_id, feed, classified)
-            judged[feed] = store.judged(run_id, feed, classified)
+            return store.judged(run_id, feed, classified)
+
+        def type_dimension(feed: str, name: str, fields: tuple) -> DataFrame:
+            return store.write(run_id, name, contracts.conform(bronze[feed], fields))
+
+        judged = together(
+            {
+                "trips": lambda: judge("trips", m.TRIP_CONTRACT),
+                "payments": lambda: judge("payments", m.PAYMENT_CONTRACT),
+                "stations": lambda: type_dimension(
+                    "stations", "silver.stations", m.STATION_FIELDS
+                ),
+                "weather": lambda: type_dimension(
+                    "weather", "silver.weather_hourly", m.WEATHER_FIELDS
+                ),
+            }
+        )
         trips = _outcome(judged["trips"], "accepted").drop(contracts.REASON)
         payments = _outcome(judged["payments"], "accepted").drop(contracts.REASON)
-        stations = store.write(
-            run_id, "silver.stations", contracts.conform(bronze["stations"], m.STATION_FIELDS)
-        )
-        weather = store.write(
-            run_id, "silver.weather_hourly", contracts.conform(bronze["weather"], m.WEATHER_FIELDS)
-        )
         enriched = store.write(
             run_id,
             "silver.trip_enriched",
-            enrich.enrich_trips(trips, payments, stations, weather, m.ENRICHED_COLUMNS),
+            enrich.enrich_trips(
+                trips, payments, judged["stations"], judged["weather"], m.ENRICHED_COLUMNS
+            ),
             partition_by="trip_date",
         )
 
@@ -290,7 +303,9 @@ class SnapshotPipeline:
             ),
             "gold.lineage_edges": lineage.lineage_edges(self.spark),
         }
-        stored = {name: store.write(run_id, name, df) for name, df in gold.items()}
+        stored = together(
+            {name: partial(store.write, run_id, name, df) for name, df in gold.items()}
+        )
         relations = {
             "silver.trips": trips,
             "silver.payments": payments,
@@ -357,12 +372,16 @@ class SnapshotPipeline:
         """Store the feeds with provenance and record what was read."""
         store = self.store
         raw = {name: feeds.read_feed(self.spark, name, sources[name]) for name in sources}
-        bronze = {}
-        for name, df in raw.items():
-            origin = files.relative_to(F.col("_metadata.file_path"), store.raw_root)
-            bronze[name] = store.write(
-                run_id, f"bronze.{name}", feeds.with_provenance(df, run_id, origin)
-            )
+        origin = files.relative_to(F.col("_metadata.file_path"), store.raw_root)
+        loaded = {
+            name: feeds.with_provenance(df, run_id, origin) for name, df in raw.items()
+        }
+        bronze = together(
+            {
+                name: partial(store.write, run_id, f"bronze.{name}", df)
+                for name, df in loaded.items()
+            }
+        )
         parts = store.write_evidence(
             "ingest_parts",
             run_id,

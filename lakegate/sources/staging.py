@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 from uuid import uuid4
 
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+Result = TypeVar("Result")
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's folder for recoverable intermediate data; a temporary one if unset."""
@@ -48,6 +53,14 @@ def content_size(df: DataFrame) -> Column:
     return F.coalesce(F.sum(width), F.lit(0))
 
 
+def together(jobs: Mapping[str, Callable[[], Result]]) -> dict[str, Result]:
+    """Start independent Spark jobs at once, so that one's last tasks leave no idle cores."""
+    inherit = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        started = {name: pool.submit(inherit(job)) for name, job in jobs.items()}
+        return {name: future.result() for name, future in started.items()}
+
+
 def literal_rows(spark: SparkSession, schema: pa.Schema, rows: Sequence[tuple]) -> DataFrame:
     """A small configuration relation (rules, specs, one run row) as a local relation."""
     columns = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
