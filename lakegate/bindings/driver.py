@@ -252,11 +252,18 @@ def snapshot(
     *,
     raw_trips: DataFrame | None = None,
     raw_payments: DataFrame | None = None,
+    stage_feeds: bool = True,
     stage_fact: bool = True,
 ) -> Snapshot:
-    """Build the staged silver layer; ``stage_fact=False`` leaves the fact to its one reader."""
+    """Build the silver layer; parts with a single reader need not be staged."""
     raw_trips = bronze_trips(spark, folder) if raw_trips is None else raw_trips
     raw_payments = bronze_payments(spark, folder) if raw_payments is None else raw_payments
+    if not stage_feeds:
+        trips = contracts.apply_contract(raw_trips, m.TRIP_CONTRACT)
+        payments = contracts.apply_contract(raw_payments, m.PAYMENT_CONTRACT)
+        keys = contracts.conform(raw_trips, m.TRIP_CONTRACT.fields, once=False)
+        fact = enriched_from(spark, folder, trips, payments, keys)
+        return Snapshot(trips, payments, stage(fact, "enriched"))
     judged = together(
         {
             "trips": lambda: stage(contracts.apply_contract(raw_trips, m.TRIP_CONTRACT), "trips"),

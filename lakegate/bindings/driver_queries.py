@@ -524,7 +524,7 @@ def total_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dataset_profiles(spark: SparkSession, folder: str) -> DataFrame:
-    built = d.snapshot(spark, folder)
+    built = d.snapshot(spark, folder, stage_feeds=False)
     return profiles.dataset_profiles(
         contracts.accepted(built.trips),
         built.enriched,
@@ -548,7 +548,7 @@ def _weekly_profiles(built: d.Snapshot) -> DataFrame:
 
 @query
 def snapshot_profiles(spark: SparkSession, folder: str) -> DataFrame:
-    return _weekly_profiles(d.snapshot(spark, folder))
+    return _weekly_profiles(d.snapshot(spark, folder, stage_feeds=False))
 
 
 def _weekly_drift(built: d.Snapshot) -> DataFrame:
@@ -564,7 +564,7 @@ def _weekly_drift(built: d.Snapshot) -> DataFrame:
 @query
 def drift_compare(spark: SparkSession, folder: str) -> DataFrame:
     """Each weekly snapshot against the one before it."""
-    return _weekly_drift(d.snapshot(spark, folder))
+    return _weekly_drift(d.snapshot(spark, folder, stage_feeds=False))
 
 
 @query
