@@ -28,6 +28,20 @@ FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN owner USING (doc_id)
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
     doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+    "op9_warc": """
+WITH page AS (
+    SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h,
+        max(page_id) OVER (PARTITION BY coalesce(html, '')) AS keep
+    FROM pages
+)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+    list_reduce(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+        (CAST('0x' || substr(h, 1 + 5 * CAST(i // 4 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31
+    AS BIGINT), 1)), (a, b) -> a || b) AS payload_digest,
+    CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> keep THEN keep END AS refers_to
+FROM page
 """,
 }
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegate.llm import decontaminate, exact_dedup, kd_sharding
+from lakegate.llm import chunked_bpe, decontaminate, exact_dedup, kd_sharding, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +29,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """A public tokenizer's file; ``TOKENIZER_FOLDER`` may name another folder."""
+    folder = os.environ.get("TOKENIZER_FOLDER")
+    if not folder:
+        folder = os.path.dirname(find_spec("public_tokenizers").origin)
+    return os.path.join(folder, name)
+
+
+@query
+def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = tokenizer_file("byte_bpe_50k.json")
+    out = token_files.new_folder(spark, "token-ids")
+    token_files.write_token_files(table(spark, folder, "documents"), out, tokenizer)
+    index = token_files.read_index(spark, out)
+    return token_files.read_token_files(index, out, tokenizer, with_ids=False)
+
+
 @query
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(
@@ -59,3 +78,19 @@ def op8_kd_sharding(spark: SparkSession, folder: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    out = token_files.new_folder(spark, "warc")
+    warc.write_warc(table(spark, folder, "pages"), out)
+    records = warc.read_warc(spark.read.parquet(f"{out}/index"), with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op10_chunked_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return chunked_bpe.digests(
+        chunked_bpe.encode_decode(documents, tokenizer_file("word_bpe_49k.json"))
+    )
