@@ -36,9 +36,9 @@ WITH page AS (
     FROM pages
 )
 SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
-    list_reduce(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+    array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
         (CAST('0x' || substr(h, 1 + 5 * CAST(i // 4 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31
-    AS BIGINT), 1)), (a, b) -> a || b) AS payload_digest,
+    AS BIGINT), 1) for i in range(0, 32)], '') AS payload_digest,
     CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
     CASE WHEN page_id <> keep THEN keep END AS refers_to
 FROM page

@@ -9,7 +9,7 @@ from importlib.util import find_spec
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegate.llm import chunked_bpe, decontaminate, exact_dedup, kd_sharding, token_files, warc
+from lakegate.llm import chunked_bpe, decontaminate, exact_dedup, kd_sharding, quality, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +66,11 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents"), keep=exact_dedup.LARGEST)
 
 
+@query
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op8_kd_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = kd_sharding.kd_shards(kd_sharding.metadata(table(spark, folder, "documents")), shards=8)

@@ -21,10 +21,10 @@ from lakegate.llm.encoder import encoder, slices
 from lakegate.sources.staging import shared_folder
 
 #: The dictionary is trained on slices of about this many documents.
-SAMPLE_DOCUMENTS = 2000
+SAMPLE_DOCUMENTS = 1000
 SAMPLE_SLICES = 4
-SLICE_IDS = 2048
-DICTIONARY_BYTES = 64 * 1024
+SLICE_IDS = 1024
+DICTIONARY_BYTES = 32 * 1024
 LEVEL = 3
 END = 0
 
