@@ -9,7 +9,18 @@ from importlib.util import find_spec
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegate.llm import chunked_bpe, decontaminate, exact_dedup, kd_sharding, quality, token_files, warc
+from lakegate.llm import (
+    chunked_bpe,
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    kd_sharding,
+    lm_scoring,
+    quality,
+    substring_dedup,
+    token_files,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +57,13 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_token_files(index, out, tokenizer, with_ids=False)
 
 
+@query
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    join = jaccard_join.Join(words=3, percent=90)
+    found = jaccard_join.near_components(table(spark, folder, "documents"), join)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(
@@ -66,11 +84,21 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents"), keep=exact_dedup.LARGEST)
 
 
+@query
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.substring_dedup(table(spark, folder, "documents"))
+
+
 @query
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score_corpus(table(spark, folder, "documents"))
+
+
 @query
 def op8_kd_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = kd_sharding.kd_shards(kd_sharding.metadata(table(spark, folder, "documents")), shards=8)
