@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakegate.llm.common import content, partitions, pick, ship, stage
@@ -327,7 +327,7 @@ def near_components(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """doc_id, text_key, n_shingles, component_id, one row per input row.
+    """doc_id, text_key, n_shingles, component_id, group_key, one row per input row.
 
     1. Each document becomes the set of its shingles, named by 128 bits. Equal sets are one node.
     2. Sets are indexed by segments (:func:`keys`), in bands of similar size; how a band is
@@ -336,7 +336,8 @@ def near_components(
        blocks, and the links become components.
 
     ``component_id`` is the smallest id reachable. A text without words has no shingle and is
-    linked with nothing: its component is its own id. NULL text has no words. Rows repeated with
+    linked with nothing: its component is its own id and its ``group_key`` is NULL. Other rows share
+    a ``group_key`` exactly if they are of one component. NULL text has no words. Rows repeated with
     the same text are one node; rows of one id with different texts are nodes of their own. NULL
     ids never become a component's id unless there is no other. Extra columns are not read.
     Shingles are compared as 64-bit hashes inside a group of at most 2 x BLOCK documents.
@@ -354,13 +355,16 @@ def near_components(
     nodes = known.where("n > 0").groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "text_key")).alias("row"), F.min("doc_id").alias("least_id"))
     nodes = stage(nodes.select("s1", "s2", "row.*", "least_id"), "jaccard-nodes")
     wanted = nodes.join(met.select(F.col("node").alias("s1")).distinct(), "s1", "left_semi")
-    texts = rows.join(wanted.select("doc_id", "text_key", "s1"), ["doc_id", "text_key"])
+    wanted = wanted.select(F.col("doc_id").alias("id"), F.col("text_key").alias("of"), "s1")
+    same = rows["doc_id"].eqNullSafe(wanted["id"]) & (rows["text_key"] == wanted["of"])
+    texts = rows.join(wanted, same)
     packed = stage(_pack(texts.select(F.col("s1").alias("node"), "text")), "jaccard-texts")
     links = compared(met.join(packed, "node"), join)
     labels = components(stage(links.distinct(), "jaccard-links"))
     least = nodes.select(F.col("s1").alias("node"), "least_id").join(labels, "node")
     named = least.groupBy("label").agg(F.min("least_id").alias("component"))
-    of_node = stage(labels.join(named, "label").select(F.col("node").alias("s1"), "component"), "jaccard-components")
+    of_node = labels.join(named, "label").select(F.col("node").alias("s1"), "component", "label")
+    of_node = stage(of_node, "jaccard-components")
     return (
         known.join(nodes.select("s1", "s2", "least_id"), ["s1", "s2"], "left")
         .join(of_node, "s1", "left")
@@ -369,10 +373,30 @@ def near_components(
             "text_key",
             F.col("n").alias("n_shingles"),
             F.coalesce("component", "least_id", "doc_id").alias("component_id"),
+            F.when(F.col("n") > 0, F.coalesce("label", "s1")).alias("group_key"),
         )
     )
 
 
+def drop_near_copies(
+    docs: DataFrame, join: Join = Join(), *, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` with one document left of each component, all columns kept: the smallest id's.
+
+    NULL ids come after all others. Texts without words stay. Rows that repeat both id and text
+    are one document and stay or go together.
+    """
+    found = stage(near_components(docs, join, id_col=id_col, text_col=text_col), "jaccard-found")
+    order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id"), F.col("text_key"))
+    first = found.where("group_key is not null").groupBy("group_key").agg(F.min(order).alias("row"))
+    alone = found.where("group_key is null").select("doc_id", "text_key").distinct()
+    kept = first.select("row.doc_id", "row.text_key").unionByName(alone)
+    kept = kept.select(F.col("doc_id").alias("__kept_id"), F.col("text_key").alias("__kept_text"))
+    key = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b"")))
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__kept_id")) & (key == F.col("__kept_text"))
+    return docs.join(kept, same, "left_semi")
+
+
 def _pack(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compress = zstandard.ZstdCompressor(level=3).compress
