@@ -20,21 +20,27 @@ ALPHA = 0.4
 BUCKET_BYTES = 24 * 1024 * 1024
 #: N-grams that a task adds up before it hands on their counts.
 PENDING = 4_000_000
+#: Least number of hash partitions of the tables.
+LEAST_BUCKETS = 64
 _RUN = 0xA0761D6478BD642F
+#: Stands before the first word.
+_START = np.uint64(0x9D39247E33776D41)
 
 TABLE = "bucket int, kind int, key bigint, grams binary, counts binary, contexts binary, lengths binary"
 _COUNT, _ASK = 0, 1
 
 
 def grams(words: np.ndarray, order: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bucket, context, gram) of each n-gram, as hashes.
+    """(bucket, context, gram) of the n-gram that ends at each word, as hashes.
+
+    The first words are preceded by start signs, so every word has an n-gram of every order.
 
     The bucket follows from the context, so that all counts a relative frequency needs lie in one
     bucket. Unigrams have no context; their own hash gives the bucket.
     """
-    if len(words) < order:
-        none = np.zeros(0, np.uint64)
-        return none.astype(np.int32), none, none
+    if not len(words):
+        return words.astype(np.int32), words, words
+    words = np.concatenate([np.full(order - 1, _START), words])
     gram = mix(rolling(words, order, _RUN), 20 + order)
     context = mix(rolling(words[:-1], order - 1, _RUN), 30 + order) if order > 1 else np.zeros_like(gram)
     place = mix(context if order > 1 else gram, 22)
@@ -118,8 +124,8 @@ def count_tables(docs: DataFrame, order: int, buckets: int) -> DataFrame:
 def _asked(docs: DataFrame, order: int, buckets: int, first: bool) -> DataFrame:
     """The exploded n-grams of the documents, one row per document and bucket (rows: key, text, missed).
 
-    In the first round every word asks for its longest n-gram, which is shorter for the first
-    words. Later rounds ask for the words whose n-gram one longer is in ``missed``.
+    In the first round every word asks for its longest n-gram. Later rounds ask for the words
+    whose n-gram one longer is in ``missed``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +139,7 @@ def _asked(docs: DataFrame, order: int, buckets: int, first: bool) -> DataFrame:
                     else:
                         lost = np.frombuffer(b"".join(batch["missed"][i].as_py()), np.uint64)
                         longer = grams(words, order + 1, buckets)[2]
-                        at = np.flatnonzero(np.isin(longer, lost)) + 1
+                        at = np.flatnonzero(np.isin(longer, lost))
                         b, _, g = (x[at] for x in grams(words, order, buckets))
                     if len(g):
                         bucket.append(b)
@@ -254,12 +260,13 @@ def score(
     Counts are taken over all rows of ``corpus`` (a frame with a column ``text_col``). A word's
     score is the share of its n-gram in the counts of its context; where the n-gram was never
     counted it is ``alpha`` times the score by one word less, at last the word's share of all words,
-    or of half a count for a word never seen. The first words of a text have shorter n-grams.
+    or of half a count for a word never seen. Start signs precede the first words of a text.
 
     Per order: the tables are partial counts dealt out by the context's hash, the n-grams of each
     document go to the same partitions, and what is found is summed per document. Only documents
-    with n-grams not found take part in the next round. The number of hash partitions follows the
-    corpus, so that one holds about BUCKET_BYTES of text.
+    with n-grams not found take part in the next round; without any, the scores are complete. The
+    number of hash partitions follows the corpus, so that one holds the n-grams of at most about
+    BUCKET_BYTES of text; a document has at most one row per partition and never more than words.
 
     Words are runs of anything but ASCII white space. NULL and empty texts have no words, log_score 0 and
     per_word NULL. Repeated rows get equal scores. Extra columns are not read. With an empty corpus
@@ -274,21 +281,19 @@ def score(
     words = F.regexp_count(F.col("text").cast("string"), spaces).cast("bigint")
     sizes = counted.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.coalesce(F.sum(words), F.lit(0))).first()
     size, total = sizes
-    buckets = max(partitions(spark), -(-size // BUCKET_BYTES))
+    buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
 
     known = stage(rows.groupBy("key").agg(F.count("*").alias("copies"), F.max(words).alias("n_words")), "lm-texts")
     sums: DataFrame | None = None
     pending = rows.select("key", "text")
     for n in range(order, 0, -1):
         asked = _asked(pending, n, buckets, n == order)
-        if n < order:
-            # The n-th word, which has no longer n-gram.
-            heads = rows.select("key", F.col("text")).mapInArrow(_heads(n, buckets), TABLE)
-            asked = asked.unionByName(heads)
         answers = stage(_looked_up(asked, count_tables(counted, n, buckets), n, total, alpha), f"lm-order-{n}")
         part = answers.groupBy("key").agg(F.sum("score").alias("score"))
         sums = part if sums is None else sums.unionByName(part)
         lost = answers.where("missed is not null").groupBy("key").agg(F.collect_set("missed").alias("missed"))
+        if not lost.take(1):
+            break
         pending = rows.select("key", "text").join(lost, "key")
     scored = sums.groupBy("key").agg(F.sum("score").alias("score"))
     per_text = known.join(scored, "key", "left").select(
@@ -302,27 +307,6 @@ def score(
     )
 
 
-def _heads(order: int, buckets: int):
-    """The n-gram of a text's n-th word, as rows of :data:`TABLE`."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch["key"].to_numpy(zero_copy_only=False)
-            for begin, part in slices(batch["text"].to_pylist()):
-                owner, bucket, gram = [], [], []
-                for i, words in enumerate(word_hashes(part), begin):
-                    b, _, g = grams(words[:order], order, buckets)
-                    if len(g):
-                        owner.append(i)
-                        bucket.append(b[0])
-                        gram.append(g[0])
-                n = len(owner)
-                data = np.array(gram, np.uint64)
-                yield _questions(np.array(bucket, np.int32), keys[np.array(owner, np.int64)], _blobs(data, np.arange(n + 1)))
-
-    return run
-
-
 def score_corpus(docs: DataFrame, **options) -> DataFrame:
     """Every document scored by the counts of all documents, its own words included."""
     return score(docs, docs, **options)
