@@ -372,7 +372,7 @@ class SnapshotPipeline:
         """Store the feeds with provenance and record what was read."""
         store = self.store
         raw = {name: feeds.read_feed(self.spark, name, sources[name]) for name in sources}
-        origin = files.relative_to(F.col("_metadata.file_path"), store.raw_root)
+        origin = files.relative_to(files.plain_path(F.col("_metadata.file_path")), store.raw_root)
         loaded = {
             name: feeds.with_provenance(df, run_id, origin) for name, df in raw.items()
         }

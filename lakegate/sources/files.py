@@ -69,9 +69,14 @@ def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.assign(file_sha256=digests)
 
 
+def plain_path(file_path: Column) -> Column:
+    """A file's path as it was given: ``_metadata.file_path`` is percent-encoded."""
+    return F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
+
+
 def rows_per_file(df: DataFrame) -> DataFrame:
     """Rows of a file-based frame by source file (partial counts, one row per file and task)."""
-    return df.groupBy(F.col("_metadata.file_path").alias("__file")).agg(
+    return df.groupBy(plain_path(F.col("_metadata.file_path")).alias("__file")).agg(
         F.count(F.lit(1)).alias("row_count")
     )
 
@@ -81,7 +86,7 @@ def relative_to(path: Column, root: str) -> Column:
     plain = F.regexp_replace(path, "^file:/+", "/")
     base = root.removeprefix("file://").rstrip("/") + "/"
     return F.when(
-        plain.startswith(base), F.substring(plain, len(base) + 1, 100_000)
+        plain.startswith(base), F.substring(plain, F.lit(len(base) + 1), F.length(plain))
     ).otherwise(plain)
 
 
