@@ -313,7 +313,7 @@ def runs(spark: SparkSession, folder: str) -> DataFrame:
         ),
         status.alias("status"),
         days.cast("int").alias("days_requested"),
-        F.col("o_custkey").cast("int").alias("seed"),
+        F.col("o_custkey").cast("bigint").alias("seed"),
         F.floor(price).cast("int").alias("raw_trips"),
         (number % 50).cast("int").alias("rejected_trips"),
         (F.col("o_custkey") % 720).cast("int").alias("gold_hourly_rows"),

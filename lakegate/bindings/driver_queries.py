@@ -154,7 +154,8 @@ def manifest_verify(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def manifest_replayable(spark: SparkSession, folder: str) -> DataFrame:
     recorded = d.recorded_files(spark, folder)
-    return manifests.replayable(manifests.verify_manifest(recorded, d.observed_files(recorded)))
+    verdicts = manifests.verify_manifest(recorded, d.observed_files(recorded))
+    return manifests.replayable_runs(d.runs(spark, folder), verdicts)
 
 
 # --- typing and contracts --------------------------------------------------------------
@@ -576,7 +577,7 @@ def drift_compare_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def drift_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    return profiles.drift_rollup(d.drift_results(spark, folder), ["run_id"])
+    return profiles.drift_rollup_of_runs(d.runs(spark, folder), d.drift_results(spark, folder))
 
 
 @query

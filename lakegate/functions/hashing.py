@@ -56,7 +56,7 @@ def multiset_digest(df: DataFrame, digest: Column, by: Sequence[str] = ()) -> Da
     slices = [
         F.conv(F.substring(F.col("__digest"), 1 + i * _SLICE_DIGITS, _SLICE_DIGITS), 16, 10)
         .cast("bigint")
-        .cast("decimal(20,0)")
+        .cast("decimal(28,0)")
         for i in range(_SLICES)
     ]
     summed = (
@@ -65,7 +65,7 @@ def multiset_digest(df: DataFrame, digest: Column, by: Sequence[str] = ()) -> Da
         .agg(
             F.count(F.lit(1)).alias("row_count"),
             *[
-                F.coalesce(F.sum(part), F.lit(0).cast("decimal(30,0)")).alias(f"__s{i}")
+                F.coalesce(F.sum(part), F.lit(0).cast("decimal(38,0)")).alias(f"__s{i}")
                 for i, part in enumerate(slices)
             ],
         )

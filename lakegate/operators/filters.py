@@ -24,7 +24,7 @@ class FactFilter:
     def __post_init__(self) -> None:
         if self.start_date and self.end_date and self.start_date > self.end_date:
             raise ValueError("start_date must be on or before end_date.")
-        if self.zone_id is not None and not re.search(m.ZONE_PATTERN, self.zone_id):
+        if self.zone_id is not None and not re.fullmatch(m.ZONE_PATTERN, self.zone_id):
             raise ValueError(f"zone_id must match {m.ZONE_PATTERN}")
         if self.rider_type is not None and self.rider_type not in m.RIDER_TYPES:
             raise ValueError(f"rider_type must be one of {', '.join(m.RIDER_TYPES)}")

@@ -93,6 +93,22 @@ def replayable(
     )
 
 
+def replayable_runs(
+    runs: DataFrame, verdicts: DataFrame, datasets: Sequence[str] = m.DATASETS
+) -> DataFrame:
+    """:func:`replayable` for every run; a run without any recorded file is not replayable."""
+    return (
+        runs.select("run_id")
+        .join(replayable(verdicts, datasets=datasets), "run_id", "left")
+        .select(
+            "run_id",
+            F.coalesce("files", F.lit(0)).alias("files"),
+            F.coalesce("verified", F.lit(0)).alias("verified"),
+            F.coalesce("replayable", F.lit(False)).alias("replayable"),
+        )
+    )
+
+
 def missing_members(required: DataFrame, present: DataFrame, key: str) -> DataFrame:
     """Required names that are not present."""
     return required.select(key).distinct().join(present.select(key), key, "left_anti")

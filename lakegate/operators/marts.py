@@ -12,7 +12,7 @@ ZONE_KEYS = {"zone_id": "start_zone_id", "zone_name": "start_zone_name"}
 
 
 def row_count(name: str) -> Column:
-    return F.count(F.lit(1)).cast("int").alias(name)
+    return F.count(F.lit(1)).alias(name)
 
 
 def revenue() -> Column:
@@ -85,7 +85,7 @@ def headline_measures() -> list[Column]:
     return [
         row_count("total_trips"),
         revenue().alias("total_revenue"),
-        F.count_distinct("start_station_id").cast("int").alias("active_stations"),
+        F.count_distinct("start_station_id").alias("active_stations"),
         F.min("trip_date").alias("first_trip_date"),
         F.max("trip_date").alias("last_trip_date"),
         mean("duration_min", "avg_duration_min"),

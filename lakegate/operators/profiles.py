@@ -185,6 +185,21 @@ def drift_rollup(drift: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def drift_rollup_of_runs(runs: DataFrame, drift: DataFrame) -> DataFrame:
+    """The overall drift state of every run; a run without drift rows has ``no_baseline``."""
+    return (
+        runs.select("run_id")
+        .join(drift_rollup(drift, ["run_id"]), "run_id", "left")
+        .select(
+            "run_id",
+            "baseline_run_id",
+            F.coalesce("status", F.lit("no_baseline")).alias("status"),
+            F.coalesce("checked_metrics", F.lit(0)).alias("checked_metrics"),
+            F.coalesce("failed_metrics", F.lit(0)).alias("failed_metrics"),
+        )
+    )
+
+
 def in_priority_order(drift: DataFrame) -> DataFrame:
     """Failing metrics first, then by name."""
     first = F.when(F.col("status") != "pass", 0).otherwise(1)
