@@ -266,8 +266,8 @@ def forest(nodes: list[int], tokens: list[np.ndarray], join: Join) -> list[tuple
     # Dense blocks of tokens, so that memory does not follow the length of the texts.
     order = np.argsort(token, kind="stable")
     owner, token = owner[order], token[order]
-    width = max(1, 4_000_000 // len(tokens))
     last = int(token[-1]) + 1 if len(token) else 0
+    width = max(1, min(last, 4_000_000 // len(tokens)))
     for begin in range(0, last, width):
         a, b = np.searchsorted(token, [begin, begin + width])
         dense = np.zeros((len(tokens), width), np.float32)
