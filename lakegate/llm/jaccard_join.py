@@ -348,7 +348,7 @@ def near_components(
     rows = rows.withColumn("text_key", F.xxhash64("text"))
     known = stage(sets(rows, join), "jaccard-sets")
     schemes = _schemes(known, join)
-    posted = postings(rows, join, schemes)
+    posted = stage(postings(rows, join, schemes), "jaccard-postings")
     # The same node may come from several tasks; the buckets count it once.
     met = stage(buckets(posted), "jaccard-buckets")
     # One document stands for each node that met another.
