@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import content, partitions, pick, ship
+from lakegate.llm.common import content, pick, ship
 from lakegate.llm.encoder import SPECIAL, PieceEncoder, cut_at_spaces, slices
 
 #: A chunk ends where the hash of its last WINDOW bytes has CHUNK_BITS leading zero bits.
@@ -212,9 +212,9 @@ def encode_decode(
     """doc_id, ids (array of int), decoded (text of the ids), one row per input row.
 
     ``gather`` brings documents that share lines to the same task first: they are dealt out by the
-    smallest hash of their lines. That hash alone would put a hot group into one task, so the
-    documents of one hash are spread over tasks again in runs of ids; each run encodes a shared
-    chunk once. The tokenizer file must be at the same path on every worker.
+    smallest hash of their lines. Adaptive execution rebalances: it splits what exceeds its
+    advisory size, so a hot group gets as many tasks as its bytes need, and each of them encodes a
+    shared chunk once. The tokenizer file must be at the same path on every worker.
 
     NULL and empty texts have no ids and decode to the empty text. A text holding the opening of a
     special token is encoded whole. Extra columns are not read.
@@ -225,11 +225,7 @@ def encode_decode(
     if gather:
         lines = F.split(F.coalesce("text", F.lit("")), "\n")
         smallest = F.array_min(F.transform(lines, lambda line: F.xxhash64(line)))
-        count = partitions(spark)
-        place = F.pmod(smallest, F.lit(16 * count))
-        run = F.pmod(F.xxhash64("doc_id"), F.lit(8))
-        rows = rows.withColumn("__place", place).withColumn("__run", run)
-        rows = rows.repartition(count, "__place", "__run").select("doc_id", "text")
+        rows = rows.withColumn("__place", smallest).hint("rebalance", "__place").select("doc_id", "text")
     id_type = rows.schema["doc_id"].dataType.simpleString()
     rows = rows.select("doc_id", content().alias("text"))
 
