@@ -199,6 +199,7 @@ def buckets(posted: DataFrame) -> DataFrame:
     Near copies meet in many buckets with the same members; one of them is enough. Which buckets
     those are is settled by aggregates (number, sums of hashes), so no list of members is built.
     """
+    posted = posted.repartition("key")  # one shuffle, which both uses below read
     several = posted.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
     members = stage(posted.join(several.select("key"), "key").distinct(), "jaccard-members")
     mark = F.xxhash64("node")
@@ -348,7 +349,7 @@ def near_components(
     rows = rows.withColumn("text_key", F.xxhash64("text"))
     known = stage(sets(rows, join), "jaccard-sets")
     schemes = _schemes(known, join)
-    posted = stage(postings(rows, join, schemes), "jaccard-postings")
+    posted = postings(rows, join, schemes)
     # The same node may come from several tasks; the buckets count it once.
     met = stage(buckets(posted), "jaccard-buckets")
     # One document stands for each node that met another.
