@@ -513,11 +513,8 @@ def timeseries_sample(spark: SparkSession, folder: str) -> DataFrame:
 def total_rejects(spark: SparkSession, folder: str) -> DataFrame:
     trips = contracts.rejected(d.judged_trips(spark, folder))
     payments = contracts.rejected(d.judged_payments(spark, folder))
-    counted = marts.with_rejections(
-        d.table(spark, folder, "region").agg(F.count(F.lit(1)).alias("n")), trips, payments
-    )
-    both = F.coalesce("rejected_trips", F.lit(0)) + F.coalesce("rejected_payments", F.lit(0))
-    return counted.select(both.alias("total_rejects"))
+    counts = trips.agg(marts.row_count("n")).unionAll(payments.agg(marts.row_count("n")))
+    return counts.agg(F.sum("n").alias("total_rejects"))
 
 
 # --- profiles, fingerprints, drift -----------------------------------------------------
@@ -582,7 +579,7 @@ def drift_rollup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def drift_ordered(spark: SparkSession, folder: str) -> DataFrame:
-    return profiles.in_priority_order(d.drift_results(spark, folder)).select(
+    return profiles.in_priority_order(d.drift_results(spark, folder), "run_id").select(
         "run_id", "metric_name", "delta", "delta_kind", "threshold", "status"
     )
 
@@ -687,10 +684,12 @@ def failed_check_message(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def publish_decision(spark: SparkSession, folder: str) -> DataFrame:
     tallies = quality.tally(d.quality_results(spark, folder))
-    strict = quality.publish_decision(tallies)
-    lenient = quality.publish_decision(tallies, fail_on_quality=False)
-    return strict.select("run_id", "status", "published").join(
-        lenient.select("run_id", F.col("published").alias("published_by_override")), "run_id"
+    strict = quality.publish_decision(tallies).withColumnRenamed("published", "strictly")
+    return quality.publish_decision(strict, fail_on_quality=False).select(
+        "run_id",
+        "status",
+        F.col("strictly").alias("published"),
+        F.col("published").alias("published_by_override"),
     )
 
 

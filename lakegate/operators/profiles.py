@@ -200,7 +200,7 @@ def drift_rollup_of_runs(runs: DataFrame, drift: DataFrame) -> DataFrame:
     )
 
 
-def in_priority_order(drift: DataFrame) -> DataFrame:
-    """Failing metrics first, then by name."""
+def in_priority_order(drift: DataFrame, *within: str) -> DataFrame:
+    """Failing metrics first, then by name; for many runs, inside each group ``within``."""
     first = F.when(F.col("status") != "pass", 0).otherwise(1)
-    return drift.orderBy(first, "metric_name")
+    return drift.orderBy(*within, first, "metric_name")
