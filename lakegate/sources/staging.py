@@ -18,9 +18,16 @@ Result = TypeVar("Result")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's folder for recoverable intermediate data; a temporary one if unset."""
+    """The cluster's folder for recoverable intermediate data.
+
+    If it is unset, a session in one process gets a temporary one; a cluster is refused, as its
+    executors would each write to their own disk.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="lakegate-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")
