@@ -9,6 +9,7 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from lakegate.llm.common import content, pick, ship, stage
 
@@ -297,38 +298,58 @@ def decontaminate(
     Hit spans of at least ``min_length`` words are cut out of the text (``n_chars``, if there is
     such a column, follows). A document goes when its hit words are more than ``max_coverage`` of
     its words. A clean document is returned as it was, NULL text included.
+
+    With more than one block of items the spans of all blocks are found on the uncut text and
+    united before the document is tested and cut, so the result does not depend on ``block_bytes``.
     """
     spark = docs.sparkSession
     ship(spark)
     blocks = item_blocks(items, "item_id", "text", block_bytes)
-    for block in blocks:
+    position, schema = docs.columns.index(text_col), docs.schema
+    carried = "spans"
+    while carried in {c.lower() for c in docs.columns}:
+        carried += "_"
+    with_spans = StructType([*schema.fields, StructField(carried, ArrayType(IntegerType()))])
+    for number, block in enumerate(blocks):
+        last = number == len(blocks) - 1
         sent = spark.sparkContext.broadcast(block)
-        docs = docs.mapInArrow(_cutter(sent, docs.columns.index(text_col), text_col, window, min_length, max_coverage), docs.schema)
-        if "n_chars" in docs.columns:
-            docs = docs.withColumn("n_chars", F.when(F.col(text_col).isNull(), F.col("n_chars")).otherwise(F.char_length(text_col)).cast(docs.schema["n_chars"].dataType))
-        if len(blocks) > 1:
+        run = _cutter(sent, position, window, min_length, max_coverage, carried, number == 0, last)
+        docs = docs.mapInArrow(run, schema if last else with_spans)
+        if not last:
             docs = stage(docs, "decontaminate")
+    if "n_chars" in docs.columns:
+        docs = docs.withColumn("n_chars", F.when(F.col(text_col).isNull(), F.col("n_chars")).otherwise(F.char_length(text_col)).cast(schema["n_chars"].dataType))
     return docs
 
 
-def _cutter(sent, position: int, text_col: str, window: int, min_length: int, max_coverage: float):
+def _cutter(sent, position: int, window: int, min_length: int, max_coverage: float, name: str, first: bool, last: bool):
+    """Spans of one block, united with those of the earlier blocks in the last column; the last one cuts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(sent.value, window)
         for batch in batches:
-            texts, kept = batch.column(position).to_pylist(), []
+            texts, kept, carried = batch.column(position).to_pylist(), [], []
+            before = [()] * len(texts) if first else batch.column(batch.num_columns - 1).to_pylist()
             for i, text in enumerate(texts):
                 raw = (text or "").encode()
                 sequence = words(raw)
-                spans, _ = automaton.match(sequence)
+                spans = merge_spans(before[i], automaton.match(sequence)[0])
+                if not last:
+                    carried.append(spans)
+                    continue
                 hit = sum(spans[1::2]) - sum(spans[::2])
                 if hit > max_coverage * len(sequence):
                     continue
                 if hit:
                     texts[i] = cut(raw, spans, min_length)[0].decode()
                 kept.append(i)
-            columns = list(batch.columns)
+            columns = list(batch.columns) if first else batch.columns[:-1]
+            names = batch.schema.names[: len(columns)]
+            if not last:
+                spans_column = pa.array(carried, pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*columns, spans_column], [*names, name])
+                continue
             columns[position] = pa.array(texts, batch.schema.field(position).type)
-            whole = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
-            yield whole.take(pa.array(kept, pa.int64()))
+            yield pa.RecordBatch.from_arrays(columns, names).take(pa.array(kept, pa.int64()))
 
     return run

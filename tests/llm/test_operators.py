@@ -182,6 +182,33 @@ def test_contamination(spark, docs, empty):
     assert decontaminate.contamination(empty, bench).count() == 0
 
 
+def test_decontaminate_does_not_depend_on_blocks(spark, docs):
+    a, b, p, x = ([f"{c}{i}" for i in range(100)] for c in "abpx")
+    items = [(1, " ".join(a[:30])), (2, " ".join(b[:30])), (3, " ".join(p[:12])), (4, " ".join(p[6:18])), (5, " ".join(x[:10])), (6, " ".join(x[10:20]))]
+    texts = [
+        a[:30] + [f"y{i}" for i in range(40)] + b[:30],  # 60 of 100 words, 30 by each item
+        [*p[:18], *(f"y{i}" for i in range(30))],  # 18 words of two items that overlap
+        x[:5] + x[10:20] + x[5:10] + [f"y{i}" for i in range(30)],  # neighbours by a cut only
+        x[10:15] + x[:10] + x[15:20] + [f"y{i}" for i in range(30)],
+        [f"y{i}" for i in range(30)],
+    ]
+    rows = spark.createDataFrame([(i, " ".join(t), -1, 0) for i, t in enumerate(texts)], "doc_id bigint, text string, n_chars int, spans int")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    tail = " ".join(f"y{i}" for i in range(30))
+    want = [(1, " " + tail), (2, " ".join([*x[:5], "", *x[5:10], tail])), (3, " ".join([*x[10:15], "", *x[15:20], tail])), (4, tail)]
+    assert sum(map(bool, decontaminate.item_blocks(bench, "item_id", "text", 10))) == len(items)
+    for size in (decontaminate.BLOCK_BYTES, 10):
+        got = decontaminate.decontaminate(rows, bench, block_bytes=size)
+        assert got.columns == rows.columns
+        assert found(got, "doc_id", "text") == want
+        assert found(got, "n_chars", "spans") == sorted(((len(t), 0) for _, t in want), key=repr)
+    long = next(r[1] for r in corpus() if r[1] and len(r[1]) > 300).split()
+    bench = spark.createDataFrame([(1, " ".join(long[5:25])), (2, "two WORDS"), (3, " ".join(long[15:40]))], "item_id bigint, text string")
+    one = decontaminate.decontaminate(docs, bench, max_coverage=0.3)
+    several = decontaminate.decontaminate(docs, bench, max_coverage=0.3, block_bytes=60)
+    assert found(one, *docs.columns) == found(several, *docs.columns)
+
+
 def test_chunked_bpe_equals_the_library(docs, empty):
     path = tokenizer_file("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
