@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 from collections.abc import Iterator
 
@@ -67,10 +68,11 @@ def _bounds(*columns: np.ndarray) -> np.ndarray:
 _NAMES = ["bucket", "kind", "key", "grams", "counts", "contexts", "lengths"]
 
 
-def _questions(bucket: np.ndarray, key: np.ndarray, gram: pa.Array) -> pa.RecordBatch:
-    n = len(bucket)
-    kind, none = np.full(n, _ASK, np.int32), pa.nulls(n, pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(kind), pa.array(key), gram, none, none, none], _NAMES)
+def _questions(bucket: np.ndarray, key: np.ndarray, cuts: np.ndarray, gram: np.ndarray, *number: np.ndarray) -> pa.RecordBatch:
+    """N-grams with how often they are asked for, their own counts and their contexts' own counts."""
+    blobs = [_blobs(gram, cuts), *(_blobs(x.astype("<u4"), cuts) for x in number)]
+    kind = np.full(len(bucket), _ASK, np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(kind), pa.array(key), *blobs], _NAMES)
 
 
 def count_tables(docs: DataFrame, order: int, buckets: int) -> DataFrame:
@@ -121,38 +123,52 @@ def count_tables(docs: DataFrame, order: int, buckets: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, TABLE)
 
 
-def _asked(docs: DataFrame, order: int, buckets: int, first: bool) -> DataFrame:
+def _runs(words: np.ndarray, order: int, buckets: int) -> tuple[np.ndarray, ...]:
+    """A text's distinct n-grams by (bucket, context, gram): the order of its words, where runs begin, and these columns."""
+    bucket, context, gram = grams(words, order, buckets)
+    by = np.lexsort((gram, context, bucket))
+    bucket, context, gram = bucket[by], context[by], gram[by]
+    return by, _bounds(context, gram), bucket, context, gram
+
+
+def _asked(docs: DataFrame, order: int, buckets: int, first: bool, own: bool) -> DataFrame:
     """The exploded n-grams of the documents, one row per document and bucket (rows: key, text, missed).
 
     In the first round every word asks for its longest n-gram. Later rounds ask for the words
-    whose n-gram one longer is in ``missed``.
+    whose n-gram one longer is marked in ``missed``: one byte for each distinct n-gram of the text,
+    in the order of ``_runs``. The others are sent too, asked for zero times: an n-gram that is
+    found has all its shorter ones found, so the marks of one order are enough for the next round.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, keys = batch["text"].to_pylist(), batch["key"].to_numpy(zero_copy_only=False)
             for begin, part in slices(texts):
-                bucket, gram, owner = [], [], []
+                held = []
                 for i, words in enumerate(word_hashes(part), begin):
-                    if first:
-                        b, _, g = grams(words, order, buckets)
-                    else:
-                        lost = np.frombuffer(b"".join(batch["missed"][i].as_py()), np.uint64)
-                        longer = grams(words, order + 1, buckets)[2]
-                        at = np.flatnonzero(np.isin(longer, lost))
-                        b, _, g = (x[at] for x in grams(words, order, buckets))
-                    if len(g):
-                        bucket.append(b)
-                        gram.append(g)
-                        owner.append(np.full(len(g), i))
-                if not gram:
+                    if not len(words):
+                        continue
+                    asks = np.ones(len(words), np.int64)
+                    if not first:
+                        by, edges, *_ = _runs(words, order + 1, buckets)
+                        lost = np.frombuffer(b"".join(batch["missed"][i].as_py()), np.uint8)
+                        asks[by] = np.repeat(lost, np.diff(edges))
+                    by, edges, bucket, context, gram = _runs(words, order, buckets)
+                    at, counts = edges[:-1], np.diff(edges)
+                    mine = above = np.zeros(len(at), np.int64)
+                    if own and order > 1:
+                        runs = _bounds(context)
+                        mine, above = counts, np.repeat(np.diff(runs), np.diff(np.searchsorted(edges, runs)))
+                    elif own:
+                        mine, above = counts, np.full(len(at), len(words))
+                    asks = np.add.reduceat(asks[by], at)
+                    held.append((bucket[at], np.full(len(at), i), gram[at], asks, mine, above))
+                if not held:
                     continue
-                b, g, o = np.concatenate(bucket), np.concatenate(gram), np.concatenate(owner)
-                by = np.lexsort((g, o, b))
-                b, g, o = b[by], g[by], o[by]
-                cuts = _bounds(b, o)
+                bucket, owner, *values = (np.concatenate(x) for x in zip(*held, strict=True))
+                cuts = _bounds(bucket, owner)
                 at = cuts[:-1]
-                yield _questions(b[at], keys[o[at]], _blobs(g, cuts))
+                yield _questions(bucket[at], keys[owner[at]], cuts, *values)
 
     return docs.mapInArrow(run, TABLE)
 
@@ -179,71 +195,89 @@ class _Table:
         self.held = [(gram[first], context[by][first], np.add.reduceat(counts[by], first))]
         self.size = self.merged = len(first)
 
-    def shares(self, total: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted n-grams and the log of their share of the context's count (or of ``total``)."""
+    def known(self, total: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted n-grams, their counts, and their contexts' counts (or ``total``)."""
         if not self.held:
-            return np.zeros(0, np.uint64), np.zeros(0)
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self._merge()
         gram, context, counts = self.held[0]
         if total is not None:
-            return gram, np.log(counts / total)
+            return gram, counts, np.full(len(gram), total)
         _, which = np.unique(context, return_inverse=True)
         sums = np.zeros(which.max() + 1, np.int64)
         np.add.at(sums, which, counts)
-        return gram, np.log(counts / sums[which])
+        return gram, counts, sums[which]
 
 
 def _looked_up(asked: DataFrame, tables: DataFrame, order: int, total: int, alpha: float) -> DataFrame:
-    """(key, score, missed): sum of the log scores found, less the back-offs; n-grams not found."""
+    """(key, bucket, score, missed, lost): sum of the log scores found, less the back-offs; n-grams not found."""
     spark = asked.sparkSession
     placed = tables.unionByName(asked).repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "kind")
     placed = placed.select(*_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, table, shares = None, _Table(), None
-        # A word that was never counted has half a count.
-        lost = math.log(alpha) if order > 1 else math.log(0.5 / max(1, total))
+        current, table, known = None, _Table(), None
         for batch in batches:
-            keys, scores, missed = [], [], []
-            pending: list[tuple[int, bytes]] = []
+            keys, places, scores, missed, incomplete = [], [], [], [], []
+            pending: list[tuple[int, bytes, bytes, bytes, bytes]] = []
 
             def answer() -> None:
                 if not pending:
                     return
-                gram = np.frombuffer(b"".join(g for _, g in pending), np.uint64)
-                starts = np.cumsum([0, *(len(g) // 8 for _, g in pending)])
-                known, logs = shares
-                values, found = np.full(len(gram), lost), np.zeros(len(gram), bool)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, gram), len(known) - 1)
-                    found = known[at] == gram
-                    values[found] = logs[at[found]]
-                scores.extend(np.add.reduceat(values, starts[:-1]).tolist())
-                keys.extend(k for k, _ in pending)
-                whole = np.logical_and.reduceat(found, starts[:-1]) | (order == 1)
-                for i, complete in enumerate(whole.tolist()):
-                    part = slice(starts[i], starts[i + 1])
-                    missed.append(None if complete else np.unique(gram[part][~found[part]]).tobytes())
+                key, *columns = zip(*pending, strict=True)
+                starts = np.cumsum([0, *(len(g) // 8 for g in columns[0])])
+                gram = np.frombuffer(b"".join(columns[0]), np.uint64)
+                asks, mine, above = (np.frombuffer(b"".join(c), "<u4").astype(np.int64) for c in columns[1:])
+                grams_known, counts, sums = known
+                found = np.zeros(len(gram), bool)
+                if order > 1:
+                    values = np.full(len(gram), math.log(alpha))
+                else:
+                    # A word that was never counted has half a count.
+                    values = np.log(0.5 / np.maximum(1, total - above))
+                if len(grams_known):
+                    at = np.minimum(np.searchsorted(grams_known, gram), len(grams_known) - 1)
+                    left = counts[at] - mine
+                    found = (grams_known[at] == gram) & (left > 0)
+                    values[found] = np.log(left[found] / (sums[at] - above)[found])
+                scores.extend(np.add.reduceat(values * asks, starts[:-1]).tolist())
+                keys.extend(key)
+                places.extend([current] * len(key))
+                incomplete.extend((np.logical_or.reduceat(~found, starts[:-1]) & (order > 1)).tolist())
+                flags = (~found).astype(np.uint8).tobytes()
+                missed.extend(flags[a:b] if order > 1 else None for a, b in zip(starts[:-1], starts[1:], strict=True))
                 pending.clear()
 
             for bucket, kind, key, gram, *number in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket != current:
                     answer()
-                    current, table, shares = bucket, _Table(), None
+                    current, table, known = bucket, _Table(), None
                 if kind == _COUNT:
                     table.add(gram, *number)
                 else:
-                    if shares is None:
-                        shares = table.shares(total if order == 1 else None)
+                    if known is None:
+                        known = table.known(total if order == 1 else None)
                         table = _Table()
-                    pending.append((key, gram))
+                    pending.append((key, gram, *number))
             answer()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(scores, pa.float64()), pa.array(missed, pa.binary())],
-                ["key", "score", "missed"],
+                [
+                    pa.array(keys, pa.int64()),
+                    pa.array(places, pa.int32()),
+                    pa.array(scores, pa.float64()),
+                    pa.array(missed, pa.binary()),
+                    pa.array(incomplete, pa.bool_()),
+                ],
+                ["key", "bucket", "score", "missed", "lost"],
             )
 
-    return placed.mapInArrow(run, "key bigint, score double, missed binary")
+    return placed.mapInArrow(run, "key bigint, bucket int, score double, missed binary, lost boolean")
+
+
+def _release(spark) -> None:
+    """Let Spark's cleaner delete the shuffle files of frames that are no longer held."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def score(
@@ -254,17 +288,21 @@ def score(
     text_col: str = "text",
     order: int = ORDER,
     alpha: float = ALPHA,
+    own: bool = False,
 ) -> DataFrame:
     """doc_id, n_words, log_score (sum of natural logs), per_word, one row per row of ``docs``.
 
     Counts are taken over all rows of ``corpus`` (a frame with a column ``text_col``). A word's
     score is the share of its n-gram in the counts of its context; where the n-gram was never
     counted it is ``alpha`` times the score by one word less, at last the word's share of all words,
-    or of half a count for a word never seen. Start signs precede the first words of a text.
+    or of half a count for a word never seen. Start signs precede the first words of a text. ``own``
+    says that the rows of ``docs`` are rows of ``corpus``: each is scored by the counts of all other
+    rows, its own counts being taken off those of its n-grams, their contexts and all words.
 
     Per order: the tables are partial counts dealt out by the context's hash, the n-grams of each
-    document go to the same partitions, and what is found is summed per document. Only documents
-    with n-grams not found take part in the next round; without any, the scores are complete. The
+    document, with its own counts of them, go to the same partitions, and what is found is summed
+    per document. Only documents with n-grams not found take part in the next round; without any,
+    the scores are complete. The
     number of hash partitions follows the corpus, so that one holds the n-grams of at most about
     BUCKET_BYTES of text; a document has at most one row per partition and never more than words.
 
@@ -287,14 +325,19 @@ def score(
     sums: DataFrame | None = None
     pending = rows.select("key", "text")
     for n in range(order, 0, -1):
-        asked = _asked(pending, n, buckets, n == order)
+        asked = _asked(pending, n, buckets, n == order, own)
         answers = stage(_looked_up(asked, count_tables(counted, n, buckets), n, total, alpha), f"lm-order-{n}")
+        del asked
         part = answers.groupBy("key").agg(F.sum("score").alias("score"))
         sums = part if sums is None else sums.unionByName(part)
-        lost = answers.where("missed is not null").groupBy("key").agg(F.collect_set("missed").alias("missed"))
-        if not lost.take(1):
+        if n == 1 or not answers.where("lost").take(1):
             break
+        by_bucket = F.sort_array(F.collect_set(F.struct("bucket", "missed")))
+        lost = answers.groupBy("key").agg(by_bucket.alias("missed"), F.max("lost").alias("lost")).where("lost")
+        lost = lost.select("key", F.transform("missed", lambda x: x["missed"]).alias("missed"))
         pending = rows.select("key", "text").join(lost, "key")
+        _release(spark)
+    _release(spark)
     scored = sums.groupBy("key").agg(F.sum("score").alias("score"))
     per_text = known.join(scored, "key", "left").select(
         "key", "n_words", (F.coalesce("score", F.lit(0.0)) / F.col("copies")).alias("log_score")
@@ -308,5 +351,5 @@ def score(
 
 
 def score_corpus(docs: DataFrame, **options) -> DataFrame:
-    """Every document scored by the counts of all documents, its own words included."""
-    return score(docs, docs, **options)
+    """Every document scored by the counts of all other documents."""
+    return score(docs, docs, own=True, **options)

@@ -141,6 +141,38 @@ def test_lm_scores(docs, empty):
     assert unseen.count() == docs.count()
 
 
+def test_lm_scores_of_a_corpus_leave_out_the_own_text(docs):
+    words = [(r[0], WORDS.findall(r[1] or "")) for r in corpus()]
+
+    def counted(w: list[str]) -> Counter:
+        padded = [None, None, *w]
+        grams = Counter(tuple(padded[p + 3 - n : p + 3]) for n in (1, 2, 3) for p in range(len(w)))
+        above = Counter()
+        for gram, k in grams.items():
+            above[len(gram), gram[:-1]] += k
+        return grams + above
+
+    everything = sum((counted(w) for _, w in words), Counter())
+    want = []
+    for i, w in words:
+        mine = counted(w)
+
+        def log_share(gram: tuple, mine=mine) -> float:
+            left, above = everything[gram] - mine[gram], (len(gram), gram[:-1])
+            if left:
+                return math.log(left / (everything[above] - mine[above]))
+            if len(gram) == 1:
+                return math.log(0.5 / max(1, everything[above] - mine[above]))
+            return math.log(0.4) + log_share(gram[1:])
+
+        padded = [None, None, *w]
+        want.append((i, len(w), sum(log_share(tuple(padded[p : p + 3])) for p in range(len(w)))))
+    want.sort(key=repr)
+    got = found(lm_scoring.score_corpus(docs), "doc_id", "n_words", "log_score")
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert [g[2] for g in got] == pytest.approx([w[2] for w in want])
+
+
 def test_exact_groups(docs, empty):
     rows = corpus()
     size = Counter(r[1] or "" for r in rows)
