@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import groupby
+from itertools import count, groupby, takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -410,10 +410,10 @@ def _pack(texts: DataFrame) -> DataFrame:
 
 def _schemes(known: DataFrame, join: Join) -> dict[int, Scheme]:
     """The scheme of each band, from the number of its documents (one row per size class)."""
-    bounds = [join.begin(k) for k in range(1, 200) if join.begin(k) < 2**31]
-    band = F.lit(0)
-    for k, begin in enumerate(bounds, 1):
-        band = F.when(F.col("n") >= begin, k).otherwise(band) if k < 60 else band
+    # At 100 percent only equality will do: every set is in band 0.
+    starts = map(join.begin, count(1)) if join.percent < 100 else ()
+    bounds = F.array(*(F.lit(b) for b in takewhile(lambda b: b < 2**31, starts))).cast("array<bigint>")
+    band = F.size(F.filter(bounds, lambda b: b <= F.col("n")))
     counts = known.where("n > 0").groupBy(band.alias("band")).agg(
         F.count("*").alias("documents"), F.max("n").alias("largest"), F.avg("n").alias("mean")
     )

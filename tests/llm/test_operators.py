@@ -108,6 +108,20 @@ def test_jaccard_join(docs, empty, n, percent):
     assert jaccard_join.near_components(empty, join).count() == 0
 
 
+def test_jaccard_join_of_equal_sets_only(docs):
+    got = jaccard_join.near_components(docs, jaccard_join.Join(3, 100))
+    assert found(got, "doc_id", "n_shingles", "component_id") == _linked(3, 100)
+
+
+def test_jaccard_join_has_no_highest_band(spark):
+    join = jaccard_join.Join(1, 98)
+    assert join.band(70_000) > 59
+    words = [f"w{i}" for i in range(70_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(["changed", *words[100:]]))]
+    got = jaccard_join.near_components(spark.createDataFrame(rows, "doc_id bigint, text string"), join)
+    assert found(got, "doc_id", "n_shingles", "component_id") == [(1, 70_000, 1), (2, 69_901, 1)]
+
+
 def test_drop_near_copies_keeps_one_of_each(docs):
     left = jaccard_join.drop_near_copies(docs, jaccard_join.Join(5, 80))
     assert left.columns == docs.columns
