@@ -15,9 +15,12 @@ from lakegate.llm import (
     exact_dedup,
     jaccard_join,
     kd_sharding,
+    lexical_search,
+    line_quality,
     lm_scoring,
     quality,
     substring_dedup,
+    token_alignment,
     token_files,
     warc,
 )
@@ -127,3 +130,22 @@ def op10_chunked_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return chunked_bpe.digests(
         chunked_bpe.encode_decode(documents, tokenizer_file("word_bpe_49k.json"))
     )
+
+
+@query
+def op11_line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return line_quality.line_quality(table(spark, folder, "documents"))
+
+
+@query
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.align(
+        table(spark, folder, "documents"),
+        tokenizer_file("byte_bpe_50k.json"),
+        tokenizer_file("piece_bpe_32k.model"),
+    )
