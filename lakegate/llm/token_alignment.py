@@ -3,28 +3,25 @@
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Iterator
+from dataclasses import dataclass
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from lakegate.llm.common import content, pick, ship, stage
-from lakegate.llm.encoder import safe_end, safe_start
+from lakegate.llm.encoder import PieceEncoder, safe_end, safe_start, slices
 from lakegate.llm.perfect_hash import KeyTable, PerfectHash, shard_of
 
-os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-
-#: Aligned units kept per Python worker; beyond it the table starts anew.
-UNITS = 400_000
-#: Text cut into units at once; a cut is made between two units only.
+#: A longer text is encoded and aligned in parts, cut between words that both tokenizers part.
 PART = 1024 * 1024
+#: Tokens (of both tokenizers) aligned at once.
+SLICE_TOKENS = 2_000_000
 #: Id pairs of one table (about 20 bytes each, sent to every task); more pairs take several tables.
 TABLE_PAIRS = 4_000_000
 #: Pairs of one perfect hash.
@@ -45,7 +42,8 @@ def byte_alphabet() -> dict[str, int]:
 def parts_of(text: bytes) -> Iterator[bytes]:
     """The text in parts of about ``PART`` bytes, cut at spaces that both tokenizers cut at.
 
-    The space of a cut belongs to no part.
+    The space of a cut belongs to no part: each part stands for one space and its bytes, as the
+    whole text does.
     """
     begin = 0
     while True:
@@ -58,180 +56,204 @@ def parts_of(text: bytes) -> Iterator[bytes]:
         begin = at + 1
 
 
-def units_of(part: bytes, clean: dict[bytes, bool]) -> list[bytes]:
-    """Pieces of a part, without the single spaces between them, that both tokenizers encode alone."""
-    words = part.split(b" ")
-    get = clean.get
-    known = [get(w) for w in words]
-    if None in known:
-        for i, flag in enumerate(known):
-            if flag is None:
-                word = words[i]
-                known[i] = clean[word] = safe_start(word) and safe_end(word)
-    if all(known):
-        return words
-    units = [words[0]]
-    for word in words[1:]:
-        if safe_end(units[-1]) and safe_start(word):
-            units.append(word)
-        else:
-            units[-1] += b" " + word
-    return units
-
-
-class Aligner:
-    """Both tokenizers, and the alignment of every unit seen so far.
-
-    A unit stands for its bytes with one space before them. Both tokenizers end a token at the end
-    of every unit, so groups and links lie inside units, and those of a text are the units' one
-    after the other. Per unit: number of tokens, groups and links, the groups as text, and the
-    pair key of every link.
-    """
+class Pair:
+    """Both tokenizers, with the bytes of every token."""
 
     def __init__(self, path_a: str, path_b: str) -> None:
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
+        self.encoder = PieceEncoder(path_a, 500_000)
+        self.encoder.tokenizer.encode_special_tokens = True
         alphabet = byte_alphabet()
-        self.bytes_a = {
-            number: bytes(alphabet[c] for c in name) if all(c in alphabet for c in name) else name.encode()
-            for name, number in self.a.get_vocab(with_added_tokens=True).items()
-        }
+        vocabulary = self.encoder.tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
+        for name, number in vocabulary.items():
+            plain = all(c in alphabet for c in name)
+            self.bytes_a[number] = bytes(alphabet[c] for c in name) if plain else name.encode()
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_b = [
             bytes([int(self.b.id_to_piece(i)[3:-1], 16)]) if self.b.is_byte(i)
             else self.b.id_to_piece(i).replace("▁", " ").encode()
             for i in range(self.b.get_piece_size())
         ]
-        self.generation = 0
-        self.clear()
-
-    def clear(self) -> None:
-        self.generation += 1
-        self.number: dict[bytes, int] = {}
-        self.clean: dict[bytes, bool] = {}
-        #: Of each unit: tokens of A and of B, groups, links; tokens of A are -1 if bytes differ.
-        self.figures: list[tuple[int, int, int, int]] = []
-        self.groups: list[bytes] = []
-        self.keys: list[np.ndarray] = []
-        #: Numbers of the links' pairs in one key table, filled as they are asked for.
-        self.found: dict[int, np.ndarray] = {}
-
-    def numbers(self, units: list[bytes]) -> list[int]:
-        new = list(set(units).difference(self.number))
-        if new:
-            texts = [u.decode("utf-8", "replace") for u in new]
-            ids_a = [x.ids for x in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-            ids_b = self.b.encode(texts, num_threads=1)
-            for unit, a, b in zip(new, ids_a, ids_b, strict=True):
-                self.number[unit] = len(self.figures)
-                self._add(b" " + unit, a, b)
-        return list(map(self.number.__getitem__, units))
-
-    def _add(self, whole: bytes, a: list[int], b: list[int]) -> None:
-        tokens_a, tokens_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(tokens_a) != whole or b"".join(tokens_b) != whole:
-            self.figures.append((-1, 0, 0, 0))
-            self.groups.append(b"")
-            self.keys.append(np.zeros(0, np.int64))
-            return
-        names, keys, links = [], [], 0
-        i = j = end_a = end_b = 0
-        from_a = from_b = 0
-        end_a, end_b = len(tokens_a[0]), len(tokens_b[0])
-        while True:
-            keys.append(a[i] << 32 | b[j])
-            links += 1
-            if end_a == end_b:
-                left, right = ",".join(map(str, a[from_a : i + 1])), ",".join(map(str, b[from_b : j + 1]))
-                names.append(f"{left}|{right}")
-                from_a, from_b = i + 1, j + 1
-                if i + 1 == len(a):
-                    break
-            step_a, step_b = end_a <= end_b, end_b <= end_a
-            if step_a:
-                i += 1
-                end_a += len(tokens_a[i])
-            if step_b:
-                j += 1
-                end_b += len(tokens_b[j])
-        self.figures.append((len(a), len(b), len(names), links))
-        self.groups.append(";".join(names).encode())
-        self.keys.append(np.array(keys, np.int64))
-
-    def align(self, text: bytes) -> list[list[int]] | None:
-        """The unit numbers of a text, in parts; None if it has no tokens."""
-        if not text:
-            return None
-        if len(self.number) > UNITS:
-            self.clear()
-        out = [self.numbers(units_of(part, self.clean)) for part in parts_of(text)]
-        bad = any(self.figures[u][0] < 0 for part in out for u in set(part))
-        return None if bad else out
-
-    def pairs(self, units: set[int], table: KeyTable) -> np.ndarray:
-        """Numbers in the table of the distinct pairs linked in some units."""
-        self.look_up(units, table)
-        return np.unique(np.concatenate([*map(self.found.__getitem__, units), np.zeros(0, np.int64)]))
-
-    def look_up(self, units: set[int], table: KeyTable) -> None:
-        new = [u for u in units if u not in self.found]
-        if new:
-            keys = [self.keys[u] for u in new]
-            found = table.find(np.concatenate(keys))
-            for u, part in zip(new, np.split(found, np.cumsum([len(k) for k in keys])[:-1]), strict=True):
-                self.found[u] = part
-
-
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
-
-
-def aligner(path_a: str, path_b: str) -> Aligner:
-    """One per pair of tokenizer files and Python worker; what it knows of other tables is dropped."""
+        self.lengths_a = np.array([len(x) for x in self.bytes_a], np.int32)
+        self.lengths_b = np.array([len(x) for x in self.bytes_b], np.int32)
+        # The text of each id in a group: followed by more of its side, or last of its side.
+        self.names = [
+            *(f"{i}{end}".encode() for i in range(len(self.bytes_a)) for end in (",", "|")),
+            *(f"{i}{end}".encode() for i in range(len(self.bytes_b)) for end in (",", ";")),
+        ]
+
+    def encode(self, texts: list[bytes]) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
+        """Ids of each text by both tokenizers, part by part; no part if bytes are not given back."""
+        parts = [list(parts_of(t)) if t else [] for t in texts]
+        flat = [p for of_text in parts for p in of_text]
+        # A letter before the space keeps the first word like all others: white space never joins
+        # a letter before it, so the letter has its own id and the rest is as without it.
+        ids_a = iter(self.encoder.encode([b"x " + p for p in flat]))
+        ids_b = iter(self.b.encode([p.decode("utf-8", "replace") for p in flat], num_threads=1))
+        for of_text in parts:
+            found, exact = [], True
+            for part in of_text:
+                a = np.frombuffer(next(ids_a), self.encoder.dtype)[1:].astype(np.int32)
+                b = np.array(next(ids_b), np.int32)
+                whole = b" " + part
+                exact = exact and b"".join(map(self.bytes_a.__getitem__, a.tolist())) == whole
+                exact = exact and b"".join(map(self.bytes_b.__getitem__, b.tolist())) == whole
+                found.append((a, b))
+            yield found if exact else []
+
+
+_PAIRS: dict[tuple[str, str], Pair] = {}
+
+
+def pair_of(path_a: str, path_b: str) -> Pair:
+    """One per pair of tokenizer files and Python worker."""
     key = (path_a, path_b)
-    if key not in _ALIGNERS:
-        _ALIGNERS[key] = Aligner(path_a, path_b)
-    return _ALIGNERS[key]
+    if key not in _PAIRS:
+        _PAIRS[key] = Pair(path_a, path_b)
+    return _PAIRS[key]
+
+
+@dataclass(slots=True)
+class Alignment:
+    """Several token sequences aligned at once; ``cuts`` part links and groups by sequence.
+
+    A link is a stretch of bytes between neighbouring token ends of either side, and so belongs to
+    one token of each; a group ends where both sides end.
+    """
+
+    keys: np.ndarray
+    link_cuts: np.ndarray
+    group_cuts: np.ndarray
+    names: list[bytes]
+
+
+def align_tokens(tool: Pair, sequences: list[tuple[np.ndarray, np.ndarray]], with_names: bool) -> Alignment:
+    """``names``: each sequence's groups as text."""
+    none = np.zeros(0, np.int32)
+    a = np.concatenate([none, *(x for x, _ in sequences)])
+    b = np.concatenate([none, *(y for _, y in sequences)])
+    ends_a, ends_b = np.cumsum(tool.lengths_a[a], dtype=np.int64), np.cumsum(tool.lengths_b[b], dtype=np.int64)
+    mark = np.zeros(int(ends_a[-1]) + 1 if len(a) else 1, np.uint8)
+    mark[ends_a] = 1
+    mark[ends_b] |= 2
+    at = np.flatnonzero(mark)
+    side = mark[at]
+    is_a, is_b = side & 1, side >> 1
+    i = np.cumsum(is_a, dtype=np.int64) - is_a
+    j = np.cumsum(is_b, dtype=np.int64) - is_b
+    keys = a[i].astype(np.int64) << 32 | b[j]
+    both = side == 3
+    count_a = np.cumsum([0, *(len(x) for x, _ in sequences)])
+    count_b = np.cumsum([0, *(len(y) for _, y in sequences)])
+    stops = np.concatenate([[0], ends_a])[count_a]  # where each sequence ends, in bytes
+    link_cuts = np.searchsorted(at, stops, "right")
+    group_cuts = np.concatenate([[0], np.cumsum(both, dtype=np.int64)])[link_cuts]
+    names: list[bytes] = []
+    if with_names:
+        # Tokens in the order of the text: of each group first those of A, then those of B.
+        last_a, last_b = i[both], j[both]
+        group_a = np.repeat(np.arange(len(last_a)), np.diff(last_a, prepend=-1))
+        group_b = np.repeat(np.arange(len(last_b)), np.diff(last_b, prepend=-1))
+        place_a = np.arange(len(a)) + np.concatenate([[0], last_b + 1])[group_a]
+        place_b = np.arange(len(b)) + last_a[group_b] + 1
+        code_a, code_b = 2 * a.astype(np.int64), 2 * (b.astype(np.int64) + len(tool.bytes_a))
+        code_a[last_a] += 1
+        code_b[last_b] += 1
+        codes = np.empty(len(a) + len(b), np.int64)
+        codes[place_a], codes[place_b] = code_a, code_b
+        words = list(map(tool.names.__getitem__, codes.tolist()))
+        bounds = (count_a + count_b).tolist()
+        names = [b"".join(words[x:y])[:-1] for x, y in zip(bounds, bounds[1:], strict=False)]
+    return Alignment(keys, link_cuts, group_cuts, names)
+
+
+def totals(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Sum of the values of each sequence."""
+    return np.diff(np.concatenate([[0], np.cumsum(values, dtype=np.int64)])[cuts])
+
+
+def encoded(rows: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """doc_id, the ids of both tokenizers as 32-bit integers, and the tokens of each part."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = pair_of(path_a, path_b)
+        for batch in batches:
+            for begin, texts in slices(batch["text"].to_pylist()):
+                a, b, parts = [], [], []
+                for found in tool.encode(texts):
+                    a.append(b"".join(x.tobytes() for x, _ in found))
+                    b.append(b"".join(y.tobytes() for _, y in found))
+                    parts.append([n for x, y in found for n in (len(x), len(y))])
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "doc_id": batch["doc_id"].slice(begin, len(texts)),
+                        "a": pa.array(a, pa.binary()),
+                        "b": pa.array(b, pa.binary()),
+                        "parts": pa.array(parts, pa.list_(pa.int32())),
+                    }
+                )
+
+    return rows.mapInArrow(run, f"doc_id {kind}, a binary, b binary, parts array<int>")
+
+
+def sliced(batch: pa.RecordBatch) -> Iterator[tuple[int, int, bool, list[tuple[np.ndarray, np.ndarray]]]]:
+    """(first row, rows, is it the last slice of its rows, sequences) of about ``SLICE_TOKENS``.
+
+    A slice holds the sequences of whole rows, or some parts of one row (then ``rows`` is 0).
+    """
+    begin, held, size = 0, [], 0
+    columns = (batch["a"].to_pylist(), batch["b"].to_pylist(), batch["parts"].to_pylist())
+    for row, (a, b, parts) in enumerate(zip(*columns, strict=True)):
+        a, b = np.frombuffer(a, np.int32), np.frombuffer(b, np.int32)
+        tokens = len(a) + len(b)
+        if held and size + tokens > SLICE_TOKENS:
+            yield begin, len(held), True, held
+            begin, held, size = row, [], 0
+        if tokens <= SLICE_TOKENS:
+            held.append((a, b))
+            size += tokens
+            continue
+        cuts_a, cuts_b = np.cumsum([0, *parts[::2]]), np.cumsum([0, *parts[1::2]])
+        some: list[tuple[np.ndarray, np.ndarray]] = []
+        for k in range(len(cuts_a) - 1):
+            some.append((a[cuts_a[k] : cuts_a[k + 1]], b[cuts_b[k] : cuts_b[k + 1]]))
+            last = k == len(cuts_a) - 2
+            if last or sum(len(x) + len(y) for x, y in some) > SLICE_TOKENS:
+                yield row, 0, last, some
+                some = []
+        begin = row + 1
+    if held:
+        yield begin, len(held), True, held
 
 
 _TABLES: dict[str, KeyTable] = {}
 
 
-def _table(key: str, sent, tool: Aligner) -> KeyTable:
+def _table(key: str, sent) -> KeyTable:
     """Unpacked once per Python worker; one table is held at a time."""
     if key not in _TABLES:
         _TABLES.clear()
         _TABLES[key] = KeyTable(*sent.value)
-        tool.found.clear()
     return _TABLES[key]
 
 
-def distinct_pairs(rows: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def distinct_pairs(tokens: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """``pair``: the distinct id pairs linked anywhere (A's id in the upper, B's in the lower half)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = aligner(path_a, path_b)
-        seen, generation = np.zeros(0, np.int64), tool.generation
+        tool = pair_of(path_a, path_b)
+        seen = np.zeros(0, np.int64)
         for batch in batches:
-            fresh: set[int] = set()
-            found = [seen]
-            for text in batch["text"]:
-                parts = tool.align(text.as_py())
-                if tool.generation != generation:
-                    fresh.clear()  # the table of units was emptied: their numbers begin anew
-                    generation = tool.generation
-                new = {u for part in parts or () for u in part} - fresh
-                fresh |= new
-                if new:
-                    found.append(np.concatenate([tool.keys[u] for u in new]))
-            seen = np.unique(np.concatenate(found))
-            if len(seen) > 2_000_000:
-                yield pa.RecordBatch.from_pydict({"pair": seen})
-                seen = np.zeros(0, np.int64)
+            for _, _, _, sequences in sliced(batch):
+                found = align_tokens(tool, sequences, False).keys
+                seen = np.union1d(seen, found)
+                if len(seen) > 2_000_000:
+                    yield pa.RecordBatch.from_pydict({"pair": seen})
+                    seen = np.zeros(0, np.int64)
         yield pa.RecordBatch.from_pydict({"pair": seen})
 
-    return rows.select("text").mapInArrow(run, "pair bigint").distinct()
+    return tokens.select("a", "b", "parts").mapInArrow(run, "pair bigint").distinct()
 
 
 def key_table(pairs: DataFrame, count: int) -> tuple[list[bytes], list[np.ndarray]]:
@@ -259,36 +281,39 @@ def key_table(pairs: DataFrame, count: int) -> tuple[list[bytes], list[np.ndarra
     return packed, keys
 
 
-def document_counts(rows: DataFrame, path_a: str, path_b: str, sent, key: str, size: int) -> np.ndarray:
+def document_counts(tokens: DataFrame, path_a: str, path_b: str, sent, key: str, size: int) -> np.ndarray:
     """In how many documents each pair of the table is linked: dense vectors, summed as a tree."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = aligner(path_a, path_b)
-        table = _table(key, sent, tool)
-        counts = np.zeros(size, np.int64)
+        tool, table = pair_of(path_a, path_b), _table(key, sent)
+        counts, open_ = np.zeros(size, np.int64), np.zeros(0, np.int64)
         for batch in batches:
-            for text in batch["text"]:
-                parts = tool.align(text.as_py())
-                if parts:
-                    pairs = tool.pairs({u for part in parts for u in part}, table)
-                    counts[pairs[pairs >= 0]] += 1
+            for _, rows, complete, sequences in sliced(batch):
+                found = align_tokens(tool, sequences, False)
+                pairs = table.find(found.keys)
+                if not rows:  # some parts of one document
+                    open_ = np.union1d(open_, pairs[pairs >= 0])
+                    if complete:
+                        counts[open_] += 1
+                        open_ = open_[:0]
+                    continue
+                doc = np.repeat(np.arange(rows), np.diff(found.link_cuts))
+                linked = np.unique((doc * (size + 1) + pairs)[pairs >= 0])
+                counts += np.bincount(linked % (size + 1), minlength=size)[:size]
         group = TaskContext.get().partitionId() % 64
         for begin in range(0, size, PIECE):
             piece = counts[begin : begin + PIECE]
             if piece.any():
-                yield pa.RecordBatch.from_pydict(
-                    {"piece": [begin // PIECE], "branch": [group], "counts": [piece.tobytes()]}
-                )
+                yield _row((begin // PIECE, group), piece)
 
-    def summed(column: str):
+    def summed(by_branch: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # Rows come sorted by piece (and branch): one vector is held at a time.
             last, total = None, None
             for batch in batches:
-                rows = zip(batch["piece"].to_pylist(), batch["branch"].to_pylist(), batch["counts"].to_pylist(), strict=True)
-                for piece, branch, blob in rows:
+                for piece, branch, blob in zip(*(batch[c].to_pylist() for c in ("piece", "branch", "counts")), strict=True):
                     vector = np.frombuffer(blob, np.int64)
-                    name = (piece, branch if column == "branch" else 0)
+                    name = (piece, branch if by_branch else 0)
                     if name == last:
                         total = total + vector
                         continue
@@ -301,9 +326,9 @@ def document_counts(rows: DataFrame, path_a: str, path_b: str, sent, key: str, s
         return run
 
     schema = "piece bigint, branch bigint, counts binary"
-    few = rows.select("text").coalesce(COUNTING_TASKS).mapInArrow(counted, schema)
-    branches = few.repartition("piece", "branch").sortWithinPartitions("piece", "branch").mapInArrow(summed("branch"), schema)
-    whole = branches.repartition("piece").sortWithinPartitions("piece").mapInArrow(summed("piece"), schema)
+    few = tokens.select("a", "b", "parts").coalesce(COUNTING_TASKS).mapInArrow(counted, schema)
+    branches = few.repartition("piece", "branch").sortWithinPartitions("piece", "branch").mapInArrow(summed(True), schema)
+    whole = branches.repartition("piece").sortWithinPartitions("piece").mapInArrow(summed(False), schema)
     counts = np.zeros(size, np.int64)
     for row in whole.collect():  # the vector itself, bounded by the table
         begin = row["piece"] * PIECE
@@ -328,12 +353,13 @@ def align(
 ) -> DataFrame:
     """One row per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256.
 
-    Three maps over the texts. The first gathers the distinct id pairs, from which tasks build a
-    minimal perfect hash; the second counts, per pair, the documents that link it, in one dense
-    vector per task; the third aligns the documents again and looks the counts up. Only the pairs
-    are shuffled, never texts or tokens. Their number is bounded by the two vocabularies; a table
-    takes ``table_pairs`` of them, all pairs of an id of A in the same table, and where there are
-    more, the second and third map run once per table and their figures are added.
+    Every text is encoded once and its ids are staged. Then three maps over the ids: the first
+    gathers the distinct id pairs, from which tasks build a minimal perfect hash; the second
+    counts, per pair, the documents that link it, in one dense vector per task; the third aligns
+    again and looks the counts up. Pairs and vectors are shuffled, never texts or ids. The number
+    of pairs is bounded by the two vocabularies; a table takes ``table_pairs`` of them, all pairs
+    of an id of A in the same table, and where there are more, the second and third map run once
+    per table and their figures are added.
 
     NULL and empty texts, and those whose tokens do not give back their bytes, have zeros and an
     empty digest, and count for no pair. Repeated rows are documents of their own. NULL ids are
@@ -343,7 +369,8 @@ def align(
     spark = docs.sparkSession
     ship(spark)
     rows = pick(docs, doc_id=id_col, text=text_col).select("doc_id", content().alias("text"))
-    pairs = stage(distinct_pairs(rows, path_a, path_b), "id-pairs")
+    tokens = stage(encoded(rows, path_a, path_b), "two-tokenizers")
+    pairs = stage(distinct_pairs(tokens, path_a, path_b), "id-pairs")
     count = pairs.count()
     tables = max(1, -(-count // table_pairs))
     table_of = F.pmod(F.xxhash64(F.shiftright("pair", 32)), F.lit(tables))
@@ -353,73 +380,78 @@ def align(
         packed, keys = key_table(mine, size)
         key = uuid4().hex
         sent = spark.sparkContext.broadcast((packed, keys))
-        counts = document_counts(rows, path_a, path_b, sent, key, size)
+        counts = document_counts(tokens, path_a, path_b, sent, key, size)
         by_a = np.concatenate([*keys, np.zeros(0, np.int64)]) >> 32
         names, at = np.unique(by_a, return_inverse=True)
         highest = np.zeros(len(names), np.int64)
         np.maximum.at(highest, at, counts)
         known = spark.sparkContext.broadcast((counts, counts == highest[at]))
         last = number == tables - 1
-        rows = _answered(rows, path_a, path_b, sent, key, known, number == 0, last, with_groups)
+        tokens = _answered(tokens, path_a, path_b, sent, key, known, number == 0, last, with_groups)
         if not last:
-            rows = stage(rows, "alignment")
-    return rows
+            tokens = stage(tokens, "alignment")
+    return tokens
 
 
-def _answered(rows, path_a: str, path_b: str, sent, key: str, known, first: bool, last: bool, with_groups: bool) -> DataFrame:
-    """The third map. Between tables the text is carried with what was found so far."""
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    names = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+def _answered(tokens, path_a: str, path_b: str, sent, key: str, known, first: bool, last: bool, with_groups: bool) -> DataFrame:
+    """The third map. Between tables the ids are carried with what was found so far."""
+    kind = tokens.schema["doc_id"].dataType.simpleString()
+    added, others = ("n_best", "count_sum"), ("n_a", "n_b", "n_groups", "n_links")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = aligner(path_a, path_b)
-        table = _table(key, sent, tool)
+        tool, table = pair_of(path_a, path_b), _table(key, sent)
         counts, best = known.value
         # A pair of another table has number -1: the entry added at the end.
         counts, best = np.append(counts, 0), np.append(best, False)
         for batch in batches:
-            out, digests, groups = [], [], []
-            before = [(0, 0)] * batch.num_rows
+            n = batch.num_rows
+            total = {name: np.zeros(n, np.int64) for name in (*others, *added)}
             if not first:
-                before = list(zip(batch["n_best"].to_pylist(), batch["count_sum"].to_pylist(), strict=True))
-            for text, (n_best, count_sum) in zip(batch["text"], before, strict=True):
-                parts = tool.align(text.as_py())
-                if parts is None:
-                    out.append([0] * 6)
-                    digests.append("")
-                    groups.append("")
+                total |= {name: batch[name].to_numpy().copy() for name in added}
+            digests, groups, open_, texts = [""] * n, [""] * n, hashlib.sha256(), []
+            for begin, rows, complete, sequences in sliced(batch):
+                found = align_tokens(tool, sequences, last)
+                pairs = table.find(found.keys)
+                values = {
+                    "n_a": np.array([len(a) for a, _ in sequences]),
+                    "n_b": np.array([len(b) for _, b in sequences]),
+                    "n_groups": np.diff(found.group_cuts),
+                    "n_links": np.diff(found.link_cuts),
+                    "n_best": totals(best[pairs], found.link_cuts),
+                    "count_sum": totals(counts[pairs], found.link_cuts),
+                }
+                for name, value in values.items():
+                    if rows:
+                        total[name][begin : begin + rows] += value
+                    else:
+                        total[name][begin] += value.sum()
+                if not last:
+                    continue
+                if rows:
+                    for k, name in enumerate(found.names):
+                        if name:
+                            digests[begin + k] = hashlib.sha256(name).hexdigest()
+                            groups[begin + k] = name.decode() if with_groups else ""
                     continue
-                digest, text_groups = hashlib.sha256(), []
-                total = np.zeros(4, np.int64)
-                for i, units in enumerate(parts):
-                    used, times = np.unique(np.array(units), return_counts=True)
-                    used = used.tolist()
-                    tool.look_up(set(used), table)
-                    total += times @ np.array([tool.figures[u] for u in used], np.int64)
-                    links = np.concatenate([tool.found[u] for u in used])
-                    often = np.repeat(times, [len(tool.found[u]) for u in used])
-                    n_best += int(often[best[links]].sum())
-                    count_sum += int(often @ counts[links])
-                    if last:
-                        named = b";".join(map(tool.groups.__getitem__, units))
-                        digest.update(b";" + named if i else named)
-                        if with_groups:
-                            text_groups.append(named.decode())
-                out.append([*total.tolist(), n_best, count_sum])
-                digests.append(digest.hexdigest())
-                groups.append(";".join(text_groups))
+                for name in found.names:
+                    open_.update(b";" + name if texts else name)
+                    texts.append(name if with_groups else b"")
+                if complete:
+                    digests[begin] = open_.hexdigest()
+                    groups[begin] = b";".join(texts).decode()
+                    open_, texts = hashlib.sha256(), []
             columns = {"doc_id": batch["doc_id"]}
             if not last:
-                columns["text"] = batch["text"]
-            for i, name in enumerate(names):
-                columns[name] = pa.array([x[i] for x in out], pa.int64())
+                columns |= {name: batch[name] for name in ("a", "b", "parts")}
+            columns |= {name: pa.array(total[name], pa.int64()) for name in (*others, *added)}
             if last:
                 columns["groups_sha256"] = pa.array(digests, pa.string())
                 if with_groups:
                     columns["groups"] = pa.array(groups, pa.string())
             yield pa.RecordBatch.from_pydict(columns)
 
-    schema = f"doc_id {kind}, " + ("" if last else "text binary, ") + ", ".join(f"{n} bigint" for n in names)
+    schema = f"doc_id {kind}, " + ("" if last else "a binary, b binary, parts array<int>, ")
+    schema += ", ".join(f"{name} bigint" for name in (*others, *added))
     if last:
         schema += ", groups_sha256 string" + (", groups string" if with_groups else "")
-    return rows.mapInArrow(run, schema)
+    return tokens.mapInArrow(run, schema)

@@ -9,6 +9,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -216,21 +217,43 @@ def test_token_alignment(docs, empty, table_pairs):
     assert token_alignment.align(empty, *paths).count() == 0
 
 
-@pytest.mark.parametrize("part,units", [(200, 30), (1, 1)])
-def test_parts_and_small_tables_change_nothing(monkeypatch, part, units):
-    paths = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+@pytest.mark.parametrize("part,tokens", [(200, 300), (1, 1)])
+def test_parts_and_slices_change_nothing(monkeypatch, part, tokens):
+    tool = token_alignment.Pair(tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+    texts = [(r[1] or "").encode() for r in corpus()]
+
+    def groups():
+        a, b, parts = [], [], []
+        for found in tool.encode(texts):
+            a.append(b"".join(x.tobytes() for x, _ in found))
+            b.append(b"".join(y.tobytes() for _, y in found))
+            parts.append([n for x, y in found for n in (len(x), len(y))])
+        columns = {"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "parts": pa.array(parts, pa.list_(pa.int32()))}
+        out: dict[int, list[bytes]] = defaultdict(list)
+        for begin, rows, _, sequences in token_alignment.sliced(pa.RecordBatch.from_pydict(columns)):
+            for k, name in enumerate(token_alignment.align_tokens(tool, sequences, True).names):
+                out[begin + k if rows else begin].append(name)
+        return {row: b";".join(names) for row, names in out.items()}
+
+    whole = groups()
+    assert len(whole) == len(texts)
+    monkeypatch.setattr(token_alignment, "PART", part)
+    monkeypatch.setattr(token_alignment, "SLICE_TOKENS", tokens)
+    assert groups() == whole
 
-    def groups(tool):
-        out = []
-        for _, text, *_ in corpus():
-            parts = tool.align((text or "").encode())
-            out.append(parts and b";".join(tool.groups[u] for p in parts for u in p))
-        return out
 
-    whole = groups(token_alignment.Aligner(*paths))
-    monkeypatch.setattr(token_alignment, "PART", part)
-    monkeypatch.setattr(token_alignment, "UNITS", units)
-    assert groups(token_alignment.Aligner(*paths)) == whole
+def test_one_very_long_text(spark):
+    paths = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    text = "Some words, again and again: naïve tokens! " * 60_000
+    rows = spark.createDataFrame([(1, text), (2, "again and"), (3, text[:-1])], "doc_id bigint, text string").coalesce(1)
+    got = {r["doc_id"]: r for r in token_alignment.align(rows, *paths, with_groups=True).collect()}
+    encoded = Tokenizer.from_file(paths[0]).encode(" " + text, add_special_tokens=False)
+    assert got[1]["n_a"] == len(encoded.ids)
+    assert got[1]["groups"].count(";") + 1 == got[1]["n_groups"]
+    assert ",".join(g.split("|")[0] for g in got[1]["groups"].split(";")) == ",".join(map(str, encoded.ids))
+    # "again" and "and" (after a space) are in all three documents, every other pair in two.
+    assert got[2]["count_sum"] == 3 * got[2]["n_links"]
+    assert got[3]["groups_sha256"] == hashlib.sha256(got[3]["groups"].encode()).hexdigest()
 
 
 @given(st.sets(st.integers(0, 2**62), max_size=400))
