@@ -3,25 +3,35 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import json
+import re
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from lakegate.llm.common import content, pick, ship, stage
-from lakegate.llm.encoder import PieceEncoder, safe_end, safe_start, slices
+from lakegate.llm.encoder import safe_end, safe_start, slices
 from lakegate.llm.perfect_hash import KeyTable, PerfectHash, shard_of
 
 #: A longer text is encoded and aligned in parts, cut between words that both tokenizers part.
 PART = 1024 * 1024
+#: Text encoded at once.
+SLICE_BYTES = 1024 * 1024
 #: Tokens (of both tokenizers) aligned at once.
-SLICE_TOKENS = 2_000_000
+SLICE_TOKENS = 400_000
+#: The split of byte-level BPE before its merges. FIXED VALUE of that public scheme.
+BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: A longer word goes to the tokenizer's own library, whose time does not grow with its square.
+_LONG_WORD = re.compile(rb"[^\x09-\x0D\x20]{1000}")
 #: Id pairs of one table (about 20 bytes each, sent to every task); more pairs take several tables.
 TABLE_PAIRS = 4_000_000
 #: Pairs of one perfect hash.
@@ -56,50 +66,102 @@ def parts_of(text: bytes) -> Iterator[bytes]:
         begin = at + 1
 
 
-class Pair:
-    """Both tokenizers, with the bytes of every token."""
+class Strings:
+    """Numbered byte strings, put together by array operations."""
 
-    def __init__(self, path_a: str, path_b: str) -> None:
-        self.encoder = PieceEncoder(path_a, 500_000)
-        self.encoder.tokenizer.encode_special_tokens = True
+    def __init__(self, strings: Sequence[bytes]) -> None:
+        self.lengths = np.array([len(x) for x in strings], np.int32)
+        self.starts = np.cumsum(self.lengths, dtype=np.int64) - self.lengths
+        self.blob = np.frombuffer(b"".join(strings), np.uint8)
+
+    def text(self, numbers: np.ndarray) -> np.ndarray:
+        lengths = self.lengths[numbers]
+        shift = self.starts[numbers] - (np.cumsum(lengths, dtype=np.int64) - lengths)
+        return self.blob[np.arange(int(lengths.sum())) + np.repeat(shift, lengths)]
+
+
+class ByteLevel:
+    """A byte-level BPE from its tokenizer file; the strings of special tokens are plain text.
+
+    Where ids rise with the order of merges, the merges are done by ranks; other files, and long
+    words, are left to the file's own library.
+    """
+
+    def __init__(self, path: str) -> None:
+        self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = True
+        self.library.no_truncation()
+        self.library.no_padding()
+        with open(path, encoding="utf-8") as source:
+            content = json.load(source)
         alphabet = byte_alphabet()
-        vocabulary = self.encoder.tokenizer.get_vocab(with_added_tokens=True)
-        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        tokens = [b""] * (max(vocabulary.values()) + 1)
         for name, number in vocabulary.items():
             plain = all(c in alphabet for c in name)
-            self.bytes_a[number] = bytes(alphabet[c] for c in name) if plain else name.encode()
+            tokens[number] = bytes(alphabet[c] for c in name) if plain else name.encode()
+        self.strings = Strings(tokens)
+        model, split = content["model"], content.get("pre_tokenizer") or {}
+        special = {t["content"] for t in content.get("added_tokens", ())}
+        merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+        order = [model["vocab"][m] for m in merged]
+        by_rank = (
+            split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+            and not content.get("normalizer") and not model.get("ignore_merges")
+            and all(x < y for x, y in zip(order, order[1:], strict=False))
+        )
+        self.fast = None
+        if by_rank:
+            ranks = {tokens[i]: i for name, i in model["vocab"].items() if name not in special}
+            self.fast = tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, text: bytes) -> np.ndarray:
+        if self.fast is None or _LONG_WORD.search(text):
+            return np.array(self.library.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, np.int32)
+        return np.array(self.fast.encode_ordinary(text.decode("utf-8", "replace")), np.int32)
+
+
+class Pair:
+    """Both tokenizers, with the bytes of every token."""
+
+    def __init__(self, path_a: str, path_b: str) -> None:
+        self.a = ByteLevel(path_a)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        self.bytes_b = [
-            bytes([int(self.b.id_to_piece(i)[3:-1], 16)]) if self.b.is_byte(i)
-            else self.b.id_to_piece(i).replace("▁", " ").encode()
-            for i in range(self.b.get_piece_size())
-        ]
-        self.lengths_a = np.array([len(x) for x in self.bytes_a], np.int32)
-        self.lengths_b = np.array([len(x) for x in self.bytes_b], np.int32)
+        self.strings_a = self.a.strings
+        self.strings_b = Strings(
+            [
+                bytes([int(self.b.id_to_piece(i)[3:-1], 16)]) if self.b.is_byte(i)
+                else self.b.id_to_piece(i).replace("▁", " ").encode()
+                for i in range(self.b.get_piece_size())
+            ]
+        )
         # The text of each id in a group: followed by more of its side, or last of its side.
-        self.names = [
-            *(f"{i}{end}".encode() for i in range(len(self.bytes_a)) for end in (",", "|")),
-            *(f"{i}{end}".encode() for i in range(len(self.bytes_b)) for end in (",", ";")),
-        ]
-
-    def encode(self, texts: list[bytes]) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
+        self.size_a = len(self.strings_a.lengths)
+        self.names = Strings(
+            [
+                *(f"{i}{end}".encode() for i in range(self.size_a) for end in (",", "|")),
+                *(f"{i}{end}".encode() for i in range(self.b.get_piece_size()) for end in (",", ";")),
+            ]
+        )
+
+    def encode(self, texts: Sequence[bytes]) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
         """Ids of each text by both tokenizers, part by part; no part if bytes are not given back."""
-        parts = [list(parts_of(t)) if t else [] for t in texts]
-        flat = [p for of_text in parts for p in of_text]
-        # A letter before the space keeps the first word like all others: white space never joins
-        # a letter before it, so the letter has its own id and the rest is as without it.
-        ids_a = iter(self.encoder.encode([b"x " + p for p in flat]))
-        ids_b = iter(self.b.encode([p.decode("utf-8", "replace") for p in flat], num_threads=1))
-        for of_text in parts:
-            found, exact = [], True
-            for part in of_text:
-                a = np.frombuffer(next(ids_a), self.encoder.dtype)[1:].astype(np.int32)
-                b = np.array(next(ids_b), np.int32)
-                whole = b" " + part
-                exact = exact and b"".join(map(self.bytes_a.__getitem__, a.tolist())) == whole
-                exact = exact and b"".join(map(self.bytes_b.__getitem__, b.tolist())) == whole
-                found.append((a, b))
-            yield found if exact else []
+        for _, some in slices(texts, SLICE_BYTES):
+            parts = [list(parts_of(t)) if t else [] for t in some]
+            flat = [p for of_text in parts for p in of_text]
+            ids_b = iter(self.b.encode([p.decode("utf-8", "replace") for p in flat], num_threads=1))
+            for of_text in parts:
+                found, exact = [], True
+                for part in of_text:
+                    whole = b" " + part
+                    a, b = self.a.encode(whole), np.array(next(ids_b), np.int32)
+                    exact = exact and self._gives(self.strings_a, a, whole) and self._gives(self.strings_b, b, whole)
+                    found.append((a, b))
+                yield found if exact else []
+
+    @staticmethod
+    def _gives(strings: Strings, ids: np.ndarray, whole: bytes) -> bool:
+        return int(strings.lengths[ids].sum()) == len(whole) and strings.text(ids).tobytes() == whole
 
 
 _PAIRS: dict[tuple[str, str], Pair] = {}
@@ -132,7 +194,7 @@ def align_tokens(tool: Pair, sequences: list[tuple[np.ndarray, np.ndarray]], wit
     none = np.zeros(0, np.int32)
     a = np.concatenate([none, *(x for x, _ in sequences)])
     b = np.concatenate([none, *(y for _, y in sequences)])
-    ends_a, ends_b = np.cumsum(tool.lengths_a[a], dtype=np.int64), np.cumsum(tool.lengths_b[b], dtype=np.int64)
+    ends_a, ends_b = np.cumsum(tool.strings_a.lengths[a], dtype=np.int64), np.cumsum(tool.strings_b.lengths[b], dtype=np.int64)
     mark = np.zeros(int(ends_a[-1]) + 1 if len(a) else 1, np.uint8)
     mark[ends_a] = 1
     mark[ends_b] |= 2
@@ -156,14 +218,15 @@ def align_tokens(tool: Pair, sequences: list[tuple[np.ndarray, np.ndarray]], wit
         group_b = np.repeat(np.arange(len(last_b)), np.diff(last_b, prepend=-1))
         place_a = np.arange(len(a)) + np.concatenate([[0], last_b + 1])[group_a]
         place_b = np.arange(len(b)) + last_a[group_b] + 1
-        code_a, code_b = 2 * a.astype(np.int64), 2 * (b.astype(np.int64) + len(tool.bytes_a))
+        code_a, code_b = 2 * a.astype(np.int64), 2 * (b.astype(np.int64) + tool.size_a)
         code_a[last_a] += 1
         code_b[last_b] += 1
         codes = np.empty(len(a) + len(b), np.int64)
         codes[place_a], codes[place_b] = code_a, code_b
-        words = list(map(tool.names.__getitem__, codes.tolist()))
-        bounds = (count_a + count_b).tolist()
-        names = [b"".join(words[x:y])[:-1] for x, y in zip(bounds, bounds[1:], strict=False)]
+        text = tool.names.text(codes).tobytes()
+        ends = np.concatenate([[0], np.cumsum(tool.names.lengths[codes], dtype=np.int64)])
+        bounds = ends[count_a + count_b].tolist()
+        names = [text[x : max(x, y - 1)] for x, y in zip(bounds, bounds[1:], strict=False)]
     return Alignment(keys, link_cuts, group_cuts, names)
 
 
@@ -179,7 +242,7 @@ def encoded(rows: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = pair_of(path_a, path_b)
         for batch in batches:
-            for begin, texts in slices(batch["text"].to_pylist()):
+            for begin, texts in slices(batch["text"].to_pylist(), SLICE_BYTES):
                 a, b, parts = [], [], []
                 for found in tool.encode(texts):
                     a.append(b"".join(x.tobytes() for x, _ in found))

@@ -206,6 +206,7 @@ def _links(ids_a, bytes_a, ids_b, bytes_b):
     return ids_a, ids_b, ";".join(groups), links
 
 
+BYTE_LEVEL = token_alignment.ByteLevel(tokenizer_file("byte_bpe_50k.json"))
 ALIGNED = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
@@ -256,6 +257,18 @@ def test_one_very_long_text(spark):
     assert got[3]["groups_sha256"] == hashlib.sha256(got[3]["groups"].encode()).hexdigest()
 
 
+@given(st.text(st.characters(codec="utf-8"), max_size=60))
+@settings(max_examples=400, deadline=None)
+def test_ranks_give_the_library_ids(text):
+    tool = BYTE_LEVEL
+    assert tool.fast is not None
+    for whole in (text, " " + text + "<|endoftext|>", text + "it's  \n " + text):
+        want = tool.library.encode(whole, add_special_tokens=False).ids
+        assert tool.encode(whole.encode()).tolist() == want
+    long = (text + "ab") * 1200
+    assert tool.encode(long.encode()).tolist() == tool.library.encode(long, add_special_tokens=False).ids
+
+
 @given(st.sets(st.integers(0, 2**62), max_size=400))
 @settings(max_examples=60, deadline=None)
 def test_perfect_hash(keys):
