@@ -10,25 +10,28 @@ from pyspark.sql import types as T
 
 _SLICES = 4
 _SLICE_DIGITS = 15  # 60 bits, always inside a signed BIGINT
+_LIMBS, _LIMB_BITS = 3, 20
 
 
 def canonical_cell(column: Column, dtype: T.DataType) -> Column:
     """Type-tagged text of one value; equal texts mean equal values.
 
-    Text carries its length so that no separator needs escaping. Doubles become two
-    integers (micro units and the remainder in 1e-18 units), which makes -0.0 equal 0.0 and
-    keeps engine-specific float formatting out of the hash.
+    Text carries its length so that no separator needs escaping. Doubles become sign and two
+    integers (units of 2**-20 and the remainder in units of 2**-80), which makes -0.0 equal 0.0
+    and keeps engine-specific float formatting out of the hash; the few that these integers do
+    not hold exactly are written in their shortest distinguishing digits.
     """
     if isinstance(dtype, T.StringType):
         cell = F.concat(F.lit("s"), F.length(column).cast("string"), F.lit(":"), column)
     elif isinstance(dtype, (T.DoubleType, T.FloatType)):
         value = column.cast("double")
-        micro = F.floor(value * F.lit(1e6))
-        rest = F.floor((value - micro.cast("double") / F.lit(1e6)) * F.lit(1e18))
-        small = F.concat(F.lit("d"), micro.cast("string"), F.lit("_"), rest.cast("string"))
-        cell = F.when(F.abs(value) < F.lit(1e12), small).otherwise(
-            F.concat(F.lit("x"), value.cast("string"))
-        )
+        units = F.abs(value) * F.lit(2.0**20)
+        whole = F.floor(units)
+        rest = (units - whole.cast("double")) * F.lit(2.0**60)
+        sign = F.when(value < 0, F.lit("d-")).otherwise(F.lit("d"))
+        small = F.concat(sign, whole.cast("string"), F.lit("_"), F.floor(rest).cast("string"))
+        held = (F.abs(value) < F.lit(1e12)) & (rest == F.floor(rest).cast("double"))
+        cell = F.when(held, small).otherwise(F.concat(F.lit("x"), value.cast("string")))
     elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         cell = F.concat(F.lit("t"), column.cast("string"))
     elif isinstance(dtype, T.DateType):
@@ -53,23 +56,31 @@ def multiset_digest(df: DataFrame, digest: Column, by: Sequence[str] = ()) -> Da
     Digest slices are added (not XOR-ed, so duplicates count) in partial aggregates: each
     task ships one row per group, whatever the number or skew of its input rows.
     """
+    # A slice has 60 bits; it is added as three BIGINT limbs of 20, which hold 2**43 rows, and
+    # put together as a decimal once per group.
+    rows = df.select(*by, digest.alias("__digest"))
     slices = [
         F.conv(F.substring(F.col("__digest"), 1 + i * _SLICE_DIGITS, _SLICE_DIGITS), 16, 10)
         .cast("bigint")
-        .cast("decimal(28,0)")
+        .alias(f"__h{i}")
         for i in range(_SLICES)
     ]
-    summed = (
-        df.select(*by, digest.alias("__digest"))
-        .groupBy(*by)
-        .agg(
-            F.count(F.lit(1)).alias("row_count"),
-            *[
-                F.coalesce(F.sum(part), F.lit(0).cast("decimal(38,0)")).alias(f"__s{i}")
-                for i, part in enumerate(slices)
-            ],
-        )
-    )
+    limbs = [
+        F.sum(F.shiftright(f"__h{i}", _LIMB_BITS * j).bitwiseAND(F.lit((1 << _LIMB_BITS) - 1))).alias(f"__h{i}_{j}")
+        for i in range(_SLICES)
+        for j in range(_LIMBS)
+    ]
+    added = rows.select(*by, *slices).groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"), *limbs)
+
+    def together(i: int) -> Column:
+        parts = [
+            F.coalesce(f"__h{i}_{j}", F.lit(0)).cast("decimal(19,0)")
+            * F.lit(1 << _LIMB_BITS * j).cast("decimal(13,0)")
+            for j in range(_LIMBS)
+        ]
+        return (parts[0] + parts[1] + parts[2]).cast("decimal(38,0)")
+
+    summed = added.select(*by, "row_count", *[together(i).alias(f"__s{i}") for i in range(_SLICES)])
     packed = F.concat_ws(
         ":",
         F.col("row_count").cast("string"),

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
-# Twelve fractional digits; magnitudes up to 1e19 are summed exactly.
-_FIXED_POINT = "decimal(31,12)"
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def scaled_round(column: Column, digits: int) -> Column:
@@ -15,31 +15,217 @@ def scaled_round(column: Column, digits: int) -> Column:
     return F.round(column * scale, 0) / scale
 
 
-def exact_sum(column: Column) -> Column:
-    """Order-independent sum of a double column.
+def ratio(numerator: Column, denominator: Column) -> Column:
+    """Division that yields NULL for a zero denominator."""
+    return numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0))
+
+
+def share(condition: Column) -> Column:
+    """Share of rows meeting the condition; NULL conditions count as not met."""
+    return ratio(F.count_if(condition), F.count(F.lit(1)))
+
+
+# --- order-free sums -------------------------------------------------------------------
+#
+# Adding doubles gives other last bits under another partitioning, which would change rounded
+# marts and fingerprints between two builds of the same data. A value is therefore written as a
+# whole number of units, cut into limbs of 21 bits, and the limbs are added as BIGINT: integer
+# sums do not depend on their order, and 2**42 rows fit. Which unit is meant depends on the
+# value's class, 52 binary exponents each; class 0 holds what a table of amounts and measures
+# normally holds (2**-28 up to 2**24, and 0), and all 40 or so classes together every double.
+
+_LIMBS = 5
+_LIMB_BITS = 21
+_MASK = (1 << _LIMB_BITS) - 1
+_CLASS_BITS = 52
+#: Class 0: unit 2**-80, values from 2**-28 up to 2**24.
+_UNIT_BITS = 80
+_LOW_BITS, _HIGH_BITS = 28, 24
+#: Bits of the two lower limbs.
+_TAIL_BITS = 2 * _LIMB_BITS
+
+
+@dataclass(frozen=True)
+class Measure:
+    """One output of :func:`exact_aggregate`.
 
-    Adding doubles gives other last bits under another partitioning, which would change
-    rounded marts and fingerprints between two builds of the same data. The values are
-    added as fixed-point decimals; if any value does not fit (or is not finite) the plain
-    double sum is returned for that group.
+    Kinds: ``rows``, ``sum``, ``mean``, ``share``, ``min``, ``max``. ``sum`` and ``mean`` are
+    NULL without values; ``share`` is the share of rows that meet the condition, NULL counting as
+    not met. ``finish`` is applied to the result.
     """
-    fixed = column.try_cast(_FIXED_POINT)
-    plain = F.sum(column)
-    return F.when(
-        F.count(column) == F.count(fixed), F.coalesce(F.try_sum(fixed).cast("double"), plain)
-    ).otherwise(plain)
 
+    name: str
+    kind: str
+    column: Column | None = None
+    finish: Callable[[Column], Column] | None = None
 
-def exact_mean(column: Column) -> Column:
-    """Order-independent mean; NULL without values."""
-    return ratio(exact_sum(column), F.count(column))
 
+def value_class(value: Column) -> Column:
+    """The class of a finite double."""
+    size = F.abs(value)
+    home = (size == 0) | ((size >= F.lit(2.0**-_LOW_BITS)) & (size < F.lit(2.0**_HIGH_BITS)))
+    # A value on the border may fall into the class below, which has a bit to spare on top.
+    far = F.floor((F.log2(size) + F.lit(_LOW_BITS - 1e-9)) / F.lit(float(_CLASS_BITS))).cast("int")
+    return F.when(home, F.lit(0)).otherwise(far)
 
-def share(condition: Column) -> Column:
-    """Share of rows meeting the condition; NULL conditions count as not met."""
-    return ratio(F.count_if(condition), F.count(F.lit(1)))
+
+def _limbs(value: Column, class_: Column) -> tuple[Column, Column]:
+    """Upper 62 and lower 42 bits of a value's size in units of its class."""
+    # In two factors, as 2**1172 is no double.
+    step = F.pow(F.lit(2.0), F.lit(_UNIT_BITS / 2) - class_ * F.lit(_CLASS_BITS / 2))
+    size = F.abs(value)
+    units = F.when(class_ == 0, size * F.lit(2.0**_UNIT_BITS)).otherwise(size * step * step)
+    upper = F.floor(units * F.lit(2.0**-_TAIL_BITS))
+    lower = (units - upper.cast("double") * F.lit(2.0**_TAIL_BITS)).cast("bigint")
+    return upper, lower
+
+
+def _rounded(limbs: Sequence[Column]) -> Column:
+    """The double nearest to a sum of limbs, in units of 2**42 times the class's unit."""
+    carried, carry = [], F.lit(0).cast("bigint")
+    for limb in limbs[:-1]:
+        whole = limb + carry
+        carried.append(whole.bitwiseAND(F.lit(_MASK)))
+        carry = F.shiftright(whole, _LIMB_BITS)
+    top = (limbs[-1] + carry).cast("decimal(20,0)")
+    tail = F.shiftleft(carried[1], _LIMB_BITS) + carried[0]
+    middle = F.shiftleft(carried[3], _LIMB_BITS) + carried[2]
+    whole = top * F.lit(2**_TAIL_BITS).cast("decimal(13,0)") + middle.cast("decimal(20,0)")
+    # Below 2**53 the whole part is a double and one addition rounds; above, the tail only
+    # decides ties, so it is one bit below the last that counts.
+    exact = whole.cast("double") + tail.cast("double") * F.lit(2.0**-_TAIL_BITS)
+    sticky = F.when(tail != 0, F.lit(1)).otherwise(F.lit(0)).cast("decimal(1,0)")
+    large = (whole * F.lit(4).cast("decimal(1,0)") + sticky).cast("double") / F.lit(4.0)
+    return F.when(F.abs(whole) < F.lit(2**53).cast("decimal(16,0)"), exact).otherwise(large)
+
+
+def _total(parts: Column) -> Column:
+    """Sum of (class, limbs) structs: exact inside a class, classes added from the highest down."""
+
+    def of_class(sums: Column, class_: Column) -> Column:
+        def fold(limb: int) -> Column:
+            return F.aggregate(sums, F.lit(0).cast("bigint"), lambda a, x: a + x[f"l{limb}"])
+
+        step = F.pow(F.lit(2.0), class_ * F.lit(_CLASS_BITS / 2))
+        units = F.lit(2.0 ** (_TAIL_BITS - _UNIT_BITS))
+        return _rounded([fold(i) for i in range(_LIMBS)]) * units * step * step
+
+    classes = F.reverse(F.array_sort(F.array_distinct(F.transform(parts, lambda x: x["c"]))))
+    return F.aggregate(
+        classes,
+        F.lit(0.0),
+        lambda total, c: total + of_class(F.filter(parts, lambda x: x["c"] == c), c),
+    )
+
+
+def exact_aggregate(
+    df: DataFrame, keys: Mapping[str, Column | str], measures: Sequence[Measure]
+) -> DataFrame:
+    """Group by ``{output: input}`` and compute measures that no partitioning changes.
+
+    Two aggregations: rows are first added per group and value classes (one combination, as long
+    as all values are of class 0), with partial sums in every task, then those few rows are put
+    together. Without keys there is one row, also for an empty frame. A sum is the double nearest
+    to the exact sum of its values; where they spread over several classes, each class is exact
+    and the classes are added in their order. An infinity or NaN among the values makes the sum
+    infinite or NaN, as plain addition would.
+    """
+    inputs, sums, conditions, extremes = [], {}, {}, {}
+    named = [m for m in measures if m.column is not None]
+    for i, measure in enumerate(named):
+        if measure.kind in ("sum", "mean"):
+            text = str(measure.column)
+            same = next((v for v, (t, _) in sums.items() if t == text), None)
+            if same is None:
+                sums[f"__v{i}"] = (text, measure.column.cast("double"))
+            continue
+        target = conditions if measure.kind == "share" else extremes
+        target[measure.name] = (f"__c{i}", measure.column)
+    inputs += [column.alias(name) for name, (_, column) in sums.items()]
+    inputs += [column.alias(name) for name, column in (*conditions.values(), *extremes.values())]
+    by = [F.col(k) if isinstance(k, str) else k for k in keys.values()]
+    rows = df.select(*[k.alias(f"__k{i}") for i, k in enumerate(by)], *inputs)
+    groups = [f"__k{i}" for i in range(len(by))]
+
+    finite = {v: ~F.isnan(v) & (F.abs(F.col(v)) < F.lit(float("inf"))) for v in sums}
+    rows = rows.select(
+        "*",
+        *[
+            F.when(finite[v], value_class(F.col(v))).otherwise(F.lit(0)).alias(f"{v}_c")
+            for v in sums
+        ],
+    )
+    cut = []
+    for v in sums:
+        upper, lower = _limbs(F.when(finite[v], F.col(v)), F.col(f"{v}_c"))
+        cut += [upper.alias(f"{v}_u"), lower.alias(f"{v}_l")]
+    rows = rows.select("*", *cut)
+
+    partial = [F.count(F.lit(1)).alias("__rows")]
+    partial += [F.count_if(F.col(c)).alias(c) for c, _ in conditions.values()]
+    for measure in named:
+        if measure.kind in ("min", "max"):
+            column = extremes[measure.name][0]
+            partial.append((F.min if measure.kind == "min" else F.max)(column).alias(column))
+    for v in sums:
+        negative = F.col(v) < 0
+        upper, lower = F.col(f"{v}_u"), F.col(f"{v}_l")
+        limbs = [
+            lower.bitwiseAND(F.lit(_MASK)),
+            F.shiftright(lower, _LIMB_BITS),
+            upper.bitwiseAND(F.lit(_MASK)),
+            F.shiftright(upper, _LIMB_BITS).bitwiseAND(F.lit(_MASK)),
+            F.shiftright(upper, 2 * _LIMB_BITS),
+        ]
+        partial += [
+            F.coalesce(F.sum(F.when(negative, -x).otherwise(x)), F.lit(0)).alias(f"{v}_{i}")
+            for i, x in enumerate(limbs)
+        ]
+        partial.append(F.count(v).alias(f"{v}_n"))
+        partial.append(F.sum(F.when(~finite[v], F.col(v))).alias(f"{v}_x"))
+    first = rows.groupBy(*groups, *[f"{v}_c" for v in sums]).agg(*partial)
+
+    second = [F.coalesce(F.sum("__rows"), F.lit(0)).alias("__rows")]
+    second += [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c, _ in conditions.values()]
+    for measure in named:
+        if measure.kind in ("min", "max"):
+            column = extremes[measure.name][0]
+            second.append((F.min if measure.kind == "min" else F.max)(column).alias(column))
+    for v in sums:
+        limbs = [F.col(f"{v}_{i}").alias(f"l{i}") for i in range(_LIMBS)]
+        second.append(F.collect_list(F.struct(F.col(f"{v}_c").alias("c"), *limbs)).alias(f"{v}_p"))
+        second.append(F.coalesce(F.sum(f"{v}_n"), F.lit(0)).alias(f"{v}_n"))
+        second.append(F.sum(f"{v}_x").alias(f"{v}_x"))
+    merged = first.groupBy(*groups).agg(*second)
+    # The sums once, however many measures use them.
+    merged = merged.select(
+        "*",
+        *[
+            F.when(F.col(f"{v}_n") > 0, F.coalesce(f"{v}_x", _total(F.col(f"{v}_p")))).alias(f"{v}_s")
+            for v in sums
+        ],
+    )
+
+    def result(measure: Measure) -> Column:
+        if measure.kind == "rows":
+            found = F.col("__rows")
+        elif measure.kind == "share":
+            found = ratio(F.col(conditions[measure.name][0]), F.col("__rows"))
+        elif measure.kind in ("min", "max"):
+            found = F.col(extremes[measure.name][0])
+        else:
+            v = next(v for v, (text, _) in sums.items() if text == str(measure.column))
+            found = F.col(f"{v}_s")
+            if measure.kind == "mean":
+                found = ratio(found, F.col(f"{v}_n"))
+        return (measure.finish(found) if measure.finish else found).alias(measure.name)
+
+    outputs = [F.col(f"__k{i}").alias(name) for i, name in enumerate(keys)]
+    return merged.select(*outputs, *[result(m) for m in measures])
+
+
+def exact_sum(df: DataFrame, column: str) -> Column:
+    """Order-free sum of a double column as a scalar subquery; NULL without values."""
+    return exact_aggregate(df, {}, [Measure("total", "sum", F.col(column))]).scalar()
 
 
-def ratio(numerator: Column, denominator: Column) -> Column:
-    """Division that yields NULL for a zero denominator."""
-    return numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakegate.bindings import mobility as m
-from lakegate.functions.numeric import exact_mean, exact_sum, scaled_round, share
+from lakegate.functions.numeric import Measure, exact_aggregate, scaled_round
 
 ZONE_KEYS = {"zone_id": "start_zone_id", "zone_name": "start_zone_name"}
 
@@ -15,31 +15,30 @@ def row_count(name: str) -> Column:
     return F.count(F.lit(1)).alias(name)
 
 
-def revenue() -> Column:
-    """NULL when no row of the group is paid."""
-    return scaled_round(exact_sum(F.col("total_amount")), 2)
+def rows(name: str) -> Measure:
+    return Measure(name, "rows")
 
 
-def mean(column: str, name: str) -> Column:
-    return scaled_round(exact_mean(F.col(column)), 2).alias(name)
+def revenue(name: str = "revenue") -> Measure:
+    """NULL when no row of the group is paid."""
+    return Measure(name, "sum", F.col("total_amount"), lambda x: scaled_round(x, 2))
 
 
-def rounded_share(condition: Column, name: str) -> Column:
-    return scaled_round(share(condition), 4).alias(name)
+def mean(column: str, name: str) -> Measure:
+    return Measure(name, "mean", F.col(column), lambda x: scaled_round(x, 2))
 
 
-def aggregate(df: DataFrame, keys: dict[str, str], measures: list[Column]) -> DataFrame:
-    """Group by ``{output: input}`` columns."""
-    return df.groupBy(*[F.col(source).alias(name) for name, source in keys.items()]).agg(*measures)
+def rounded_share(condition: Column, name: str) -> Measure:
+    return Measure(name, "share", condition, lambda x: scaled_round(x, 4))
 
 
 def hourly_mobility(enriched: DataFrame) -> DataFrame:
-    return aggregate(
+    return exact_aggregate(
         enriched,
         {"trip_hour": "trip_hour", **ZONE_KEYS, "rider_type": "rider_type"},
         [
-            row_count("trips"),
-            revenue().alias("revenue"),
+            rows("trips"),
+            revenue(),
             mean("duration_min", "avg_duration_min"),
             mean("distance_km", "avg_distance_km"),
             mean("temp_c", "avg_temp_c"),
@@ -49,7 +48,7 @@ def hourly_mobility(enriched: DataFrame) -> DataFrame:
 
 
 def daily_station_performance(enriched: DataFrame) -> DataFrame:
-    return aggregate(
+    return exact_aggregate(
         enriched,
         {
             "trip_date": "trip_date",
@@ -58,8 +57,8 @@ def daily_station_performance(enriched: DataFrame) -> DataFrame:
             "zone_name": "start_zone_name",
         },
         [
-            row_count("departures"),
-            revenue().alias("revenue"),
+            rows("departures"),
+            revenue(),
             mean("duration_min", "avg_duration_min"),
             mean("distance_km", "avg_distance_km"),
             rounded_share(F.col("rider_type") == "member", "member_trip_share"),
@@ -69,28 +68,42 @@ def daily_station_performance(enriched: DataFrame) -> DataFrame:
 
 def revenue_by_zone(enriched: DataFrame) -> DataFrame:
     """``revenue_per_trip`` averages over paid trips only."""
-    return aggregate(
+    return exact_aggregate(
         enriched,
         ZONE_KEYS,
         [
-            row_count("trips"),
-            revenue().alias("revenue"),
+            rows("trips"),
+            revenue(),
             mean("total_amount", "revenue_per_trip"),
             mean("duration_min", "avg_duration_min"),
         ],
     )
 
 
-def headline_measures() -> list[Column]:
-    return [
-        row_count("total_trips"),
-        revenue().alias("total_revenue"),
-        F.count_distinct("start_station_id").alias("active_stations"),
-        F.min("trip_date").alias("first_trip_date"),
-        F.max("trip_date").alias("last_trip_date"),
-        mean("duration_min", "avg_duration_min"),
-        rounded_share(F.col("has_payment"), "payment_match_rate"),
-    ]
+def headline(enriched: DataFrame) -> DataFrame:
+    """One row of key figures."""
+    found = exact_aggregate(
+        enriched,
+        {},
+        [
+            rows("total_trips"),
+            revenue("total_revenue"),
+            Measure("first_trip_date", "min", F.col("trip_date")),
+            Measure("last_trip_date", "max", F.col("trip_date")),
+            mean("duration_min", "avg_duration_min"),
+            rounded_share(F.col("has_payment"), "payment_match_rate"),
+        ],
+    )
+    stations = enriched.agg(F.count_distinct("start_station_id").alias("n"))
+    return found.select(
+        "total_trips",
+        "total_revenue",
+        stations.scalar().alias("active_stations"),
+        "first_trip_date",
+        "last_trip_date",
+        "avg_duration_min",
+        "payment_match_rate",
+    )
 
 
 def with_rejections(
@@ -107,9 +120,7 @@ def with_rejections(
 def dashboard_summary(
     enriched: DataFrame, trip_rejections: DataFrame, payment_rejections: DataFrame
 ) -> DataFrame:
-    return with_rejections(
-        enriched.agg(*headline_measures()), trip_rejections, payment_rejections
-    )
+    return with_rejections(headline(enriched), trip_rejections, payment_rejections)
 
 
 # Reading order of the marts; stored files carry no order.

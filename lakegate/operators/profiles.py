@@ -10,28 +10,37 @@ from pyspark.sql import functions as F
 
 from lakegate.bindings import mobility as m
 from lakegate.functions import casting
-from lakegate.functions.numeric import exact_mean, exact_sum, ratio, share
+from lakegate.functions.numeric import Measure, exact_aggregate, ratio
 from lakegate.operators import joins
 from lakegate.sources.staging import stage, stage_measured
 
 
-def fact_metrics(days: Column) -> dict[str, Column]:
+def fact_metrics(enriched: DataFrame, days: Column, keys: Sequence[str]) -> DataFrame:
     """Metrics of one pass over the enriched fact. Revenue per trip counts unpaid trips."""
-    trips = F.count(F.lit(1))
-    revenue = F.coalesce(exact_sum(F.col("total_amount")), F.lit(0.0))
-    rider_shares = {
-        f"{rider}_share": share(F.col("rider_type") == rider) for rider in m.RIDER_TYPES
-    }
-    return {
-        "total_trips": trips.cast("double"),
-        "daily_trip_rate": trips.cast("double") / days,
-        "total_revenue": revenue,
-        "revenue_per_trip": ratio(revenue, trips),
-        "avg_duration_min": exact_mean(F.col("duration_min")),
-        "avg_distance_km": exact_mean(F.col("distance_km")),
-        "payment_match_rate": share(F.col("has_payment")),
-        **rider_shares,
-    }
+    figures = exact_aggregate(
+        enriched,
+        {key: key for key in keys},
+        [
+            Measure("trips", "rows"),
+            Measure("revenue", "sum", F.col("total_amount")),
+            Measure("avg_duration_min", "mean", F.col("duration_min")),
+            Measure("avg_distance_km", "mean", F.col("distance_km")),
+            Measure("payment_match_rate", "share", F.col("has_payment")),
+            *[Measure(f"{r}_share", "share", F.col("rider_type") == r) for r in m.RIDER_TYPES],
+        ],
+    )
+    revenue = F.coalesce("revenue", F.lit(0.0))
+    return figures.select(
+        *keys,
+        F.col("trips").cast("double").alias("total_trips"),
+        (F.col("trips").cast("double") / days).alias("daily_trip_rate"),
+        revenue.alias("total_revenue"),
+        ratio(revenue, F.col("trips")).alias("revenue_per_trip"),
+        "avg_duration_min",
+        "avg_distance_km",
+        "payment_match_rate",
+        *[f"{r}_share" for r in m.RIDER_TYPES],
+    )
 
 
 def dataset_profiles(
@@ -48,19 +57,16 @@ def dataset_profiles(
     if days <= 0:
         raise ValueError("days must be greater than zero")
     keys = list(by)
+    stations = F.count_distinct("start_station_id").cast("double").alias("active_stations")
+    hours = F.count(F.lit(1)).cast("double").alias("gold_hourly_rows")
     parts = [
-        (enriched, fact_metrics(F.lit(float(days)))),
-        (
-            trips,
-            {"active_stations": F.count_distinct("start_station_id").cast("double")},
-        ),
-        (hourly, {"gold_hourly_rows": F.count(F.lit(1)).cast("double")}),
+        fact_metrics(enriched, F.lit(float(days)), keys),
+        trips.groupBy(*keys).agg(stations),
+        hourly.groupBy(*keys).agg(hours),
     ]
     tall = [
-        df.groupBy(*keys)
-        .agg(*[column.alias(name) for name, column in metrics.items()])
-        .unpivot(keys, list(metrics), "metric_name", "metric_value")
-        for df, metrics in parts
+        part.unpivot(keys, [c for c in part.columns if c not in keys], "metric_name", "metric_value")
+        for part in parts
     ]
     units = F.create_map(*[F.lit(text) for pair in m.PROFILE_UNITS.items() for text in pair])
     return reduce(DataFrame.unionAll, tall).withColumn(

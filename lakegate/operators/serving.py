@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakegate.bindings import mobility as m
 from lakegate.functions import temporal
-from lakegate.functions.numeric import exact_sum, ratio, scaled_round
+from lakegate.functions.numeric import exact_aggregate, exact_sum, ratio, scaled_round
 from lakegate.operators import history, marts
 from lakegate.operators.filters import FactFilter
 
@@ -20,7 +20,7 @@ def summary(
     where: FactFilter,
 ) -> DataFrame:
     """Headline numbers of the filtered fact with unfiltered rejections and the latest run."""
-    figures = where.apply(enriched).agg(*marts.headline_measures())
+    figures = marts.headline(where.apply(enriched))
     figures = figures.withColumn("total_revenue", F.coalesce("total_revenue", F.lit(0.0)))
     latest = history.latest_published(runs).select(
         ratio(
@@ -39,11 +39,9 @@ def summary(
 
 
 def timeseries(enriched: DataFrame, where: FactFilter) -> DataFrame:
-    return (
-        where.apply(enriched)
-        .groupBy("trip_hour")
-        .agg(marts.row_count("trips"), marts.revenue().alias("revenue"))
-        .orderBy("trip_hour")
+    measures = [marts.rows("trips"), marts.revenue()]
+    return exact_aggregate(where.apply(enriched), {"trip_hour": "trip_hour"}, measures).orderBy(
+        "trip_hour"
     )
 
 
@@ -57,7 +55,7 @@ def stations(
     """Busiest start stations; ties are broken by station id."""
     if not 1 <= limit <= m.STATION_LIMIT_MAX:
         raise ValueError(f"limit must be between 1 and {m.STATION_LIMIT_MAX}")
-    ranked = marts.aggregate(
+    ranked = exact_aggregate(
         where.apply(enriched),
         {
             "station_id": "start_station_id",
@@ -65,8 +63,8 @@ def stations(
             "zone_name": "start_zone_name",
         },
         [
-            marts.row_count("departures"),
-            marts.revenue().alias("revenue"),
+            marts.rows("departures"),
+            marts.revenue(),
             marts.rounded_share(F.col("rider_type") == "member", "member_trip_share"),
         ],
     )
@@ -80,17 +78,14 @@ def filter_window(enriched: DataFrame) -> DataFrame:
 
 
 def filter_zones(enriched: DataFrame) -> DataFrame:
-    return (
-        marts.aggregate(enriched, marts.ZONE_KEYS, [F.count(F.lit(1)).alias("n")])
-        .drop("n")
-        .orderBy(F.asc_nulls_last("zone_name"), F.asc_nulls_last("zone_id"))
-    )
+    zones = enriched.select(*[F.col(c).alias(name) for name, c in marts.ZONE_KEYS.items()])
+    return zones.distinct().orderBy(F.asc_nulls_last("zone_name"), F.asc_nulls_last("zone_id"))
 
 
 def revenue_share(zone_rows: DataFrame) -> DataFrame:
     """Each listed zone's part of the listed revenue; 0 when there is none."""
-    total = zone_rows.agg(F.coalesce(exact_sum(F.col("revenue")), F.lit(0.0))).scalar()
-    with_total = zone_rows.withColumn("__total", total)
+    total = exact_sum(zone_rows, "revenue")
+    with_total = zone_rows.withColumn("__total", F.coalesce(total, F.lit(0.0)))
     part = F.coalesce(F.col("revenue"), F.lit(0.0)) / F.nullif(F.col("__total"), F.lit(0.0))
     return with_total.withColumn(
         "revenue_share", F.when(F.col("__total") > 0, part).otherwise(F.lit(0.0))

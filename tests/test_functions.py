@@ -17,19 +17,6 @@ def test_scaled_round(spark):
         assert _one(spark, numeric.scaled_round(F.lit(value), 2)) == expected
 
 
-def test_exact_sum_does_not_depend_on_order(spark):
-    values = [0.1, 0.2, 0.3, 1e9, -1e9, 0.7] * 500
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    sums = {
-        df.repartition(n).agg(numeric.exact_sum(F.col("v"))).first()[0] for n in (1, 3, 7)
-    }
-    assert sums == {650.0}
-    huge = spark.createDataFrame([(1e300,), (1.0,)], "v double")
-    assert huge.agg(numeric.exact_sum(F.col("v"))).first()[0] == 1e300
-    assert df.where("v > 1e10").agg(numeric.exact_sum(F.col("v"))).first()[0] is None
-    assert df.where("v > 1e10").agg(numeric.exact_mean(F.col("v"))).first()[0] is None
-
-
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
 def test_time_does_not_depend_on_the_zone(spark, zone):
     before = spark.conf.get("spark.sql.session.timeZone")

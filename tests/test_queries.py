@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import duckdb
 import pytest
 
@@ -10,8 +12,9 @@ TABLES = ("region", "nation", "customer", "orders", "lineitem", "events")
 
 
 def test_every_query_is_registered_with_sql_or_reads_files():
-    without = set(entry.queries()) - set(entry.oracle_sql())
-    assert without == {"ingest_manifest", "readiness"}
+    """Queries of the optional folders (``op…`` and ``pipeline``) have tests of their own."""
+    own = {name for name in entry.queries() if not re.fullmatch(r"op\d+_.*|pipeline", name)}
+    assert own - set(entry.oracle_sql()) == {"ingest_manifest", "readiness"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
