@@ -88,14 +88,12 @@ class ByteLevel:
     """
 
     def __init__(self, path: str) -> None:
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.path, self._library = path, None
         with open(path, encoding="utf-8") as source:
             content = json.load(source)
         alphabet = byte_alphabet()
-        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        vocabulary = dict(content["model"]["vocab"])
+        vocabulary |= {t["content"]: t["id"] for t in content.get("added_tokens", ())}
         tokens = [b""] * (max(vocabulary.values()) + 1)
         for name, number in vocabulary.items():
             plain = all(c in alphabet for c in name)
@@ -115,6 +113,16 @@ class ByteLevel:
             ranks = {tokens[i]: i for name, i in model["vocab"].items() if name not in special}
             self.fast = tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @property
+    def library(self) -> Tokenizer:
+        """Loaded where it is needed only."""
+        if self._library is None:
+            self._library = Tokenizer.from_file(self.path)
+            self._library.encode_special_tokens = True
+            self._library.no_truncation()
+            self._library.no_padding()
+        return self._library
+
     def encode(self, text: bytes) -> np.ndarray:
         if self.fast is None or _LONG_WORD.search(text):
             return np.array(self.library.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, np.int32)
@@ -135,6 +143,9 @@ class Pair:
                 for i in range(self.b.get_piece_size())
             ]
         )
+        #: Staged ids take two bytes where both vocabularies allow it.
+        sizes = (len(self.strings_a.lengths), len(self.strings_b.lengths))
+        self.dtype = np.dtype("<u2" if max(sizes) <= 65536 else "<u4")
         # The text of each id in a group: followed by more of its side, or last of its side.
         self.size_a = len(self.strings_a.lengths)
         self.names = Strings(
@@ -191,9 +202,9 @@ class Alignment:
 
 def align_tokens(tool: Pair, sequences: list[tuple[np.ndarray, np.ndarray]], with_names: bool) -> Alignment:
     """``names``: each sequence's groups as text."""
-    none = np.zeros(0, np.int32)
-    a = np.concatenate([none, *(x for x, _ in sequences)])
-    b = np.concatenate([none, *(y for _, y in sequences)])
+    none = np.zeros(0, tool.dtype)
+    a = np.concatenate([none, *(x for x, _ in sequences)]).astype(np.int32)
+    b = np.concatenate([none, *(y for _, y in sequences)]).astype(np.int32)
     ends_a, ends_b = np.cumsum(tool.strings_a.lengths[a], dtype=np.int64), np.cumsum(tool.strings_b.lengths[b], dtype=np.int64)
     mark = np.zeros(int(ends_a[-1]) + 1 if len(a) else 1, np.uint8)
     mark[ends_a] = 1
@@ -236,7 +247,7 @@ def totals(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
 
 
 def encoded(rows: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """doc_id, the ids of both tokenizers as 32-bit integers, and the tokens of each part."""
+    """doc_id, the ids of both tokenizers (``Pair.dtype``), and the tokens of each part."""
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,8 +256,8 @@ def encoded(rows: DataFrame, path_a: str, path_b: str) -> DataFrame:
             for begin, texts in slices(batch["text"].to_pylist(), SLICE_BYTES):
                 a, b, parts = [], [], []
                 for found in tool.encode(texts):
-                    a.append(b"".join(x.tobytes() for x, _ in found))
-                    b.append(b"".join(y.tobytes() for _, y in found))
+                    a.append(b"".join(x.astype(tool.dtype).tobytes() for x, _ in found))
+                    b.append(b"".join(y.astype(tool.dtype).tobytes() for _, y in found))
                     parts.append([n for x, y in found for n in (len(x), len(y))])
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -260,15 +271,15 @@ def encoded(rows: DataFrame, path_a: str, path_b: str) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, a binary, b binary, parts array<int>")
 
 
-def sliced(batch: pa.RecordBatch) -> Iterator[tuple[int, int, bool, list[tuple[np.ndarray, np.ndarray]]]]:
+def sliced(batch: pa.RecordBatch, dtype: np.dtype) -> Iterator[tuple[int, int, bool, list[tuple[np.ndarray, np.ndarray]]]]:
     """(first row, rows, is it the last slice of its rows, sequences) of about ``SLICE_TOKENS``.
 
     A slice holds the sequences of whole rows, or some parts of one row (then ``rows`` is 0).
     """
     begin, held, size = 0, [], 0
-    columns = (batch["a"].to_pylist(), batch["b"].to_pylist(), batch["parts"].to_pylist())
-    for row, (a, b, parts) in enumerate(zip(*columns, strict=True)):
-        a, b = np.frombuffer(a, np.int32), np.frombuffer(b, np.int32)
+    columns = (batch["a"], batch["b"], batch["parts"])
+    for row, (ids_a, ids_b, counts) in enumerate(zip(*columns, strict=True)):
+        a, b = (np.frombuffer(x.as_buffer(), dtype) if x.as_buffer().size else np.zeros(0, dtype) for x in (ids_a, ids_b))
         tokens = len(a) + len(b)
         if held and size + tokens > SLICE_TOKENS:
             yield begin, len(held), True, held
@@ -277,6 +288,7 @@ def sliced(batch: pa.RecordBatch) -> Iterator[tuple[int, int, bool, list[tuple[n
             held.append((a, b))
             size += tokens
             continue
+        parts = counts.as_py()
         cuts_a, cuts_b = np.cumsum([0, *parts[::2]]), np.cumsum([0, *parts[1::2]])
         some: list[tuple[np.ndarray, np.ndarray]] = []
         for k in range(len(cuts_a) - 1):
@@ -308,7 +320,7 @@ def distinct_pairs(tokens: DataFrame, path_a: str, path_b: str) -> DataFrame:
         tool = pair_of(path_a, path_b)
         seen = np.zeros(0, np.int64)
         for batch in batches:
-            for _, _, _, sequences in sliced(batch):
+            for _, _, _, sequences in sliced(batch, tool.dtype):
                 found = align_tokens(tool, sequences, False).keys
                 seen = np.union1d(seen, found)
                 if len(seen) > 2_000_000:
@@ -351,7 +363,7 @@ def document_counts(tokens: DataFrame, path_a: str, path_b: str, sent, key: str,
         tool, table = pair_of(path_a, path_b), _table(key, sent)
         counts, open_ = np.zeros(size, np.int64), np.zeros(0, np.int64)
         for batch in batches:
-            for _, rows, complete, sequences in sliced(batch):
+            for _, rows, complete, sequences in sliced(batch, tool.dtype):
                 found = align_tokens(tool, sequences, False)
                 pairs = table.find(found.keys)
                 if not rows:  # some parts of one document
@@ -472,7 +484,7 @@ def _answered(tokens, path_a: str, path_b: str, sent, key: str, known, first: bo
             if not first:
                 total |= {name: batch[name].to_numpy().copy() for name in added}
             digests, groups, open_, texts = [""] * n, [""] * n, hashlib.sha256(), []
-            for begin, rows, complete, sequences in sliced(batch):
+            for begin, rows, complete, sequences in sliced(batch, tool.dtype):
                 found = align_tokens(tool, sequences, last)
                 pairs = table.find(found.keys)
                 values = {

@@ -226,12 +226,12 @@ def test_parts_and_slices_change_nothing(monkeypatch, part, tokens):
     def groups():
         a, b, parts = [], [], []
         for found in tool.encode(texts):
-            a.append(b"".join(x.tobytes() for x, _ in found))
-            b.append(b"".join(y.tobytes() for _, y in found))
+            a.append(b"".join(x.astype(tool.dtype).tobytes() for x, _ in found))
+            b.append(b"".join(y.astype(tool.dtype).tobytes() for _, y in found))
             parts.append([n for x, y in found for n in (len(x), len(y))])
         columns = {"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "parts": pa.array(parts, pa.list_(pa.int32()))}
         out: dict[int, list[bytes]] = defaultdict(list)
-        for begin, rows, _, sequences in token_alignment.sliced(pa.RecordBatch.from_pydict(columns)):
+        for begin, rows, _, sequences in token_alignment.sliced(pa.RecordBatch.from_pydict(columns), tool.dtype):
             for k, name in enumerate(token_alignment.align_tokens(tool, sequences, True).names):
                 out[begin + k if rows else begin].append(name)
         return {row: b";".join(names) for row, names in out.items()}
