@@ -269,9 +269,10 @@ def lineitem_contract(spark: SparkSession, folder: str) -> DataFrame:
     """A second feed under its own contract: order lines with their order's date."""
     lines = joins.with_row_id(d.table(spark, folder, "lineitem"))
     orders = d.table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
-    hot = joins.frequent_keys(lines, ["l_orderkey"])["l_orderkey"]
-    raw = joins.salted_left_join(lines, orders, "l_orderkey", "o_orderkey", hot).select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line_key"),
+    line_key = F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line_key")
+    splits = joins.key_splits(lines, "l_orderkey")
+    raw = joins.salted_left_join(lines, orders, "l_orderkey", "o_orderkey", splits).select(
+        line_key,
         F.col("o_orderdate").alias("ordered_at"),
         F.col("l_shipdate").alias("shipped_at"),
         F.col("l_returnflag").alias("return_flag"),
@@ -279,7 +280,7 @@ def lineitem_contract(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_extendedprice").alias("price"),
         joins.ROW_ID,
     )
-    judged = contracts.apply_contract(raw, _LINE_CONTRACT)
+    judged = contracts.apply_contract(raw, _LINE_CONTRACT, keys_from=lines.select(line_key))
     return judged.groupBy(contracts.REASON).agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -361,7 +362,7 @@ def enrich_stations(spark: SparkSession, folder: str) -> DataFrame:
     stations = d.silver_stations(spark, folder)
     size = joins.content_bytes({"stations": stations})["stations"]
     joined = enrich.join_stations(
-        joins.with_row_id(trips), stations, stations_bytes=size, hot={}
+        joins.with_row_id(trips), stations, stations_bytes=size, splits={}
     )
     return joined.select(
         "trip_id", "start_station_name", "start_zone_id", "start_zone_type", "end_station_name",
@@ -373,12 +374,12 @@ def enrich_stations(spark: SparkSession, folder: str) -> DataFrame:
 def enrich_stations_salted(spark: SparkSession, folder: str) -> DataFrame:
     """The same join by its other route: station tables too large to broadcast."""
     trips = _accepted_trips(spark, folder)
-    hot = joins.frequent_keys(trips, ["start_station_id", "end_station_id"])
+    splits = {key: joins.key_splits(trips, key) for key in ("start_station_id", "end_station_id")}
     joined = enrich.join_stations(
         joins.with_row_id(trips),
         d.silver_stations(spark, folder),
         stations_bytes=joins.BROADCAST_LIMIT_BYTES + 1,
-        hot=hot,
+        splits=splits,
     )
     return joined.select(
         "trip_id", "start_station_name", "start_zone_id", "start_zone_type", "end_station_name",
@@ -390,8 +391,8 @@ def enrich_stations_salted(spark: SparkSession, folder: str) -> DataFrame:
 def enrich_payments(spark: SparkSession, folder: str) -> DataFrame:
     trips = _accepted_trips(spark, folder)
     payments = contracts.accepted(d.judged_payments(spark, folder))
-    hot = joins.frequent_keys(trips, ["trip_id"])
-    return enrich.join_payments(joins.with_row_id(trips), payments, hot=hot).select(
+    splits = {"trip_id": joins.key_splits(trips, "trip_id")}
+    return enrich.join_payments(joins.with_row_id(trips), payments, splits=splits).select(
         "trip_id", "fare_amount", "total_amount", "payment_method", "has_payment"
     )
 
@@ -402,7 +403,7 @@ def enrich_weather(spark: SparkSession, folder: str) -> DataFrame:
     weather = d.silver_weather(spark, folder)
     size = joins.content_bytes({"weather": weather})["weather"]
     return enrich.join_weather(
-        joins.with_row_id(trips), weather, weather_bytes=size, hot={}
+        joins.with_row_id(trips), weather, weather_bytes=size, splits={}
     ).select("trip_id", "trip_hour", "temp_c", "rain_mm", "wind_kph", "condition")
 
 

@@ -193,8 +193,8 @@ def attach_key_counts(
 
     This is a windowed count without the window: a window would sort every row of a hot key
     in one task. Only repeated keys are joined back. They are staged and measured; a small
-    set is broadcast and the rows are not shuffled at all, a large one is joined with its
-    hottest keys salted. ``keys_only`` may give the same keys by a cheaper route. A frame that
+    set is broadcast and the rows are not shuffled at all, a large one is joined with heavy
+    keys dealt by their counts. ``keys_only`` may give the same keys by a cheaper route. A frame that
     was shuffled already should carry its scan's :data:`joins.ROW_ID`.
     """
     source = df if keys_only is None else keys_only
@@ -210,11 +210,10 @@ def attach_key_counts(
                 F.broadcast(of_key), F.col("__key") == F.col("__key_value"), "left"
             )
         else:
-            hottest = of_key.orderBy(F.desc("__n"), "__key_value").limit(
-                round(1 / joins.HOT_KEY_SUPPORT)
+            splits = joins.splits_from_counts(
+                of_key, "__key_value", "__n", source.agg(F.count(F.lit(1))).scalar(), joins.tasks(df)
             )
-            hot = [row["__key_value"] for row in hottest.collect()]
-            joined = joins.salted_left_join(keyed, of_key, "__key", "__key_value", hot)
+            joined = joins.salted_left_join(keyed, of_key, "__key", "__key_value", splits)
         counted = F.when(F.col(key).isNotNull(), F.coalesce(F.col("__n"), F.lit(1)))
         result = joined.withColumn(output, counted).drop("__key", "__key_value", "__n")
     return result.drop(joins.ROW_ID)
@@ -236,13 +235,18 @@ def apply_contract(
     *,
     reject_null_enum: bool = False,
     whole_date: bool = True,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Typed rows with their rejection reason; accepted and rejected rows together."""
+    """Typed rows with their rejection reason; accepted and rejected rows together.
+
+    ``keys_from`` may hold the unique keys of the same rows by a cheaper route.
+    """
     typed = conform(raw, contract.fields, whole_date=whole_date)
     counts = {key: f"{key}_count" for key in contract.unique_keys}
     if counts:
         key_fields = [field for field in contract.fields if field.name in counts]
-        keys = conform(raw.select(*counts), key_fields, whole_date=whole_date, once=False)
+        source = raw if keys_from is None else keys_from
+        keys = conform(source.select(*counts), key_fields, whole_date=whole_date, once=False)
         typed = attach_key_counts(typed, counts, keys_only=keys)
     context = RuleContext(reject_null_enum=reject_null_enum, counts=counts)
     return classify(typed, contract, context).drop(*counts.values())

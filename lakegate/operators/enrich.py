@@ -48,7 +48,7 @@ def with_trip_time(trips: DataFrame) -> DataFrame:
 
 
 def join_stations(
-    trips: DataFrame, stations: DataFrame, *, stations_bytes: int, hot: Mapping[str, list]
+    trips: DataFrame, stations: DataFrame, *, stations_bytes: int, splits: Mapping[str, DataFrame]
 ) -> DataFrame:
     result = trips
     for role, extra in (("start", ("zone_type",)), ("end", ())):
@@ -59,14 +59,14 @@ def join_stations(
             key,
             f"__{role}_key",
             right_bytes=stations_bytes,
-            hot=hot.get(key, ()),
+            splits=splits.get(key),
         ).drop(f"__{role}_key")
     return result
 
 
-def join_payments(trips: DataFrame, payments: DataFrame, *, hot: Mapping[str, list]) -> DataFrame:
+def join_payments(trips: DataFrame, payments: DataFrame, *, splits: Mapping[str, DataFrame]) -> DataFrame:
     joined = joins.salted_left_join(
-        trips, payment_role(payments), "trip_id", "__paid_trip", hot.get("trip_id", ())
+        trips, payment_role(payments), "trip_id", "__paid_trip", splits.get("trip_id")
     )
     return joined.withColumn("has_payment", F.col("__payment_id").isNotNull()).drop(
         "__paid_trip", "__payment_id"
@@ -74,7 +74,7 @@ def join_payments(trips: DataFrame, payments: DataFrame, *, hot: Mapping[str, li
 
 
 def join_weather(
-    trips: DataFrame, weather: DataFrame, *, weather_bytes: int, hot: Mapping[str, list]
+    trips: DataFrame, weather: DataFrame, *, weather_bytes: int, splits: Mapping[str, DataFrame]
 ) -> DataFrame:
     return joins.lookup_join(
         trips,
@@ -82,7 +82,7 @@ def join_weather(
         "trip_hour",
         "__observed_at",
         right_bytes=weather_bytes,
-        hot=hot.get("trip_hour", ()),
+        splits=splits.get("trip_hour"),
     ).drop("__observed_at")
 
 
@@ -99,7 +99,7 @@ def enrich_trips(
     """All four left joins.
 
     The payments join shuffles, so it runs first on the narrow trip rows; the dimensions are
-    attached afterwards, broadcast when their measured size allows it. Hot keys are looked up
+    attached afterwards, broadcast when their measured size allows it. Heavy keys are weighed
     only for joins that shuffle; ``keys`` may hold the trips' key columns by a cheaper route.
     """
     sizes = joins.content_bytes(
@@ -112,9 +112,10 @@ def enrich_trips(
     shuffled += ["start_station_id", "end_station_id"] if sizes["stations"] > limit else []
     shuffled += ["trip_hour"] if sizes["weather"] > limit else []
     timed = with_trip_time(trips)
-    hot = joins.frequent_keys(timed if keys is None else with_trip_time(keys), shuffled)
+    keyed = timed if keys is None else with_trip_time(keys)
+    splits = {name: joins.key_splits(keyed, name) for name in shuffled}
 
-    paid = join_payments(joins.with_row_id(timed), payments, hot=hot)
-    placed = join_stations(paid, stations, stations_bytes=sizes["stations"], hot=hot)
-    full = join_weather(placed, weather, weather_bytes=sizes["weather"], hot=hot)
+    paid = join_payments(joins.with_row_id(timed), payments, splits=splits)
+    placed = join_stations(paid, stations, stations_bytes=sizes["stations"], splits=splits)
+    full = join_weather(placed, weather, weather_bytes=sizes["weather"], splits=splits)
     return full.select(*columns)

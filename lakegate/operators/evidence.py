@@ -83,8 +83,8 @@ def run_details(runs: DataFrame, files: DataFrame) -> DataFrame:
         .withColumns({name: F.coalesce(name, F.lit(0)) for name in _TOTALS})
     )
     current = history.latest_published(runs).select("run_id").scalar()
-    hot = joins.frequent_keys(runs, ["started_at"])["started_at"]
-    linked = history.previous_published(counted, (*_COMPARED, *_TOTALS), hot=hot)
+    splits = joins.key_splits(runs, "started_at")
+    linked = history.previous_published(counted, (*_COMPARED, *_TOTALS), splits=splits)
     detailed = history.with_deltas(linked).withColumns(
         {
             "runtime_seconds": scaled_round(

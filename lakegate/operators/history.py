@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakegate.bindings import mobility as m
 from lakegate.functions import temporal
 from lakegate.functions.numeric import ratio, scaled_round
-from lakegate.operators import joins
+from lakegate.operators import joins, ranges
 from lakegate.sources.staging import stage_measured
 
 
@@ -68,11 +67,9 @@ def baselines(runs: DataFrame) -> DataFrame:
         return stage_measured(flat.withColumnRenamed("run_id", name), name)
 
     def attach(rows: DataFrame, top: DataFrame, name: str, size: int) -> DataFrame:
-        hot = [] if size <= joins.BROADCAST_LIMIT_BYTES else (
-            joins.frequent_keys(rows, ["__group"])["__group"]
-        )
         key = f"__{name}_group"
-        return joins.lookup_join(rows, top, "__group", key, right_bytes=size, hot=hot).drop(key)
+        splits = None if size <= joins.BROADCAST_LIMIT_BYTES else joins.key_splits(rows, "__group")
+        return joins.lookup_join(rows, top, "__group", key, right_bytes=size, splits=splits).drop(key)
 
     best, best_size = per_group(candidates, "best")
     others = attach(candidates, best, "best", best_size).where(
@@ -91,48 +88,27 @@ def previous_published(
     runs: DataFrame,
     carry: Sequence[str] = (),
     *,
-    bucket: str = "DAY",
-    hot: Sequence[datetime] | None = None,
+    splits: DataFrame | None = None,
 ) -> DataFrame:
     """For every run, the newest published run among those started strictly earlier.
 
-    Adds ``previous``, a struct of ``published_at``, ``run_id`` and the ``carry`` columns. It is
-    a running maximum over start time in two levels: runs are first reduced to one row per
-    distinct start time, then maximised inside each time bucket and over the buckets
-    before it. No task holds more than a bucket's distinct start times or one row per
-    bucket; rows are not compared with each other, as a theta join would. ``hot`` are the
-    start times shared by very many runs, if the caller knows them already.
+    Adds ``previous``, a struct of ``published_at``, ``run_id`` and the ``carry`` columns. Runs
+    are first reduced to one row per distinct start time, and a running maximum is taken over
+    these in ranges of start time; rows are not compared with each other, as a theta join would.
+    However the start times lie, on one day or over years, all tasks get about equally many.
+    ``splits`` are the heavy start times (:func:`joins.key_splits`), if the caller has them.
     """
     best = F.struct("published_at", "run_id", *carry)
-    starts = (
-        runs.groupBy("started_at")
-        .agg(F.max(F.when(F.col("published_at").isNotNull(), best)).alias("__best"))
-        .withColumn("__bucket", F.date_trunc(bucket, F.col("started_at")).cast("timestamp_ntz"))
+    starts = runs.groupBy("started_at").agg(
+        F.max(F.when(F.col("published_at").isNotNull(), best)).alias("__best")
     )
-    per_bucket = starts.groupBy("__bucket").agg(F.max("__best").alias("__bucket_best"))
-    before = per_bucket.select(
-        F.col("__bucket").alias("__of_bucket"),
-        F.max("__bucket_best")
-        .over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
-        .alias("__before"),
+    resolved = ranges.exclusive_scan(starts, "started_at", F.col("__best"), "previous").select(
+        F.col("started_at").alias("__start"), "previous"
     )
-    inside = F.max("__best").over(
-        Window.partitionBy("__bucket")
-        .orderBy("started_at")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    resolved = (
-        starts.withColumn("__inside", inside)
-        .join(before, F.col("__bucket").eqNullSafe(F.col("__of_bucket")), "left")
-        .select(
-            F.col("started_at").alias("__start"),
-            F.greatest("__inside", "__before").alias("previous"),
-        )
-    )
-    if hot is None:
-        hot = joins.frequent_keys(runs, ["started_at"])["started_at"]
+    if splits is None:
+        splits = joins.key_splits(runs, "started_at")
     return joins.salted_left_join(
-        joins.with_row_id(runs), resolved, "started_at", "__start", hot
+        joins.with_row_id(runs), resolved, "started_at", "__start", splits
     ).drop("__start", joins.ROW_ID)
 
 

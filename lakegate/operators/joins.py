@@ -1,19 +1,21 @@
-"""Left joins that stay balanced: size-checked broadcast, otherwise salted hot keys."""
+"""Left joins that stay balanced: size-checked broadcast, otherwise keys split by their weight."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping
 from functools import reduce
-from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakegate.sources.staging import content_size
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-HOT_KEY_SUPPORT = 0.01
-SALT_FANOUT = 64
+#: What ``freqItems`` accepts.
+_LEAST_SUPPORT = 1e-4
+#: Parts a task gets on average of a key that holds all rows; they fall on tasks by hash, and more
+#: of them lie more evenly.
+PARTS_PER_TASK = 4
 ROW_ID = "__row_id"
 
 
@@ -36,22 +38,44 @@ def content_bytes(frames: Mapping[str, DataFrame]) -> dict[str, int]:
     return {row["name"]: row["bytes"] for row in rows}
 
 
-def frequent_keys(
-    df: DataFrame, columns: Iterable[str], support: float = HOT_KEY_SUPPORT
-) -> dict[str, list[Any]]:
-    """Keys that may hold more than ``support`` of the rows (at most ``1/support`` per column).
+def tasks(df: DataFrame) -> int:
+    """Tasks of a shuffle in this session."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    One pass without a shuffle. It may list a key that is not hot, which costs a little
-    replication, but never misses a hot one; results never depend on the list.
+
+def parts_of(n: Column, rows: Column, tasks: int) -> Column:
+    """Into how many parts a key with ``n`` of all ``rows`` is dealt."""
+    return F.greatest(F.ceil(n * F.lit(float(PARTS_PER_TASK * tasks)) / rows), F.lit(1)).cast("int")
+
+
+def key_splits(df: DataFrame, column: str | Column, rows: DataFrame | None = None) -> DataFrame:
+    """(``__split_key``, ``__parts``) of the keys too heavy for one task, by their exact counts.
+
+    A key is heavy if it has more than a quarter of what a task gets on average, so there are at
+    most four times as many as tasks, whatever the data; all others, and NULL, have no row here. Candidates
+    come from one pass without a shuffle (frequent items, which misses no heavy key), and only
+    they are counted, with partial sums. The exact counts decide, so the table is the same
+    whenever it is computed. ``rows`` may give a frame that counts the rows more cheaply.
     """
-    names = list(columns)
-    if not names:
-        return {}
-    row = df.select(*names).freqItems(names, support).collect()[0]
-    return {
-        name: [key for key in (row[f"{name}_freqItems"] or []) if key is not None]
-        for name in names
-    }
+    keys = df.select((F.col(column) if isinstance(column, str) else column).alias("__key"))
+    dealt = tasks(df)
+    support = max(_LEAST_SUPPORT, min(1.0, 1 / (PARTS_PER_TASK * dealt)))
+    candidates = keys.freqItems(["__key"], support).select(
+        F.explode("__key_freqItems").alias("__split_key")
+    )
+    counted = keys.join(F.broadcast(candidates), F.col("__key") == F.col("__split_key"))
+    total = (keys if rows is None else rows).agg(F.count(F.lit(1))).scalar()
+    weighed = counted.groupBy("__split_key").agg(F.count(F.lit(1)).alias("__n"))
+    return splits_from_counts(weighed, "__split_key", "__n", total, dealt)
+
+
+def splits_from_counts(
+    counts: DataFrame, key: str, n: str, rows: Column, dealt: int
+) -> DataFrame:
+    """The same table from key counts that are there already."""
+    return counts.select(
+        F.col(key).alias("__split_key"), parts_of(F.col(n), rows, dealt).alias("__parts")
+    ).where(F.col("__parts") > 1)
 
 
 def salted_left_join(
@@ -59,29 +83,33 @@ def salted_left_join(
     right: DataFrame,
     left_key: str,
     right_key: str,
-    hot: Sequence[Any] = (),
-    fanout: int = SALT_FANOUT,
+    splits: DataFrame | None = None,
 ) -> DataFrame:
-    """Left equi-join in which a hot (or NULL) left key is split over ``fanout`` partitions.
+    """Left equi-join in which heavy left keys are dealt in parts, and NULL keys over all tasks.
 
-    Only right rows of hot keys are replicated; all others carry salt 0 on both sides, so
-    every left row still meets each of its right rows exactly once. The left frame must carry
-    :data:`ROW_ID`.
+    ``splits`` is :func:`key_splits` of the left side; both sides look the number of parts up in
+    it (it has at most four rows a task, so it is broadcast). Only right rows of heavy keys are
+    replicated, once per part, so every left row still meets each of its right rows exactly once.
+    The left frame must carry :data:`ROW_ID`.
     """
-    hot = list(hot)
-    key, other = F.col(left_key), F.col(right_key)
-    bucket = F.pmod(F.col(ROW_ID), F.lit(fanout)).cast("int")
-    spread = key.isNull() | (key.isin(hot) if hot else F.lit(False))
-    salted = left.withColumn("__salt", F.when(spread, bucket).otherwise(F.lit(0)))
-    if hot:
-        copies = F.when(
-            other.isin(hot), F.sequence(F.lit(0), F.lit(fanout - 1))
-        ).otherwise(F.array(F.lit(0)))
-        replicated = right.withColumn("__right_salt", F.explode(copies))
+    key = F.col(left_key)
+    parts = F.lit(1)
+    if splits is not None:
+        parts = F.coalesce("__parts", F.lit(1))
+        left = left.join(F.broadcast(splits), key == F.col("__split_key"), "left")
+        right = right.join(
+            F.broadcast(splits), F.col(right_key) == F.col("__split_key"), "left"
+        ).drop("__split_key")
+    dealt = F.when(key.isNull(), F.lit(PARTS_PER_TASK * tasks(left))).otherwise(parts)
+    salted = left.withColumn("__salt", F.pmod(F.col(ROW_ID), dealt).cast("int"))
+    if splits is not None:
+        salted = salted.drop("__split_key", "__parts")
+        right = right.withColumn("__right_salt", F.explode(F.sequence(F.lit(0), parts - 1)))
+        right = right.drop("__parts")
     else:
-        replicated = right.withColumn("__right_salt", F.lit(0))
-    on = (key == other) & (F.col("__salt") == F.col("__right_salt"))
-    return salted.join(replicated, on, "left").drop("__salt", "__right_salt")
+        right = right.withColumn("__right_salt", F.lit(0))
+    on = (key == F.col(right_key)) & (F.col("__salt") == F.col("__right_salt"))
+    return salted.join(right, on, "left").drop("__salt", "__right_salt")
 
 
 def lookup_join(
@@ -91,10 +119,10 @@ def lookup_join(
     right_key: str,
     *,
     right_bytes: int,
-    hot: Sequence[Any] = (),
+    splits: DataFrame | None = None,
     limit: int = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
     """Broadcast the right side only when its measured size is below ``limit``."""
     if right_bytes <= limit:
         return left.join(F.broadcast(right), F.col(left_key) == F.col(right_key), "left")
-    return salted_left_join(left, right, left_key, right_key, hot)
+    return salted_left_join(left, right, left_key, right_key, splits)

@@ -149,11 +149,14 @@ def compare_profiles(
         ),
         "baseline-profiles",
     )
-    hot: list[str] = []
+    splits = None
     if size > limit:
         pairs = stage(pairs, "drift-pairs")  # a scan numbers rows alike on every attempt
-        shared = joins.frequent_keys(pairs, ["baseline_run_id"])["baseline_run_id"]
-        hot = [f"{run_id}/{metric}" for run_id in shared for metric, _, _ in m.DRIFT_RULES]
+        shared = joins.key_splits(pairs, "baseline_run_id")
+        metrics = F.explode(F.array(*[F.lit(metric) for metric, _, _ in m.DRIFT_RULES]))
+        splits = shared.withColumn("metric", metrics).select(
+            F.concat("__split_key", F.lit("/"), "metric").alias("__split_key"), "__parts"
+        )
     ruled = (
         joins.with_row_id(pairs)
         .withColumn("rule", F.explode(drift_rules()))
@@ -166,7 +169,7 @@ def compare_profiles(
         F.col("metric_value").alias("current_value"),
     )
     with_baseline = joins.lookup_join(
-        ruled, baseline, "__key", "__baseline_key", right_bytes=size, hot=hot, limit=limit
+        ruled, baseline, "__key", "__baseline_key", right_bytes=size, splits=splits, limit=limit
     )
     joined = with_baseline.join(
         current,

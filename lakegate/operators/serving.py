@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakegate.bindings import mobility as m
 from lakegate.functions import temporal
 from lakegate.functions.numeric import exact_aggregate, exact_sum, ratio, scaled_round
-from lakegate.operators import history, marts
+from lakegate.operators import history, marts, ranges
 from lakegate.operators.filters import FactFilter
 
 
@@ -92,41 +92,11 @@ def revenue_share(zone_rows: DataFrame) -> DataFrame:
     ).drop("__total")
 
 
-def with_time_index(points: DataFrame, time: str, output: str) -> DataFrame:
-    """Global 0-based position in time order, computed per day plus the days before.
-
-    Points are unique per hour, so a day holds few of them, and the only unpartitioned
-    window runs over one row per calendar day.
-    """
-    dated = points.withColumn("__day", F.col(time).cast("date"))
-    offsets = (
-        dated.groupBy("__day")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn(
-            "__before",
-            F.coalesce(
-                F.sum("__n").over(
-                    Window.orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
-        )
-        .select(F.col("__day").alias("__offset_day"), "__before")
-    )
-    in_day = F.row_number().over(Window.partitionBy("__day").orderBy(time)) - 1
-    return (
-        dated.withColumn("__in_day", in_day)
-        .join(offsets, F.col("__day").eqNullSafe(F.col("__offset_day")))
-        .withColumn(output, F.col("__before") + F.col("__in_day"))
-        .drop("__day", "__offset_day", "__before", "__in_day")
-    )
-
-
 def sample_points(points: DataFrame, max_points: int, time: str = "trip_hour") -> DataFrame:
     """Every ``ceil(n / max_points)``-th point in time order; all points when they fit."""
     total = points.agg(F.count(F.lit(1))).scalar()
     stride = F.greatest(F.ceil(total / F.lit(float(max_points))).cast("bigint"), F.lit(1))
-    indexed = with_time_index(points, time, "__index").withColumn("__stride", stride)
+    indexed = ranges.positions(points, time, "__index").withColumn("__stride", stride)
     return indexed.where(F.pmod(F.col("__index"), F.col("__stride")) == 0).drop(
         "__index", "__stride"
     )

@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 from collections import Counter
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
 
-from lakegate.operators import enrich, joins
+from lakegate.operators import contracts, enrich, joins
 
 
 def _facts(spark):
@@ -20,18 +21,76 @@ def _dim(spark):
     return spark.createDataFrame(rows, "dim_key string, value int")
 
 
-def test_frequent_keys_find_the_hot_one(spark):
-    found = joins.frequent_keys(_facts(spark), ["key"])
-    assert "hot" in found["key"] and None not in found["key"]
-    assert len(found["key"]) <= 1 / joins.HOT_KEY_SUPPORT
-    assert joins.frequent_keys(_facts(spark), []) == {}
+@contextmanager
+def _plain_shuffles(spark, tasks):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": str(tasks),
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def _weighted(spark):
+    """One key with half of all rows, one with 0.5 %, others even; a tenth has none."""
+    rows = ["half"] * 20_000 + ["small"] * 200 + [None] * 4_000 + [f"k{i}" for i in range(15_800)]
+    return spark.createDataFrame([(key,) for key in rows], "key string").repartition(5)
+
+
+@pytest.mark.parametrize("tasks,parts", [(4, {"half": 8}), (40, {"half": 80}), (200, {"half": 400, "small": 4})])
+def test_keys_get_parts_by_their_weight(spark, tasks, parts):
+    with _plain_shuffles(spark, tasks):
+        found = joins.key_splits(_weighted(spark), "key").collect()
+        assert {r["__split_key"]: r["__parts"] for r in found} == parts
+        assert joins.key_splits(_weighted(spark).limit(0), "key").collect() == []
+
+
+def _largest_share(df) -> float:
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    return max(sizes) / (sum(sizes) / 40)
+
 
+def test_no_task_gets_much_more_than_its_share(spark):
+    """Largest task against the average, on the routes that shuffle by a key."""
+    with _plain_shuffles(spark, 40):
+        facts = joins.with_row_id(_weighted(spark))
+        keys = [r["key"] for r in facts.select("key").distinct().collect() if r["key"]]
+        dim = spark.createDataFrame([(k, 1) for k in keys], "dim_key string, value int")
+        splits = joins.key_splits(facts, "key")
+        joined = joins.salted_left_join(facts, dim, "key", "dim_key", splits)
+        assert joined.count() == 40_000 and joined.where("key IS NOT NULL AND value IS NULL").count() == 0
+        assert _largest_share(joined) < 3
+        assert _largest_share(joins.salted_left_join(facts, dim, "key", "dim_key")) > 15
 
-@pytest.mark.parametrize("hot", [(), ("hot",), ("hot", "k1", "absent")])
-def test_salted_join_equals_plain_join(spark, hot):
+        looked = joins.lookup_join(facts, dim, "key", "dim_key", right_bytes=9, splits=splits, limit=1)
+        assert _largest_share(looked) < 3
+
+        counted = contracts.attach_key_counts(facts, {"key": "n"}, limit=-1)
+        assert _largest_share(counted) < 3
+        got = {(r["key"], r["n"]) for r in counted.select("key", "n").distinct().collect()}
+        assert {("half", 20_000), ("small", 200), (None, None), ("k7", 1)} <= got
+
+        payments = spark.createDataFrame(
+            [(k, f"p{i}", 1.0) for i, k in enumerate(keys)], "trip_id string, payment_id string, x double"
+        ).select("trip_id", "payment_id", *[F.col("x").alias(c) for c in (
+            "fare_amount", "discount_amount", "tax_amount", "total_amount")], F.lit("card").alias("payment_method"))
+        trips = facts.withColumnRenamed("key", "trip_id")
+        assert _largest_share(enrich.join_payments(trips, payments, splits={"trip_id": splits})) < 3
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_salted_join_equals_plain_join(spark, split):
     facts, dim = joins.with_row_id(_facts(spark)), _dim(spark)
     plain = facts.join(dim, F.col("key") == F.col("dim_key"), "left")
-    salted = joins.salted_left_join(facts, dim, "key", "dim_key", hot, fanout=8)
+    splits = joins.key_splits(facts, "key") if split else None
+    salted = joins.salted_left_join(facts, dim, "key", "dim_key", splits)
 
     def bag(df):
         return Counter((row["key"], row["value"]) for row in df.select("key", "value").collect())
@@ -40,21 +99,6 @@ def test_salted_join_equals_plain_join(spark, hot):
     assert sum(bag(salted).values()) == 9000 + 3000
 
 
-def test_hot_and_missing_keys_are_spread(spark):
-    facts = joins.with_row_id(_facts(spark))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        joined = joins.salted_left_join(facts, _dim(spark), "key", "dim_key", ["hot"])
-        placed = joined.where((F.col("key") == "hot") | F.col("key").isNull())
-        parts = placed.groupBy("key", F.spark_partition_id().alias("p")).count().collect()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    for key in ("hot", None):
-        assert len({row["p"] for row in parts if row["key"] == key}) == 4  # all partitions
-
-
 def test_lookup_join_broadcasts_by_size(spark):
     facts, dim = joins.with_row_id(_facts(spark)), _dim(spark)
     size = joins.content_bytes({"dim": dim})["dim"]
@@ -62,7 +106,7 @@ def test_lookup_join_broadcasts_by_size(spark):
 
     def plan(limit):
         joined = joins.lookup_join(
-            facts, dim, "key", "dim_key", right_bytes=size, hot=["hot"], limit=limit
+            facts, dim, "key", "dim_key", right_bytes=size, limit=limit
         )
         return joined._jdf.queryExecution().optimizedPlan().toString()
 
