@@ -64,8 +64,8 @@ def bronze_provenance(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def ingest_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """Manifest of the table files themselves."""
-    names = ("customer", "events", "lineitem", "orders")
+    """Manifest of the files of all tables that the feeds are made from."""
+    names = ("customer", "events", "lineitem", "nation", "orders", "region")
     feeds = {name: d.table(spark, folder, name) for name in names}
     paths = {name: [f"{folder}/{name}.parquet"] for name in names}
     return files.file_manifest(spark, feeds, paths, folder)

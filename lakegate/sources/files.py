@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 from functools import reduce
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakegate.functions import hashing
+from lakegate.sources.staging import stage, stage_measured
 
-# Files up to this size are hashed from one in-memory value; larger ones are streamed.
-IN_MEMORY_BYTES = 256 * 1024 * 1024
-_CHUNK = 4 * 1024 * 1024
+#: Blocks (file ranges) known to every task are sent out below this size, else joined by shuffle.
+_SEND_BYTES = 64 * 1024 * 1024
 
 
 def file_listing(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -26,47 +24,71 @@ def file_listing(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def file_hashes(
-    spark: SparkSession, paths: list[str], *, in_memory: int = IN_MEMORY_BYTES
-) -> DataFrame:
-    """Path, size and SHA-256 of each file, one task step per file.
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The bytes between line feeds, with file, block and a number that rises inside a block.
 
-    ``binaryFile`` holds a file in one value and has a 2 GB ceiling, so large files are read
-    in chunks by the task instead; both ways give the plain SHA-256 of the whole file.
-    Files of zero bytes are not listed by the source; a feed file has at least its header.
+    The text source cuts large files into blocks that different tasks read, on any file system
+    Spark can read; it hands on the bytes as they are.
     """
-    whole = (
-        spark.read.format("binaryFile")
-        .load(paths)
-        .where(F.col("length") <= in_memory)
-        .select(
-            "path",
-            F.col("length").alias("file_bytes"),
-            F.sha2("content", 256).alias("file_sha256"),
-        )
+    return spark.read.option("lineSep", "\n").text(paths).select(
+        F.col("value"),
+        F.col("_metadata.file_path").alias("__path"),
+        F.col("_metadata.file_size").alias("file_bytes"),
+        F.concat(
+            F.col("_metadata.file_path"), F.lit("@"), F.col("_metadata.file_block_start")
+        ).alias("__block"),
+        F.col("_metadata.file_block_start").alias("__start"),
+        F.monotonically_increasing_id().alias("__number"),
     )
-    large = file_listing(spark, paths).where(F.col("file_bytes") > in_memory)
-    if large.isEmpty():
-        return whole
-    streamed = large.repartition("path").mapInPandas(
-        _stream_hashes, "path string, file_bytes bigint, file_sha256 string"
-    )
-    return whole.unionByName(streamed)
 
 
-def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
+def file_hashes(
+    spark: SparkSession, paths: list[str], *, send_bytes: int = _SEND_BYTES
+) -> DataFrame:
+    """Path, size and content hash of each file; one route for every size and file system.
+
+    The hash is a tree over the lines of a file: SHA-256 of line number and bytes, added up inside
+    the blocks of the file by the tasks that read them, then over the blocks, then hashed with the
+    file's size. It depends on every byte and its place, but not on how the file is cut into
+    blocks, and no task holds more than a line. Two reads: the first counts the lines of each
+    block, so that the second knows how many come before a block. A file that changes between
+    them, or is cut otherwise, stops the job.
 
-    for batch in batches:
-        digests = []
-        for path in batch["path"]:
-            filesystem, inner = fs.FileSystem.from_uri(path.replace("file:///", "/", 1))
-            digest = hashlib.sha256()
-            with filesystem.open_input_stream(inner) as source:
-                while chunk := source.read(_CHUNK):
-                    digest.update(chunk)
-            digests.append(digest.hexdigest())
-        yield batch.assign(file_sha256=digests)
+    Files of zero bytes are not listed by the source; a feed file has at least its header. A file
+    read as binary is one of long lines; a line must fit one value (2 GB).
+    """
+    counted = (
+        _lines(spark, paths)
+        .groupBy("__path", "__block", "__start")
+        .agg(F.count(F.lit(1)).alias("__n"), F.min("__number").alias("__first"))
+    )
+    earlier = Window.partitionBy("__path").orderBy("__start").rowsBetween(
+        Window.unboundedPreceding, -1
+    )  # one row per block
+    blocks, size = stage_measured(
+        counted.select(
+            F.col("__block").alias("__of_block"),
+            "__n",
+            "__first",
+            F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"),
+        ),
+        "file-blocks",
+    )
+    if size <= send_bytes:
+        blocks = F.broadcast(blocks)
+    placed = _lines(spark, paths).join(blocks, F.col("__block") == F.col("__of_block"), "left")
+    inside = F.col("__number") - F.col("__first")
+    number = F.when((inside >= 0) & (inside < F.col("__n")), F.col("__before") + inside)
+    checked = F.coalesce(
+        number, F.raise_error(F.lit("a source file changed, or was cut otherwise, between two reads"))
+    )
+    digest = F.sha2(F.concat(checked.cast("string"), F.lit(":"), F.col("value")), 256)
+    added = hashing.multiset_digest(placed, digest, ["__path", "file_bytes"])
+    tree = F.sha2(F.concat_ws(":", F.col("file_bytes").cast("string"), "fingerprint_sha256"), 256)
+    return stage(
+        added.select(plain_path(F.col("__path")).alias("path"), "file_bytes", tree.alias("file_sha256")),
+        "file-hashes",
+    )
 
 
 def plain_path(file_path: Column) -> Column:
@@ -98,13 +120,16 @@ def file_manifest(
         DataFrame.unionAll,
         [rows_per_file(df).withColumn("__dataset", F.lit(name)) for name, df in feeds.items()],
     )
-    hashed = reduce(
+    listed = reduce(
         DataFrame.unionAll,
         [
-            file_hashes(spark, paths[name]).withColumn("dataset_name", F.lit(name))
+            file_listing(spark, paths[name]).select("path", F.lit(name).alias("dataset_name"))
             for name in feeds
         ],
     )
+    hashed = listed.join(
+        file_hashes(spark, [path for name in feeds for path in paths[name]]), "path"
+    )
     same_file = (F.col("path") == F.col("__file")) & (F.col("dataset_name") == F.col("__dataset"))
     return hashed.join(counted, same_file, "left").select(
         "dataset_name",

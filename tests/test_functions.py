@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakegate.functions import casting, numeric, temporal
-from lakegate.sources import files
 
 
 def _one(spark, column):
@@ -46,15 +45,3 @@ def test_numbers_from_text(spark):
     for text, expected in texts.items():
         assert _one(spark, casting.safe_number(F.lit(text))) == expected
     assert _one(spark, casting.is_finite(F.lit(float("nan")))) is False
-
-
-@pytest.mark.parametrize("limit", [1 << 20, 3])
-def test_file_hashes_stream_large_files(spark, tmp_path, limit):
-    import hashlib
-
-    path = tmp_path / "x.bin"
-    path.write_bytes(b"some bytes")
-    rows = files.file_hashes(spark, [str(tmp_path)], in_memory=limit).collect()
-    found = {row["path"].rsplit("/", 1)[1]: row for row in rows}
-    assert found["x.bin"]["file_sha256"] == hashlib.sha256(b"some bytes").hexdigest()
-    assert found["x.bin"]["file_bytes"] == 10
