@@ -214,6 +214,16 @@ FINGERPRINTS = {
     "gold.revenue_by_zone": ZONE_COLUMNS,
 }
 
+# The column that gives a row's day, for fingerprints kept per day.
+FINGERPRINT_DAYS = {
+    "silver.trips": "started_at",
+    "silver.payments": "paid_at",
+    "silver.trip_enriched": "trip_date",
+    "gold.hourly_mobility": "trip_hour",
+    "gold.daily_station_performance": "trip_date",
+    "gold.revenue_by_zone": None,
+}
+
 # Metric -> unit, in reporting order.
 PROFILE_UNITS = {
     "total_trips": "trips",

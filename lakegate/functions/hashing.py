@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 _SLICES = 4
 _SLICE_DIGITS = 15  # 60 bits, always inside a signed BIGINT
 _LIMBS, _LIMB_BITS = 3, 20
+#: Columns of added slices.
+SUMS = tuple(f"sum_{i}" for i in range(_SLICES))
 
 
 def canonical_cell(column: Column, dtype: T.DataType) -> Column:
@@ -50,11 +52,12 @@ def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.sha2(F.concat_ws("|", *cells), 256)
 
 
-def multiset_digest(df: DataFrame, digest: Column, by: Sequence[str] = ()) -> DataFrame:
-    """Hash of a bag of row digests: ``row_count`` and ``fingerprint_sha256``.
+def multiset_sums(df: DataFrame, digest: Column, by: Sequence[str] = ()) -> DataFrame:
+    """Sums of the slices of row digests: ``row_count`` and :data:`SUMS` per group.
 
     Digest slices are added (not XOR-ed, so duplicates count) in partial aggregates: each
-    task ships one row per group, whatever the number or skew of its input rows.
+    task ships one row per group, whatever the number or skew of its input rows. The sums of
+    disjoint parts add up to those of the whole (:func:`united`).
     """
     # A slice has 60 bits; it is added as three BIGINT limbs of 20, which hold 2**43 rows, and
     # put together as a decimal once per group.
@@ -80,10 +83,26 @@ def multiset_digest(df: DataFrame, digest: Column, by: Sequence[str] = ()) -> Da
         ]
         return (parts[0] + parts[1] + parts[2]).cast("decimal(38,0)")
 
-    summed = added.select(*by, "row_count", *[together(i).alias(f"__s{i}") for i in range(_SLICES)])
-    packed = F.concat_ws(
-        ":",
-        F.col("row_count").cast("string"),
-        *[F.col(f"__s{i}").cast("string") for i in range(_SLICES)],
+    return added.select(*by, "row_count", *[together(i).alias(name) for i, name in enumerate(SUMS)])
+
+
+def united(sums: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Sums of parts put together."""
+    added = [F.coalesce(F.sum(name), F.lit(0)).cast("decimal(38,0)").alias(name) for name in SUMS]
+    rows = F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count")
+    return sums.groupBy(*by).agg(rows, *added)
+
+
+def sums_digest() -> Column:
+    """The hash of a bag from its row count and sums."""
+    return F.sha2(
+        F.concat_ws(":", F.col("row_count").cast("string"), *[F.col(x).cast("string") for x in SUMS]),
+        256,
+    )
+
+
+def multiset_digest(df: DataFrame, digest: Column, by: Sequence[str] = ()) -> DataFrame:
+    """Hash of a bag of row digests: ``row_count`` and ``fingerprint_sha256``."""
+    return multiset_sums(df, digest, by).select(
+        *by, "row_count", sums_digest().alias("fingerprint_sha256")
     )
-    return summed.select(*by, "row_count", F.sha2(packed, 256).alias("fingerprint_sha256"))

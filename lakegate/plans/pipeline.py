@@ -41,6 +41,10 @@ _REFUSED = {
 }
 
 
+#: Days named in a replay's error; the evidence holds all of them.
+_NAMED_DAYS = 5
+
+
 class SnapshotError(RuntimeError):
     """A candidate that must not be published."""
 
@@ -320,16 +324,22 @@ class SnapshotPipeline:
                 trips, enriched, stored["gold.hourly_mobility"], spec.days
             ),
         )
+        by_day = store.write_evidence(
+            "day_fingerprints",
+            run_id,
+            fingerprints.relation_day_sums(relations, m.FINGERPRINTS, m.FINGERPRINT_DAYS),
+        )
         prints = store.write_evidence(
             "relation_fingerprints",
             run_id,
-            fingerprints.relation_fingerprints(relations, m.FINGERPRINTS),
+            fingerprints.from_day_sums(by_day, list(m.FINGERPRINTS)),
         )
         output_hash = _only(fingerprints.output_set_hash(prints))
         row["output_set_sha256"] = output_hash
         if spec.expected_output not in (None, output_hash):
             raise SnapshotError(
                 "Replay output fingerprint mismatch: the rebuilt snapshot is not equivalent."
+                + self._differing_days(spec.replay_of, by_day)
             )
 
         baseline = history.baseline_for(store.runs(), run_id, spec.days, m.CONTRACT_VERSION)
@@ -368,6 +378,14 @@ class SnapshotPipeline:
             checks=outcome,
         )
 
+    def _differing_days(self, source_run: str, rebuilt: DataFrame) -> str:
+        """The first days that a replay built otherwise; empty if the source run kept none."""
+        stored = self.store.evidence("day_fingerprints").where(F.col("run_id") == source_run)
+        compared = fingerprints.compare_days(stored, rebuilt).where(~F.col("equivalent"))
+        first = compared.orderBy("relation_name", "partition_key").limit(_NAMED_DAYS).collect()
+        named = ", ".join(f"{r['relation_name']} {r['partition_key']}".strip() for r in first)
+        return f" Differing: {named}." if named else ""
+
     def _load_bronze(self, run_id: str, sources: Paths) -> tuple[dict[str, DataFrame], str]:
         """Store the feeds with provenance and record what was read."""
         store = self.store

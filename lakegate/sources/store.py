@@ -77,6 +77,9 @@ EVIDENCE = {
     "recorded_at timestamp",
     "relation_fingerprints": "run_id string, relation_name string, row_count bigint, "
     "fingerprint_sha256 string, recorded_at timestamp",
+    "day_fingerprints": "run_id string, relation_name string, partition_key string, "
+    "row_count bigint, sum_0 decimal(38,0), sum_1 decimal(38,0), sum_2 decimal(38,0), "
+    "sum_3 decimal(38,0), recorded_at timestamp",
     "drift_results": "run_id string, baseline_run_id string, metric_name string, "
     "current_value double, baseline_value double, delta double, delta_kind string, "
     "threshold double, status string, checked_at timestamp",
