@@ -25,6 +25,7 @@ from lakegate.operators import (
     marts,
     profiles,
     quality,
+    rollups,
     serving,
 )
 from lakegate.operators.contracts import Contract, Field, Rule
@@ -481,6 +482,34 @@ def stations_topk(spark: SparkSession, folder: str) -> DataFrame:
     return serving.stations(d.trip_enriched(spark, folder), WHERE_DAYS)
 
 
+def _rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """The roll-up as a snapshot stores it."""
+    return stage(rollups.trip_rollup(d.trip_enriched(spark, folder)), "trip-rollup")
+
+
+@query
+def summary_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """The filtered summary again, from the stored roll-up alone; so are the next three."""
+    built = d.snapshot(spark, folder, stage_fact=False)
+    figures = rollups.headline(_rollup(spark, folder), WHERE_DAYS)
+    return serving.with_context(figures, *built.rejections, d.runs(spark, folder))
+
+
+@query
+def timeseries_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    return rollups.timeseries(_rollup(spark, folder), WHERE_DAYS)
+
+
+@query
+def zones_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    return rollups.zones(_rollup(spark, folder), WHERE_DAYS)
+
+
+@query
+def stations_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    return rollups.stations(_rollup(spark, folder), WHERE_DAYS)
+
+
 @query
 def filter_window(spark: SparkSession, folder: str) -> DataFrame:
     return serving.filter_window(d.trip_enriched(spark, folder))

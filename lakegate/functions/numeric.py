@@ -118,110 +118,143 @@ def _total(parts: Column) -> Column:
     )
 
 
-def exact_aggregate(
-    df: DataFrame, keys: Mapping[str, Column | str], measures: Sequence[Measure]
-) -> DataFrame:
-    """Group by ``{output: input}`` and compute measures that no partitioning changes.
+class ExactMeasures:
+    """Measures that no partitioning changes, in three steps that can be stored in between.
 
-    Two aggregations: rows are first added per group and value classes (one combination, as long
-    as all values are of class 0), with partial sums in every task, then those few rows are put
-    together. Without keys there is one row, also for an empty frame. A sum is the double nearest
-    to the exact sum of its values; where they spread over several classes, each class is exact
-    and the classes are added in their order. An infinity or NaN among the values makes the sum
-    infinite or NaN, as plain addition would.
+    ``partial`` adds rows per group and value classes (one combination, as long as all values are
+    of class 0), with partial sums in every task. ``regrouped`` adds partial rows by fewer keys,
+    so that a stored frame of them answers coarser questions. ``final`` puts the few rows of a
+    group together.
     """
-    inputs, sums, conditions, extremes = [], {}, {}, {}
-    named = [m for m in measures if m.column is not None]
-    for i, measure in enumerate(named):
-        if measure.kind in ("sum", "mean"):
-            text = str(measure.column)
-            same = next((v for v, (t, _) in sums.items() if t == text), None)
-            if same is None:
-                sums[f"__v{i}"] = (text, measure.column.cast("double"))
-            continue
-        target = conditions if measure.kind == "share" else extremes
-        target[measure.name] = (f"__c{i}", measure.column)
-    inputs += [column.alias(name) for name, (_, column) in sums.items()]
-    inputs += [column.alias(name) for name, column in (*conditions.values(), *extremes.values())]
-    by = [F.col(k) if isinstance(k, str) else k for k in keys.values()]
-    rows = df.select(*[k.alias(f"__k{i}") for i, k in enumerate(by)], *inputs)
-    groups = [f"__k{i}" for i in range(len(by))]
-
-    finite = {v: ~F.isnan(v) & (F.abs(F.col(v)) < F.lit(float("inf"))) for v in sums}
-    rows = rows.select(
-        "*",
-        *[
-            F.when(finite[v], value_class(F.col(v))).otherwise(F.lit(0)).alias(f"{v}_c")
-            for v in sums
-        ],
-    )
-    cut = []
-    for v in sums:
-        upper, lower = _limbs(F.when(finite[v], F.col(v)), F.col(f"{v}_c"))
-        cut += [upper.alias(f"{v}_u"), lower.alias(f"{v}_l")]
-    rows = rows.select("*", *cut)
-
-    partial = [F.count(F.lit(1)).alias("__rows")]
-    partial += [F.count_if(F.col(c)).alias(c) for c, _ in conditions.values()]
-    for measure in named:
-        if measure.kind in ("min", "max"):
-            column = extremes[measure.name][0]
-            partial.append((F.min if measure.kind == "min" else F.max)(column).alias(column))
-    for v in sums:
-        negative = F.col(v) < 0
-        upper, lower = F.col(f"{v}_u"), F.col(f"{v}_l")
+
+    def __init__(self, measures: Sequence[Measure]) -> None:
+        self.measures = list(measures)
+        #: Name of each summed column, by its text: columns used twice are added once.
+        self.sums: dict[str, str] = {}
+        self.inputs: dict[str, Column] = {}
+        for measure in self.measures:
+            if measure.kind in ("sum", "mean"):
+                text = str(measure.column)
+                if text not in self.sums:
+                    self.sums[text] = measure.name
+                    self.inputs[f"{measure.name}__v"] = measure.column.cast("double")
+            elif measure.column is not None:
+                self.inputs[f"{measure.name}__v"] = measure.column
+
+    def _kind(self, *kinds: str) -> list[str]:
+        return [m.name for m in self.measures if m.kind in kinds]
+
+    @property
+    def classes(self) -> list[str]:
+        return [f"{name}__c" for name in self.sums.values()]
+
+    def partial(self, df: DataFrame, keys: Mapping[str, Column | str]) -> DataFrame:
+        """One row per group and combination of classes; ``{output: input}`` keys come first."""
+        by = [(F.col(k) if isinstance(k, str) else k).alias(name) for name, k in keys.items()]
+        rows = df.select(*by, *[column.alias(name) for name, column in self.inputs.items()])
+        names = list(self.sums.values())
+        finite = {
+            n: ~F.isnan(f"{n}__v") & (F.abs(F.col(f"{n}__v")) < F.lit(float("inf"))) for n in names
+        }
+        rows = rows.withColumns(
+            {
+                f"{n}__c": F.when(finite[n], value_class(F.col(f"{n}__v"))).otherwise(F.lit(0))
+                for n in names
+            }
+        )
+        cut = {}
+        for n in names:
+            upper, lower = _limbs(F.when(finite[n], F.col(f"{n}__v")), F.col(f"{n}__c"))
+            cut |= {f"{n}__upper": upper, f"{n}__lower": lower}
+        rows = rows.withColumns(cut)
+        added = [F.count(F.lit(1)).alias("rows__n")]
+        added += [F.count_if(F.col(f"{n}__v")).alias(f"{n}__met") for n in self._kind("share")]
+        added += [F.min(f"{n}__v").alias(f"{n}__end") for n in self._kind("min")]
+        added += [F.max(f"{n}__v").alias(f"{n}__end") for n in self._kind("max")]
+        for n in names:
+            upper, lower = F.col(f"{n}__upper"), F.col(f"{n}__lower")
+            limbs = [
+                lower.bitwiseAND(F.lit(_MASK)),
+                F.shiftright(lower, _LIMB_BITS),
+                upper.bitwiseAND(F.lit(_MASK)),
+                F.shiftright(upper, _LIMB_BITS).bitwiseAND(F.lit(_MASK)),
+                F.shiftright(upper, 2 * _LIMB_BITS),
+            ]
+            negative = F.col(f"{n}__v") < 0
+            added += [
+                F.coalesce(F.sum(F.when(negative, -x).otherwise(x)), F.lit(0)).alias(f"{n}__{i}")
+                for i, x in enumerate(limbs)
+            ]
+            added.append(F.count(f"{n}__v").alias(f"{n}__n"))
+            added.append(F.sum(F.when(~finite[n], F.col(f"{n}__v"))).alias(f"{n}__x"))
+        return rows.groupBy(*keys, *self.classes).agg(*added)
+
+    def _merging(self) -> list[Column]:
+        counts = ["rows__n", *[f"{n}__met" for n in self._kind("share")]]
+        counts += [f"{n}__n" for n in self.sums.values()]
+        added = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in counts]
+        added += [F.min(f"{n}__end").alias(f"{n}__end") for n in self._kind("min")]
+        added += [F.max(f"{n}__end").alias(f"{n}__end") for n in self._kind("max")]
+        return added + [F.sum(f"{n}__x").alias(f"{n}__x") for n in self.sums.values()]
+
+    def regrouped(self, partials: DataFrame, keys: Mapping[str, Column | str]) -> DataFrame:
+        """Partial rows by fewer or derived keys."""
+        by = [(F.col(k) if isinstance(k, str) else k).alias(name) for name, k in keys.items()]
         limbs = [
-            lower.bitwiseAND(F.lit(_MASK)),
-            F.shiftright(lower, _LIMB_BITS),
-            upper.bitwiseAND(F.lit(_MASK)),
-            F.shiftright(upper, _LIMB_BITS).bitwiseAND(F.lit(_MASK)),
-            F.shiftright(upper, 2 * _LIMB_BITS),
+            F.sum(f"{n}__{i}").alias(f"{n}__{i}") for n in self.sums.values() for i in range(_LIMBS)
         ]
-        partial += [
-            F.coalesce(F.sum(F.when(negative, -x).otherwise(x)), F.lit(0)).alias(f"{v}_{i}")
-            for i, x in enumerate(limbs)
+        return partials.groupBy(*by, *self.classes).agg(*self._merging(), *limbs)
+
+    def final(self, partials: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """One row per group; without keys one row, also for an empty frame."""
+        parts = [
+            F.collect_list(
+                F.struct(
+                    F.col(f"{n}__c").alias("c"),
+                    *[F.col(f"{n}__{i}").alias(f"l{i}") for i in range(_LIMBS)],
+                )
+            ).alias(f"{n}__p")
+            for n in self.sums.values()
         ]
-        partial.append(F.count(v).alias(f"{v}_n"))
-        partial.append(F.sum(F.when(~finite[v], F.col(v))).alias(f"{v}_x"))
-    first = rows.groupBy(*groups, *[f"{v}_c" for v in sums]).agg(*partial)
-
-    second = [F.coalesce(F.sum("__rows"), F.lit(0)).alias("__rows")]
-    second += [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c, _ in conditions.values()]
-    for measure in named:
-        if measure.kind in ("min", "max"):
-            column = extremes[measure.name][0]
-            second.append((F.min if measure.kind == "min" else F.max)(column).alias(column))
-    for v in sums:
-        limbs = [F.col(f"{v}_{i}").alias(f"l{i}") for i in range(_LIMBS)]
-        second.append(F.collect_list(F.struct(F.col(f"{v}_c").alias("c"), *limbs)).alias(f"{v}_p"))
-        second.append(F.coalesce(F.sum(f"{v}_n"), F.lit(0)).alias(f"{v}_n"))
-        second.append(F.sum(f"{v}_x").alias(f"{v}_x"))
-    merged = first.groupBy(*groups).agg(*second)
-    # The sums once, however many measures use them.
-    merged = merged.select(
-        "*",
-        *[
-            F.when(F.col(f"{v}_n") > 0, F.coalesce(f"{v}_x", _total(F.col(f"{v}_p")))).alias(f"{v}_s")
-            for v in sums
-        ],
-    )
-
-    def result(measure: Measure) -> Column:
+        merged = partials.groupBy(*keys).agg(*self._merging(), *parts)
+        # The sums once, however many measures use them.
+        merged = merged.withColumns(
+            {
+                f"{n}__s": F.when(
+                    F.col(f"{n}__n") > 0, F.coalesce(f"{n}__x", _total(F.col(f"{n}__p")))
+                )
+                for n in self.sums.values()
+            }
+        )
+        return merged.select(*keys, *[self._result(measure) for measure in self.measures])
+
+    def _result(self, measure: Measure) -> Column:
         if measure.kind == "rows":
-            found = F.col("__rows")
+            found = F.col("rows__n")
         elif measure.kind == "share":
-            found = ratio(F.col(conditions[measure.name][0]), F.col("__rows"))
+            found = ratio(F.col(f"{measure.name}__met"), F.col("rows__n"))
         elif measure.kind in ("min", "max"):
-            found = F.col(extremes[measure.name][0])
+            found = F.col(f"{measure.name}__end")
         else:
-            v = next(v for v, (text, _) in sums.items() if text == str(measure.column))
-            found = F.col(f"{v}_s")
+            name = self.sums[str(measure.column)]
+            found = F.col(f"{name}__s")
             if measure.kind == "mean":
-                found = ratio(found, F.col(f"{v}_n"))
+                found = ratio(found, F.col(f"{name}__n"))
         return (measure.finish(found) if measure.finish else found).alias(measure.name)
 
-    outputs = [F.col(f"__k{i}").alias(name) for i, name in enumerate(keys)]
-    return merged.select(*outputs, *[result(m) for m in measures])
+
+def exact_aggregate(
+    df: DataFrame, keys: Mapping[str, Column | str], measures: Sequence[Measure]
+) -> DataFrame:
+    """Group by ``{output: input}`` and compute measures that no partitioning changes.
+
+    Without keys there is one row, also for an empty frame. A sum is the double nearest to the
+    exact sum of its values; where they spread over several classes, each class is exact and the
+    classes are added in their order. An infinity or NaN among the values makes the sum infinite
+    or NaN, as plain addition would.
+    """
+    exact = ExactMeasures(measures)
+    return exact.final(exact.partial(df, keys), list(keys))
 
 
 def exact_sum(df: DataFrame, column: str) -> Column:

@@ -21,6 +21,16 @@ def summary(
 ) -> DataFrame:
     """Headline numbers of the filtered fact with unfiltered rejections and the latest run."""
     figures = marts.headline(where.apply(enriched))
+    return with_context(figures, trip_rejections, payment_rejections, runs)
+
+
+def with_context(
+    figures: DataFrame,
+    trip_rejections: DataFrame,
+    payment_rejections: DataFrame,
+    runs: DataFrame,
+) -> DataFrame:
+    """Headline figures, from the fact or its roll-up, with rejections and the latest run."""
     figures = figures.withColumn("total_revenue", F.coalesce("total_revenue", F.lit(0.0)))
     latest = history.latest_published(runs).select(
         ratio(

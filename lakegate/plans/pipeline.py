@@ -26,6 +26,7 @@ from lakegate.operators import (
     marts,
     profiles,
     quality,
+    rollups,
 )
 from lakegate.sources import feeds, files
 from lakegate.sources.staging import together
@@ -308,7 +309,16 @@ class SnapshotPipeline:
             "gold.lineage_edges": lineage.lineage_edges(self.spark),
         }
         stored = together(
-            {name: partial(store.write, run_id, name, df) for name, df in gold.items()}
+            {
+                **{name: partial(store.write, run_id, name, df) for name, df in gold.items()},
+                rollups.RELATION: partial(
+                    store.write,
+                    run_id,
+                    rollups.RELATION,
+                    rollups.trip_rollup(enriched),
+                    partition_by="trip_date",
+                ),
+            }
         )
         relations = {
             "silver.trips": trips,

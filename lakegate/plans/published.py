@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakegate.bindings import mobility as m
-from lakegate.operators import evidence, history, profiles, serving
+from lakegate.operators import evidence, history, marts, profiles, rollups, serving
 from lakegate.operators.filters import FactFilter
 from lakegate.sources.store import SnapshotStore
 
@@ -31,6 +31,11 @@ class PublishedSnapshot:
     def _relation(self, name: str) -> DataFrame:
         return self.store.read(self.run_id, name)
 
+    def _rollup(self) -> DataFrame | None:
+        """The stored roll-up; a snapshot of an earlier version has none, and the fact is read."""
+        held = self.store.present([rollups.RELATION], self.run_id)
+        return self._relation(rollups.RELATION) if held else None
+
     @staticmethod
     def _where(
         start_date: date | None, end_date: date | None, zone_id: str | None, rider_type: str | None
@@ -46,21 +51,33 @@ class PublishedSnapshot:
         zone_id: str | None = None,
         rider_type: str | None = None,
     ) -> DataFrame:
-        return serving.summary(
-            self._relation("silver.trip_enriched"),
+        where = self._where(start_date, end_date, zone_id, rider_type)
+        rollup = self._rollup()
+        figures = (
+            marts.headline(where.apply(self._relation("silver.trip_enriched")))
+            if rollup is None
+            else rollups.headline(rollup, where)
+        )
+        return serving.with_context(
+            figures,
             self._relation("silver.trip_rejections"),
             self._relation("silver.payment_rejections"),
             self.store.runs(),
-            self._where(start_date, end_date, zone_id, rider_type),
         )
 
     def timeseries(self, start_date=None, end_date=None, zone_id=None, rider_type=None):
         where = self._where(start_date, end_date, zone_id, rider_type)
-        return serving.timeseries(self._relation("silver.trip_enriched"), where)
+        rollup = self._rollup()
+        if rollup is None:
+            return serving.timeseries(self._relation("silver.trip_enriched"), where)
+        return rollups.timeseries(rollup, where)
 
     def zones(self, start_date=None, end_date=None, zone_id=None, rider_type=None):
         where = self._where(start_date, end_date, zone_id, rider_type)
-        return serving.zones(self._relation("silver.trip_enriched"), where)
+        rollup = self._rollup()
+        if rollup is None:
+            return serving.zones(self._relation("silver.trip_enriched"), where)
+        return rollups.zones(rollup, where)
 
     def stations(
         self,
@@ -71,7 +88,10 @@ class PublishedSnapshot:
         rider_type=None,
     ):
         where = self._where(start_date, end_date, zone_id, rider_type)
-        return serving.stations(self._relation("silver.trip_enriched"), where, limit)
+        rollup = self._rollup()
+        if rollup is None:
+            return serving.stations(self._relation("silver.trip_enriched"), where, limit)
+        return rollups.stations(rollup, where, limit)
 
     def filter_window(self) -> DataFrame:
         return serving.filter_window(self._relation("silver.trip_enriched"))

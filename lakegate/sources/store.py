@@ -198,8 +198,11 @@ class SnapshotStore:
 
     # --- readiness ---------------------------------------------------------------------
 
-    def present(self, relations: Iterable[str] = m.REQUIRED_RELATIONS) -> list[str]:
-        run_id = self.published_run_id()
+    def present(
+        self, relations: Iterable[str] = m.REQUIRED_RELATIONS, run_id: str | None = None
+    ) -> list[str]:
+        """Those of the relations that a run has, by default the published one."""
+        run_id = run_id or self.published_run_id()
         return [name for name in relations if self._exists(name, run_id)]
 
     def _exists(self, relation: str, run_id: str | None) -> bool:
