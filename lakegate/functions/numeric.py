@@ -207,31 +207,22 @@ class ExactMeasures:
 
     def final(self, partials: DataFrame, keys: Sequence[str]) -> DataFrame:
         """One row per group; without keys one row, also for an empty frame."""
-        # Almost all groups hold values of class 0 only; their limbs are plain sums.
-        parts = []
-        for n in self.sums.values():
-            home = F.col(f"{n}__c") == 0
-            limbs = [F.col(f"{n}__{i}").alias(f"l{i}") for i in range(_LIMBS)]
-            far = F.when(~home, F.struct(F.col(f"{n}__c").alias("c"), *limbs))
-            parts.append(F.collect_list(far).alias(f"{n}__p"))
-            parts += [
-                F.coalesce(F.sum(F.when(home, limb)), F.lit(0)).alias(f"{n}__h{i}")
-                for i, limb in enumerate(limbs)
-            ]
+        parts = [
+            F.collect_list(
+                F.struct(
+                    F.col(f"{n}__c").alias("c"),
+                    *[F.col(f"{n}__{i}").alias(f"l{i}") for i in range(_LIMBS)],
+                )
+            ).alias(f"{n}__p")
+            for n in self.sums.values()
+        ]
         merged = partials.groupBy(*keys).agg(*self._merging(), *parts)
-
-        def total(n: str) -> Column:
-            limbs = [F.col(f"{n}__h{i}") for i in range(_LIMBS)]
-            plain = _rounded(limbs) * F.lit(2.0 ** (_TAIL_BITS - _UNIT_BITS))
-            named = [limb.alias(f"l{i}") for i, limb in enumerate(limbs)]
-            home = F.array(F.struct(F.lit(0).alias("c"), *named))
-            every = _total(F.concat(home, F.col(f"{n}__p")))
-            return F.when(F.size(f"{n}__p") == 0, plain).otherwise(every)
-
         # The sums once, however many measures use them.
         merged = merged.withColumns(
             {
-                f"{n}__s": F.when(F.col(f"{n}__n") > 0, F.coalesce(f"{n}__x", total(n)))
+                f"{n}__s": F.when(
+                    F.col(f"{n}__n") > 0, F.coalesce(f"{n}__x", _total(F.col(f"{n}__p")))
+                )
                 for n in self.sums.values()
             }
         )
