@@ -60,62 +60,64 @@ class Measure:
     finish: Callable[[Column], Column] | None = None
 
 
-def value_class(value: Column) -> Column:
+def _class_sql(value: str) -> str:
     """The class of a finite double."""
-    size = F.abs(value)
-    home = (size == 0) | ((size >= F.lit(2.0**-_LOW_BITS)) & (size < F.lit(2.0**_HIGH_BITS)))
     # A value on the border may fall into the class below, which has a bit to spare on top.
-    far = F.floor((F.log2(size) + F.lit(_LOW_BITS - 1e-9)) / F.lit(float(_CLASS_BITS))).cast("int")
-    return F.when(home, F.lit(0)).otherwise(far)
-
-
-def _limbs(value: Column, class_: Column) -> tuple[Column, Column]:
-    """Upper 62 and lower 42 bits of a value's size in units of its class."""
-    # In two factors, as 2**1172 is no double.
-    step = F.pow(F.lit(2.0), F.lit(_UNIT_BITS / 2) - class_ * F.lit(_CLASS_BITS / 2))
-    size = F.abs(value)
-    units = F.when(class_ == 0, size * F.lit(2.0**_UNIT_BITS)).otherwise(size * step * step)
-    upper = F.floor(units * F.lit(2.0**-_TAIL_BITS))
-    lower = (units - upper.cast("double") * F.lit(2.0**_TAIL_BITS)).cast("bigint")
-    return upper, lower
-
-
-def _rounded(limbs: Sequence[Column]) -> Column:
-    """The double nearest to a sum of limbs, in units of 2**42 times the class's unit."""
-    carried, carry = [], F.lit(0).cast("bigint")
-    for limb in limbs[:-1]:
-        whole = limb + carry
-        carried.append(whole.bitwiseAND(F.lit(_MASK)))
-        carry = F.shiftright(whole, _LIMB_BITS)
-    top = (limbs[-1] + carry).cast("decimal(20,0)")
-    tail = F.shiftleft(carried[1], _LIMB_BITS) + carried[0]
-    middle = F.shiftleft(carried[3], _LIMB_BITS) + carried[2]
-    whole = top * F.lit(2**_TAIL_BITS).cast("decimal(13,0)") + middle.cast("decimal(20,0)")
-    # Below 2**53 the whole part is a double and one addition rounds; above, the tail only
-    # decides ties, so it is one bit below the last that counts.
-    exact = whole.cast("double") + tail.cast("double") * F.lit(2.0**-_TAIL_BITS)
-    sticky = F.when(tail != 0, F.lit(1)).otherwise(F.lit(0)).cast("decimal(1,0)")
-    large = (whole * F.lit(4).cast("decimal(1,0)") + sticky).cast("double") / F.lit(4.0)
-    return F.when(F.abs(whole) < F.lit(2**53).cast("decimal(16,0)"), exact).otherwise(large)
+    return (
+        f"CASE WHEN {value} = 0 OR abs({value}) >= power(2D, -{_LOW_BITS}) AND abs({value}) < power(2D, {_HIGH_BITS})"
+        f" THEN 0 ELSE CAST(floor((log2(abs({value})) + {_LOW_BITS - 1e-9}D) / {_CLASS_BITS}D) AS INT) END"
+    )
+
+
+def _units_sql(value: str, class_: str) -> str:
+    """A value in units of its class; in two factors, as 2**1172 is no double."""
+    step = f"power(2D, {_UNIT_BITS // 2}D - {class_} * {_CLASS_BITS // 2}D)"
+    return f"CASE WHEN {class_} = 0 THEN {value} * power(2D, {_UNIT_BITS}) ELSE {value} * {step} * {step} END"
 
 
-def _total(parts: Column) -> Column:
-    """Sum of (class, limbs) structs: exact inside a class, classes added from the highest down."""
+def _limbs_sql(upper: str, lower: str) -> list[str]:
+    """Five limbs of a value cut at bit 42; shifts round down, so only the last of a part is signed."""
+    return [
+        f"{lower} & {_MASK}",
+        f"shiftright({lower}, {_LIMB_BITS})",
+        f"{upper} & {_MASK}",
+        f"shiftright({upper}, {_LIMB_BITS}) & {_MASK}",
+        f"shiftright({upper}, {2 * _LIMB_BITS})",
+    ]
+
+
+def _nearest_sql(x: str) -> str:
+    """The double nearest to the limbs of a struct with its class."""
+    carried = f"({x}.l1 + shiftright({x}.l0, {_LIMB_BITS}))"
+    tail = f"(shiftleft({carried} & {_MASK}, {_LIMB_BITS}) + ({x}.l0 & {_MASK}))"
+    whole = (
+        f"(CAST({x}.l4 AS DECIMAL(20,0)) * {2**_TAIL_BITS}BD + CAST({x}.l3 AS DECIMAL(20,0)) * {2**_LIMB_BITS}BD"
+        f" + ({x}.l2 + shiftright({carried}, {_LIMB_BITS})))"
+    )
+    # Below 2**53 the whole part is a double and one addition rounds; above, the tail only
+    # decides ties, so it is one bit below the last that counts.
+    units = (
+        f"CASE WHEN abs({whole}) < {2**53}BD THEN CAST({whole} AS DOUBLE) + {tail} * power(2D, -{_TAIL_BITS})"
+        f" ELSE CAST({whole} * 4BD + IF({tail} = 0, 0BD, 1BD) AS DOUBLE) / 4D END"
+    )
+    step = f"power(2D, {x}.c * {_CLASS_BITS // 2}D)"
+    return f"({units}) * power(2D, {_TAIL_BITS - _UNIT_BITS}) * {step} * {step}"
 
-    def of_class(sums: Column, class_: Column) -> Column:
-        def fold(limb: int) -> Column:
-            return F.aggregate(sums, F.lit(0).cast("bigint"), lambda a, x: a + x[f"l{limb}"])
 
-        step = F.pow(F.lit(2.0), class_ * F.lit(_CLASS_BITS / 2))
-        units = F.lit(2.0 ** (_TAIL_BITS - _UNIT_BITS))
-        return _rounded([fold(i) for i in range(_LIMBS)]) * units * step * step
+def _total_sql(parts: str) -> str:
+    """Sum of (class, limbs) structs: exact inside a class, classes added from the highest down.
 
-    classes = F.reverse(F.array_sort(F.array_distinct(F.transform(parts, lambda x: x["c"]))))
-    return F.aggregate(
-        classes,
-        F.lit(0.0),
-        lambda total, c: total + of_class(F.filter(parts, lambda x: x["c"] == c), c),
+    As text, because it is parsed in one step; built from Python operators it took longer to build
+    than to run.
+    """
+    added = ", ".join(f"'l{i}', a.l{i} + x.l{i}" for i in range(_LIMBS))
+    zero = ", ".join(f"'l{i}', 0L" for i in range(_LIMBS))
+    # A lone part, the usual case, needs no search for its class.
+    by_class = (
+        f"transform(reverse(array_sort(array_distinct({parts}.c))), k -> aggregate(filter({parts}, x -> x.c = k),"
+        f" named_struct('c', k, {zero}), (a, x) -> named_struct('c', a.c, {added})))"
     )
+    return f"aggregate(IF(size({parts}) < 2, {parts}, {by_class}), 0D, (t, y) -> t + {_nearest_sql('y')})"
 
 
 class ExactMeasures:
@@ -153,40 +155,28 @@ class ExactMeasures:
         by = [(F.col(k) if isinstance(k, str) else k).alias(name) for name, k in keys.items()]
         rows = df.select(*by, *[column.alias(name) for name, column in self.inputs.items()])
         names = list(self.sums.values())
-        finite = {
-            n: ~F.isnan(f"{n}__v") & (F.abs(F.col(f"{n}__v")) < F.lit(float("inf"))) for n in names
-        }
-        rows = rows.withColumns(
-            {
-                f"{n}__c": F.when(finite[n], value_class(F.col(f"{n}__v"))).otherwise(F.lit(0))
-                for n in names
-            }
-        )
-        cut = {}
-        for n in names:
-            upper, lower = _limbs(F.when(finite[n], F.col(f"{n}__v")), F.col(f"{n}__c"))
-            cut |= {f"{n}__upper": upper, f"{n}__lower": lower}
-        rows = rows.withColumns(cut)
+        # NaN and the infinities are added apart.
+        finite = {n: f"NOT isnan(`{n}__v`) AND abs(`{n}__v`) < double('infinity')" for n in names}
+        for step in (
+            {"c": lambda n: f"CASE WHEN {finite[n]} THEN {_class_sql(f'`{n}__v`')} ELSE 0 END"},
+            {"u": lambda n: f"CASE WHEN {finite[n]} THEN {_units_sql(f'`{n}__v`', f'`{n}__c`')} END"},
+            {"upper": lambda n: f"CAST(`{n}__u` * power(2D, -{_TAIL_BITS}) AS BIGINT)"},
+            {"lower": lambda n: f"CAST(`{n}__u` - `{n}__upper` * power(2D, {_TAIL_BITS}) AS BIGINT)"},
+        ):
+            rows = rows.withColumns(
+                {f"{n}__{part}": F.expr(sql(n)) for part, sql in step.items() for n in names}
+            )
         added = [F.count(F.lit(1)).alias("rows__n")]
         added += [F.count_if(F.col(f"{n}__v")).alias(f"{n}__met") for n in self._kind("share")]
         added += [F.min(f"{n}__v").alias(f"{n}__end") for n in self._kind("min")]
         added += [F.max(f"{n}__v").alias(f"{n}__end") for n in self._kind("max")]
         for n in names:
-            upper, lower = F.col(f"{n}__upper"), F.col(f"{n}__lower")
-            limbs = [
-                lower.bitwiseAND(F.lit(_MASK)),
-                F.shiftright(lower, _LIMB_BITS),
-                upper.bitwiseAND(F.lit(_MASK)),
-                F.shiftright(upper, _LIMB_BITS).bitwiseAND(F.lit(_MASK)),
-                F.shiftright(upper, 2 * _LIMB_BITS),
-            ]
-            negative = F.col(f"{n}__v") < 0
             added += [
-                F.coalesce(F.sum(F.when(negative, -x).otherwise(x)), F.lit(0)).alias(f"{n}__{i}")
-                for i, x in enumerate(limbs)
+                F.expr(f"coalesce(sum({limb}), 0L)").alias(f"{n}__{i}")
+                for i, limb in enumerate(_limbs_sql(f"`{n}__upper`", f"`{n}__lower`"))
             ]
             added.append(F.count(f"{n}__v").alias(f"{n}__n"))
-            added.append(F.sum(F.when(~finite[n], F.col(f"{n}__v"))).alias(f"{n}__x"))
+            added.append(F.expr(f"sum(CASE WHEN NOT ({finite[n]}) THEN `{n}__v` END)").alias(f"{n}__x"))
         return rows.groupBy(*keys, *self.classes).agg(*added)
 
     def _merging(self) -> list[Column]:
@@ -208,11 +198,10 @@ class ExactMeasures:
     def final(self, partials: DataFrame, keys: Sequence[str]) -> DataFrame:
         """One row per group; without keys one row, also for an empty frame."""
         parts = [
-            F.collect_list(
-                F.struct(
-                    F.col(f"{n}__c").alias("c"),
-                    *[F.col(f"{n}__{i}").alias(f"l{i}") for i in range(_LIMBS)],
-                )
+            F.expr(
+                f"collect_list(named_struct('c', `{n}__c`, "
+                + ", ".join(f"'l{i}', `{n}__{i}`" for i in range(_LIMBS))
+                + "))"
             ).alias(f"{n}__p")
             for n in self.sums.values()
         ]
@@ -220,8 +209,8 @@ class ExactMeasures:
         # The sums once, however many measures use them.
         merged = merged.withColumns(
             {
-                f"{n}__s": F.when(
-                    F.col(f"{n}__n") > 0, F.coalesce(f"{n}__x", _total(F.col(f"{n}__p")))
+                f"{n}__s": F.expr(
+                    f"CASE WHEN `{n}__n` > 0 THEN coalesce(`{n}__x`, {_total_sql(f'`{n}__p`')}) END"
                 )
                 for n in self.sums.values()
             }
