@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import lru_cache
 from itertools import count, groupby, takewhile
 
 import numpy as np
@@ -17,8 +18,9 @@ from lakegate.llm.common import content, partitions, pick, ship, stage
 from lakegate.llm.encoder import slices
 from lakegate.llm.wordhash import LOWER, mix, rolling, word_hashes
 
-#: A size band ends where sets are this many thresholds larger than where it begins.
-BAND_STEPS = 6
+#: A size band ends where sets are this many thresholds larger than where it begins; which of
+#: these a join takes is settled by the cost of its index.
+BAND_STEPS = (1, 2, 3, 6)
 #: Members of a bucket that are compared in one piece.
 BLOCK = 128
 _SHINGLE = 0x9FB21C651E98DF25
@@ -31,6 +33,7 @@ class Join:
 
     words: int = 5
     percent: int = 80
+    steps: int = 1
 
     def differing(self, size: int) -> int:
         """Most tokens in which a set of this size and one not smaller may differ, if linked."""
@@ -42,9 +45,8 @@ class Join:
         """Band 0 holds the sets for which only equality will do."""
         if not self.differing(size):
             return 0
-        first = self.first_size
-        step = BAND_STEPS * math.log(100 / self.percent)
-        k = int(math.log(size / first) / step) + 1
+        step = self.steps * math.log(100 / self.percent)
+        k = int(math.log(size / _first_size(self)) / step) + 1
         # The bounds are integers; correct what rounding of the logarithm may have done.
         while size < self.begin(k):
             k -= 1
@@ -52,15 +54,22 @@ class Join:
             k += 1
         return k
 
-    @property
-    def first_size(self) -> int:
-        size = 1
-        while not self.differing(size):
-            size += 1
-        return size
-
     def begin(self, band: int) -> int:
-        return 1 if band <= 0 else math.ceil(self.first_size * (100 / self.percent) ** (BAND_STEPS * (band - 1)))
+        return _begin(self, band)
+
+
+@lru_cache(maxsize=64)
+def _first_size(join: Join) -> int:
+    return next(size for size in count(1) if join.differing(size))
+
+
+@lru_cache(maxsize=65_536)
+def _begin(join: Join, band: int) -> int:
+    """In integers, as a set and its smallest partner must never be two bands apart."""
+    if band <= 0:
+        return 1
+    power = join.steps * (band - 1)
+    return -(-_first_size(join) * 100**power // join.percent**power)
 
 
 @dataclass(frozen=True)
@@ -75,6 +84,16 @@ class Scheme:
         """Segments a set uses that needs so many units."""
         return units // 2 + units % 2 if units <= 2 * self.doubled else units - self.doubled
 
+    def rows(self, used: int, size: float) -> float:
+        """Index rows of a set of this size that uses so many segments."""
+        return used + min(self.doubled, used) * size / self.segments
+
+    def chance_pairs(self, documents: int, size: float) -> float:
+        """Pairs of unrelated sets that meet, because both have no token in a segment."""
+        tokens = size / self.segments
+        chance = math.exp(-2 * tokens)
+        return documents * documents / 2 * chance * (self.segments - self.doubled + self.doubled * (1 + 2 * tokens))
+
 
 def allocate(documents: int, size: int, differing: int, mean_size: float) -> Scheme:
     """The cheapest scheme of a band, from its number of documents.
@@ -85,15 +104,11 @@ def allocate(documents: int, size: int, differing: int, mean_size: float) -> Sch
     documents squared times exp(-2 tokens a segment) pairs.
     """
     units = differing + 1
-    best = (math.inf, 0)
-    for doubled in range(units // 2 + 1):
-        segments = units - doubled
-        tokens = mean_size / segments
-        rows = documents * (segments + doubled * tokens)
-        chance = math.exp(-2 * tokens)
-        pairs = documents * documents / 2 * ((segments - doubled) * chance + doubled * chance * (1 + 2 * tokens))
-        best = min(best, (rows + pairs, doubled))
-    return Scheme(units - best[1], best[1])
+    schemes = (Scheme(units - doubled, doubled) for doubled in range(units // 2 + 1))
+    return min(
+        schemes,
+        key=lambda s: documents * s.rows(s.segments, mean_size) + s.chance_pairs(documents, mean_size),
+    )
 
 
 def shingles(words: np.ndarray, n: int) -> np.ndarray:
@@ -331,8 +346,9 @@ def near_components(
     """doc_id, text_key, n_shingles, component_id, group_key, one row per input row.
 
     1. Each document becomes the set of its shingles, named by 128 bits. Equal sets are one node.
-    2. Sets are indexed by segments (:func:`keys`), in bands of similar size; how a band is
-       indexed is allocated from the number of its documents (:func:`allocate`).
+    2. Sets are indexed by segments (:func:`keys`), in bands of similar size; how wide a
+       band is (:func:`banded`) and how it is indexed (:func:`allocate`) follow from the number of
+       documents by size.
     3. Sets that share a key meet in a bucket; members of a bucket are compared exactly, in
        blocks, and the links become components.
 
@@ -348,7 +364,7 @@ def near_components(
     rows = pick(docs, doc_id=id_col, text=text_col).select("doc_id", content().alias("text"))
     rows = rows.withColumn("text_key", F.xxhash64("text"))
     known = stage(sets(rows, join), "jaccard-sets")
-    schemes = _schemes(known, join)
+    join, schemes = banded(known, join)
     posted = postings(rows, join, schemes)
     # The same node may come from several tasks; the buckets count it once.
     met = stage(buckets(posted), "jaccard-buckets")
@@ -408,19 +424,57 @@ def _pack(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "node bigint, packed binary")
 
 
-def _schemes(known: DataFrame, join: Join) -> dict[int, Scheme]:
-    """The scheme of each band, from the number of its documents (one row per size class)."""
+def banded(known: DataFrame, join: Join) -> tuple[Join, dict[int, Scheme]]:
+    """The join with the band width whose index is cheapest, and the scheme of each band.
+
+    Narrow bands suit each set's size better, but more sets are indexed in two of them. Both are
+    reckoned from the number of documents and their mean size by bands of one step (a row each).
+    """
+    narrow = replace(join, steps=1)
     # At 100 percent only equality will do: every set is in band 0.
-    starts = map(join.begin, count(1)) if join.percent < 100 else ()
+    starts = map(narrow.begin, count(1)) if join.percent < 100 else ()
     bounds = F.array(*(F.lit(b) for b in takewhile(lambda b: b < 2**31, starts))).cast("array<bigint>")
     band = F.size(F.filter(bounds, lambda b: b <= F.col("n")))
-    counts = known.where("n > 0").groupBy(band.alias("band")).agg(
-        F.count("*").alias("documents"), F.max("n").alias("largest"), F.avg("n").alias("mean")
-    )
-    found = {r["band"]: r for r in counts.collect()}
+    counts = known.where("n > 0").groupBy(band.alias("band")).agg(F.count("*").alias("documents"), F.avg("n").alias("mean"))
+    found = {r["band"]: (r["documents"], r["mean"]) for r in counts.collect() if r["band"]}
+    choices = []
+    for steps in BAND_STEPS:
+        wide = replace(join, steps=steps)
+        schemes = _schemes(found, wide)
+        choices.append((_cost(found, wide, schemes), steps, schemes))
+    _, steps, schemes = min(choices, key=lambda c: c[:2])
+    return replace(join, steps=steps), schemes
+
+
+def _within(found: dict[int, tuple[int, float]], steps: int) -> dict[int, tuple[int, float]]:
+    """Documents and mean size of bands of ``steps``, from those of one step."""
+    total: dict[int, tuple[int, float]] = {}
+    for narrow, (documents, mean) in found.items():
+        k = (narrow - 1) // steps + 1
+        before, size = total.get(k, (0, 0.0))
+        total[k] = (before + documents, size + documents * mean)
+    return {k: (n, size / n) for k, (n, size) in total.items()}
+
+
+def _schemes(found: dict[int, tuple[int, float]], join: Join) -> dict[int, Scheme]:
     out = {}
-    for k, row in found.items():
-        if k:
-            top = join.begin(k + 1) - 1
-            out[k] = allocate(row["documents"], top, join.differing(top), row["mean"])
+    for k, (documents, mean) in _within(found, join.steps).items():
+        top = join.begin(k + 1) - 1
+        out[k] = allocate(documents, top, join.differing(top), mean)
     return out
+
+
+def _cost(found: dict[int, tuple[int, float]], join: Join, schemes: dict[int, Scheme]) -> float:
+    """Index rows and chance meetings. The sets of a band's first step use the band below too."""
+    cost, users = 0.0, dict.fromkeys(schemes, 0)
+    for narrow, (documents, mean) in found.items():
+        k = (narrow - 1) // join.steps + 1
+        own = schemes[k]
+        cost += documents * own.rows(own.used(join.differing(int(mean)) + 1), mean)
+        users[k] += documents
+        lower = schemes.get(k - 1)
+        if lower and (narrow - 1) % join.steps == 0:
+            cost += documents * lower.rows(lower.segments, mean)
+            users[k - 1] += documents
+    mean_of = _within(found, join.steps)
+    return cost + sum(scheme.chance_pairs(users[k], mean_of[k][1]) for k, scheme in schemes.items())

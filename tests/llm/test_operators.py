@@ -108,6 +108,23 @@ def test_jaccard_join(docs, empty, n, percent):
     assert jaccard_join.near_components(empty, join).count() == 0
 
 
+@pytest.mark.parametrize("steps", jaccard_join.BAND_STEPS)
+def test_jaccard_join_with_every_band_width(docs, monkeypatch, steps):
+    monkeypatch.setattr(jaccard_join, "BAND_STEPS", (steps,))
+    got = jaccard_join.near_components(docs, jaccard_join.Join(2, 70))
+    assert found(got, "doc_id", "n_shingles", "component_id") == _linked(2, 70)
+
+
+@pytest.mark.parametrize("percent", [50, 75, 80, 90, 97])
+@pytest.mark.parametrize("steps", jaccard_join.BAND_STEPS)
+def test_partners_are_at_most_one_band_apart(percent, steps):
+    join = jaccard_join.Join(5, percent, steps)
+    for size in range(1, 3000):
+        least = -(-size * percent // 100)
+        assert join.band(size) - join.band(least) <= 1
+        assert join.begin(join.band(size)) <= size < join.begin(join.band(size) + 1) or not join.band(size)
+
+
 def test_jaccard_join_of_equal_sets_only(docs):
     got = jaccard_join.near_components(docs, jaccard_join.Join(3, 100))
     assert found(got, "doc_id", "n_shingles", "component_id") == _linked(3, 100)
