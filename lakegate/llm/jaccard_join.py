@@ -11,7 +11,7 @@ from itertools import count, groupby, takewhile
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakegate.llm.common import content, partitions, pick, ship, stage
@@ -226,21 +226,52 @@ def buckets(posted: DataFrame) -> DataFrame:
     return members.join(chosen, "key").select(F.col("key").alias("bucket"), "node", "members")
 
 
-def compared(packed: DataFrame, join: Join) -> DataFrame:
-    """Links (low, high) that connect the members of each bucket, from (bucket, members, node, n, packed).
+def favourites(met: DataFrame) -> DataFrame:
+    """(bucket, node, members, first): every node in its largest bucket only, where it is not alone."""
+    best = met.groupBy("node").agg(F.max(F.struct("members", "bucket")).alias("best"))
+    best = best.select("node", F.col("best.bucket").alias("bucket"))
+    several = best.groupBy("bucket").agg(F.count("*").alias("members"), F.min("node").alias("first"))
+    return best.join(several.where("members > 1"), "bucket")
 
-    A bucket of more than BLOCK members is cut into blocks, and every two blocks meet in one
-    group. A group emits at most one link per member: a forest with the same components as all
-    its links. The links themselves are decided on the whole sets.
-    """
-    count = F.ceil(F.col("members") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("node", "bucket"), count).cast("int")
-    other = F.explode(F.sequence(F.lit(0), count - 1))
-    dealt = packed.select("bucket", "node", "packed", mine.alias("mine"), other.alias("other"), count.alias("blocks"))
-    group = dealt.select(
+
+def unsettled(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """The buckets whose members are not all of one component yet."""
+    tagged = met.join(labels, "node", "left").select("bucket", F.coalesce("label", "node").alias("label"))
+    mixed = tagged.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return met.join(mixed.where("low <> high").select("bucket"), "bucket")
+
+
+def _blocks() -> tuple[Column, Column]:
+    """Number of a bucket's blocks, and the one a member is in."""
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    return blocks, F.pmod(F.xxhash64("node", "bucket"), blocks).cast("int")
+
+
+def dealt_once(packed: DataFrame) -> DataFrame:
+    """Every member in its block, the bucket's first member in all of them: one row each and one a block."""
+    blocks, mine = _blocks()
+    every = F.when(F.col("node") == F.col("first"), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(mine))
+    return packed.select("bucket", F.explode(every).alias("i"), "node", "packed").withColumn("j", F.col("i"))
+
+
+def dealt_in_pairs(packed: DataFrame) -> DataFrame:
+    """Every two blocks of a bucket in one group."""
+    blocks, mine = _blocks()
+    other = F.explode(F.sequence(F.lit(0), blocks - 1))
+    dealt = packed.select("bucket", "node", "packed", mine.alias("mine"), other.alias("other"))
+    return dealt.select(
         "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "node", "packed"
     )
-    spread = group.repartition(partitions(packed.sparkSession), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+
+def compared(dealt: DataFrame, join: Join) -> DataFrame:
+    """Links (low, high) that connect the members of each group, from (bucket, i, j, node, packed).
+
+    A group emits at most one link per member: a forest with the same components as all its
+    links. The links themselves are decided on the whole sets.
+    """
+    group = dealt.select("bucket", "i", "j", "node", "packed")
+    spread = group.repartition(partitions(dealt.sparkSession), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decompress = zstandard.ZstdDecompressor().decompress
@@ -349,8 +380,10 @@ def near_components(
     2. Sets are indexed by segments (:func:`keys`), in bands of similar size; how wide a
        band is (:func:`banded`) and how it is indexed (:func:`allocate`) follow from the number of
        documents by size.
-    3. Sets that share a key meet in a bucket; members of a bucket are compared exactly, in
-       blocks, and the links become components.
+    3. Sets that share a key meet in a bucket. First every set is compared in its largest bucket
+       alone, in blocks that share one member; that joins most copies at the cost of one row a
+       set. Two members of one component need no further comparison, so only buckets with several
+       components are then compared whole, block by block. The links become components.
 
     ``component_id`` is the smallest id reachable. A text without words has no shingle and is
     linked with nothing: its component is its own id and its ``group_key`` is NULL. Other rows share
@@ -376,8 +409,10 @@ def near_components(
     same = rows["doc_id"].eqNullSafe(wanted["id"]) & (rows["text_key"] == wanted["of"])
     texts = rows.join(wanted, same)
     packed = stage(_pack(texts.select(F.col("s1").alias("node"), "text")), "jaccard-texts")
-    links = compared(met.join(packed, "node"), join)
-    labels = components(stage(links.distinct(), "jaccard-links"))
+    once = dealt_once(favourites(met).join(packed, "node"))
+    links = stage(compared(once, join).distinct(), "jaccard-first-links")
+    rest = dealt_in_pairs(unsettled(met, components(links)).join(packed, "node"))
+    labels = components(stage(links.unionByName(compared(rest, join)).distinct(), "jaccard-links"))
     least = nodes.select(F.col("s1").alias("node"), "least_id").join(labels, "node")
     named = least.groupBy("label").agg(F.min("least_id").alias("component"))
     of_node = labels.join(named, "label").select(F.col("node").alias("s1"), "component", "label")
