@@ -6,7 +6,7 @@ import math
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import lru_cache
-from itertools import count, groupby, takewhile
+from itertools import count, takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -14,15 +14,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import content, partitions, pick, ship, stage
+from lakegate.llm.common import content, pick, ship, stage
 from lakegate.llm.encoder import slices
+from lakegate.llm.set_links import links, sketch
 from lakegate.llm.wordhash import LOWER, mix, rolling, word_hashes
 
 #: A size band ends where sets are this many thresholds larger than where it begins; which of
 #: these a join takes is settled by the cost of its index.
 BAND_STEPS = (1, 2, 3, 6)
-#: Members of a bucket that are compared in one piece.
-BLOCK = 128
 _SHINGLE = 0x9FB21C651E98DF25
 _KEY = 0xA24BAED4963EE407
 
@@ -189,123 +188,45 @@ def _tokens(texts: list[bytes], join: Join) -> Iterator[np.ndarray]:
             yield shingles(words, join.words)
 
 
-def postings(docs: DataFrame, join: Join, schemes: dict[int, Scheme]) -> DataFrame:
-    """(key, node): index keys of each document's set, the set named by its first 64 bits."""
+def postings(packed: DataFrame, join: Join, schemes: dict[int, Scheme]) -> DataFrame:
+    """(key, node): index keys of each distinct set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decompress = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            found: dict[int, np.ndarray] = {}  # copies in a batch are one set
-            for tokens in _tokens(batch["text"].to_pylist(), join):
-                if len(tokens):
-                    node = signature(tokens)[0]
-                    if node not in found:
-                        found[node] = keys(tokens, join, schemes)
-            if found:
-                nodes = np.repeat(np.fromiter(found, np.int64, len(found)), [len(k) for k in found.values()])
-                every = np.concatenate(list(found.values())).view(np.int64)
-                yield pa.RecordBatch.from_pydict({"key": pa.array(every), "node": pa.array(nodes)})
+            for begin, part in slices(batch["packed"].to_pylist()):
+                found = [keys(t, join, schemes) for t in _tokens([decompress(p) for p in part], join)]
+                nodes = batch["node"].to_numpy()[begin : begin + len(part)]
+                every = np.concatenate(found).view(np.int64)
+                yield pa.RecordBatch.from_pydict(
+                    {"key": pa.array(every), "node": pa.array(np.repeat(nodes, [len(k) for k in found]))}
+                )
 
-    return docs.select("text").mapInArrow(run, "key bigint, node bigint")
+    return packed.select("node", "packed").mapInArrow(run, "key bigint, node bigint")
 
 
 def buckets(posted: DataFrame) -> DataFrame:
-    """(bucket, node, members): buckets with two sets or more, one of each set of members.
+    """(bucket, node, members, first): buckets of two sets or more, one of each set of members.
+
+    ``first`` is the smallest member.
 
     Near copies meet in many buckets with the same members; one of them is enough. Which buckets
     those are is settled by aggregates (number, sums of hashes), so no list of members is built.
     """
     posted = posted.repartition("key")  # one shuffle, which both uses below read
     several = posted.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    members = stage(posted.join(several.select("key"), "key").distinct(), "jaccard-members")
+    members = stage(posted.join(several.select("key"), "key"), "jaccard-members")
     mark = F.xxhash64("node")
     wide = lambda c: F.sum(c.cast("decimal(28,0)"))
     shape = members.groupBy("key").agg(
-        F.count("*").alias("members"), wide(mark).alias("a"), wide(F.xxhash64(mark)).alias("b")
+        F.count("*").alias("members"),
+        F.min("node").alias("first"),
+        wide(mark).alias("a"),
+        wide(F.xxhash64(mark)).alias("b"),
     )
-    chosen = shape.groupBy("members", "a", "b").agg(F.min("key").alias("key")).select("key", "members")
-    return members.join(chosen, "key").select(F.col("key").alias("bucket"), "node", "members")
-
-
-def compared(packed: DataFrame, join: Join) -> DataFrame:
-    """Links (low, high) that connect the members of each bucket, from (bucket, members, node, n, packed).
-
-    A bucket of more than BLOCK members is cut into blocks, and every two blocks meet in one
-    group. A group emits at most one link per member: a forest with the same components as all
-    its links. The links themselves are decided on the whole sets.
-    """
-    count = F.ceil(F.col("members") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("node", "bucket"), count).cast("int")
-    other = F.explode(F.sequence(F.lit(0), count - 1))
-    dealt = packed.select("bucket", "node", "packed", mine.alias("mine"), other.alias("other"), count.alias("blocks"))
-    group = dealt.select(
-        "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "node", "packed"
-    )
-    spread = group.repartition(partitions(packed.sparkSession), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decompress = zstandard.ZstdDecompressor().decompress
-
-        def rows() -> Iterator[tuple]:
-            for batch in batches:
-                yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
-
-        pending: list[tuple[int, int]] = []
-        for _, members in groupby(rows(), key=lambda r: r[:3]):
-            texts = {r[3]: r[4] for r in members}
-            if len(texts) > 1:
-                tokens = _tokens([decompress(t) for t in texts.values()], join)
-                pending += forest(list(texts), list(tokens), join)
-            if len(pending) >= 10_000:
-                yield _links(pending)
-                pending = []
-        yield _links(pending)
-
-    return spread.mapInArrow(run, "low bigint, high bigint")
-
-
-def _links(rows: list[tuple[int, int]]) -> pa.RecordBatch:
-    low, high = zip(*rows, strict=True) if rows else ((), ())
-    return pa.RecordBatch.from_pydict({"low": pa.array(low, pa.int64()), "high": pa.array(high, pa.int64())})
-
-
-def forest(nodes: list[int], tokens: list[np.ndarray], join: Join) -> list[tuple[int, int]]:
-    """One link per member that is not the smallest of its component."""
-    sizes = np.array([len(t) for t in tokens])
-    places = np.concatenate(tokens)
-    owner = np.repeat(np.arange(len(tokens)), sizes)
-    _, token, times = np.unique(places, return_inverse=True, return_counts=True)
-    shared = times[token] > 1  # a token of one set alone is in no intersection
-    owner, token = owner[shared], token[shared]
-    number = np.cumsum(times > 1) - 1
-    token = number[token]
-    common = np.zeros((len(tokens), len(tokens)), np.int64)
-    # Dense blocks of tokens, so that memory does not follow the length of the texts.
-    order = np.argsort(token, kind="stable")
-    owner, token = owner[order], token[order]
-    last = int(token[-1]) + 1 if len(token) else 0
-    width = max(1, min(last, 4_000_000 // len(tokens)))
-    for begin in range(0, last, width):
-        a, b = np.searchsorted(token, [begin, begin + width])
-        dense = np.zeros((len(tokens), width), np.float32)
-        dense[owner[a:b], token[a:b] - begin] = 1
-        common += (dense @ dense.T).astype(np.int64)
-    union = sizes[:, None] + sizes[None, :] - common
-    linked = (100 * common >= join.percent * union) & (common > 0)
-    out = []
-    free = np.ones(len(tokens), bool)
-    for first in np.argsort(np.array(nodes), kind="stable"):
-        if not free[first]:
-            continue
-        reached = np.zeros(len(tokens), bool)
-        reached[first] = True
-        edge = reached
-        while edge.any():
-            new = linked[edge].any(0) & ~reached
-            reached |= new
-            edge = new
-        free &= ~reached
-        out += [(nodes[first], nodes[i]) for i in np.flatnonzero(reached) if i != first]
-    return out
+    chosen = shape.groupBy("members", "first", "a", "b").agg(F.min("key").alias("key"))
+    chosen = chosen.select("key", "members", "first")
+    return members.join(chosen, "key").select(F.col("key").alias("bucket"), "node", "members", "first")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -345,19 +266,20 @@ def near_components(
 ) -> DataFrame:
     """doc_id, text_key, n_shingles, component_id, group_key, one row per input row.
 
-    1. Each document becomes the set of its shingles, named by 128 bits. Equal sets are one node.
+    1. Each document becomes the set of its shingles, named by 128 bits. Equal sets are one
+       numbered node, and one document stands for it.
     2. Sets are indexed by segments (:func:`keys`), in bands of similar size; how wide a
        band is (:func:`banded`) and how it is indexed (:func:`allocate`) follow from the number of
        documents by size.
-    3. Sets that share a key meet in a bucket; members of a bucket are compared exactly, in
-       blocks, and the links become components.
+    3. Sets that share a key meet in a bucket. Pairs of a bucket that their sizes and parity
+       sketches leave open are decided on the words of both texts, and links become components
+       (:func:`~lakegate.llm.set_links.links`).
 
     ``component_id`` is the smallest id reachable. A text without words has no shingle and is
     linked with nothing: its component is its own id and its ``group_key`` is NULL. Other rows share
     a ``group_key`` exactly if they are of one component. NULL text has no words. Rows repeated with
     the same text are one node; rows of one id with different texts are nodes of their own. NULL
     ids never become a component's id unless there is no other. Extra columns are not read.
-    Shingles are compared as 64-bit hashes inside a group of at most 2 x BLOCK documents.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -365,33 +287,27 @@ def near_components(
     rows = rows.withColumn("text_key", F.xxhash64("text"))
     known = stage(sets(rows, join), "jaccard-sets")
     join, schemes = banded(known, join)
-    posted = postings(rows, join, schemes)
-    # The same node may come from several tasks; the buckets count it once.
-    met = stage(buckets(posted), "jaccard-buckets")
-    # One document stands for each node that met another.
     nodes = known.where("n > 0").groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "text_key")).alias("row"), F.min("doc_id").alias("least_id"))
-    nodes = stage(nodes.select("s1", "s2", "row.*", "least_id"), "jaccard-nodes")
-    wanted = nodes.join(met.select(F.col("node").alias("s1")).distinct(), "s1", "left_semi")
-    wanted = wanted.select(F.col("doc_id").alias("id"), F.col("text_key").alias("of"), "s1")
+    nodes = nodes.select(F.monotonically_increasing_id().alias("node"), "s1", "s2", "row.*", "least_id")
+    nodes = stage(nodes, "jaccard-nodes")
+    wanted = nodes.select(F.col("doc_id").alias("id"), F.col("text_key").alias("of"), "node")
     same = rows["doc_id"].eqNullSafe(wanted["id"]) & (rows["text_key"] == wanted["of"])
-    texts = rows.join(wanted, same)
-    packed = stage(_pack(texts.select(F.col("s1").alias("node"), "text")), "jaccard-texts")
-    links = compared(met.join(packed, "node"), join)
-    labels = components(stage(links.distinct(), "jaccard-links"))
-    least = nodes.select(F.col("s1").alias("node"), "least_id").join(labels, "node")
+    # A row that is repeated stands for its set once.
+    packed = _pack(rows.join(wanted, same).select("node", "text"), join).dropDuplicates(["node"])
+    packed = stage(packed, "jaccard-texts")
+    met = stage(buckets(postings(packed, join, schemes)), "jaccard-buckets")
+    linked = links(met, packed, join.words, join.percent, components)
+    labels = components(stage(linked, "jaccard-links"))
+    least = nodes.select("node", "least_id").join(labels, "node")
     named = least.groupBy("label").agg(F.min("least_id").alias("component"))
-    of_node = labels.join(named, "label").select(F.col("node").alias("s1"), "component", "label")
+    of_node = nodes.select("node", "s1", "s2", "least_id").join(labels, "node", "left").join(named, "label", "left")
     of_node = stage(of_node, "jaccard-components")
-    return (
-        known.join(nodes.select("s1", "s2", "least_id"), ["s1", "s2"], "left")
-        .join(of_node, "s1", "left")
-        .select(
-            "doc_id",
-            "text_key",
-            F.col("n").alias("n_shingles"),
-            F.coalesce("component", "least_id", "doc_id").alias("component_id"),
-            F.when(F.col("n") > 0, F.coalesce("label", "s1")).alias("group_key"),
-        )
+    return known.join(of_node, ["s1", "s2"], "left").select(
+        "doc_id",
+        "text_key",
+        F.col("n").alias("n_shingles"),
+        F.coalesce("component", "least_id", "doc_id").alias("component_id"),
+        F.coalesce("label", "node").alias("group_key"),
     )
 
 
@@ -414,14 +330,25 @@ def drop_near_copies(
     return docs.join(kept, same, "left_semi")
 
 
-def _pack(texts: DataFrame) -> DataFrame:
+def _pack(texts: DataFrame, join: Join) -> DataFrame:
+    """(node, n, sketch, packed) of each text that stands for a node."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compress = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            packed = [compress(t) for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_pydict({"node": batch["node"], "packed": pa.array(packed, pa.binary())})
+            every = batch["text"].to_pylist()
+            rows = [(len(t), sketch(t)) for t in _tokens(every, join)]
+            sizes, sketches = zip(*rows, strict=True) if rows else ((), ())
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "node": batch["node"],
+                    "n": pa.array(sizes, pa.int64()),
+                    "sketch": pa.array(sketches, pa.binary()),
+                    "packed": pa.array([compress(t) for t in every], pa.binary()),
+                }
+            )
 
-    return texts.mapInArrow(run, "node bigint, packed binary")
+    return texts.mapInArrow(run, "node bigint, n bigint, sketch binary, packed binary")
 
 
 def banded(known: DataFrame, join: Join) -> tuple[Join, dict[int, Scheme]]:
