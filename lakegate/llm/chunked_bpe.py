@@ -10,14 +10,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import content, pick, ship
+from lakegate.llm.common import content, give_back, pick, ship
 from lakegate.llm.encoder import SPECIAL, PieceEncoder, cut_at_spaces, slices
 
 #: A chunk ends where the hash of its last WINDOW bytes has CHUNK_BITS leading zero bits.
 WINDOW = 16
 CHUNK_BITS = 10
 #: Encoded chunks kept per Python worker, in bytes of text; beyond it the table starts anew.
-TABLE_BYTES = 48 * 1024 * 1024
+TABLE_BYTES = 16 * 1024 * 1024
+#: Text encoded at a time (a longer document is taken alone).
+SLICE_BYTES = 2 * 1024 * 1024
 _SEGMENT = 1024 * 1024
 _MULTIPLIER = 0x9E3779B1
 _TABLE = (np.arange(1, 257, dtype=np.uint64) * 0xD6E8FEB86659FD93 >> 32).astype(np.uint32)
@@ -233,7 +235,7 @@ def encode_decode(
         tool = chunk_encoder(tokenizer_path, chunk_bits)
         for batch in batches:
             texts = batch["text"].to_pylist()
-            for begin, part in slices(texts):
+            for begin, part in slices(texts, SLICE_BYTES):
                 ids = tool.encode(part)
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -242,6 +244,7 @@ def encode_decode(
                         "decoded": pa.array([tool.decode(x) for x in ids], pa.string()),
                     }
                 )
+        give_back()
 
     return rows.mapInArrow(run_batches, f"doc_id {id_type}, ids array<int>, decoded string")
 

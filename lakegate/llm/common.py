@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Mapping
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakegate.sources.staging import stage
 
-__all__ = ["content", "partitions", "pick", "ship", "stage"]
+__all__ = ["content", "give_back", "partitions", "pick", "ship", "stage"]
 
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:
@@ -54,3 +56,11 @@ def ship(spark: SparkSession) -> None:
             out.write(path, Path(root.name) / path.relative_to(root))
     context.addPyFile(str(archive))
     context._lakegate_shipped = True
+
+
+def give_back() -> None:
+    """Return what a Python task has freed to the system, as its worker stays for later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

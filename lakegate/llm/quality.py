@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import content, pick, ship, stage
+from lakegate.llm.common import content, give_back, pick, ship, stage
 
 FEATURES = (
     "log_words",
@@ -136,10 +136,11 @@ def features(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [statistics(t) for t in batch["text"].to_pylist()]
+            values = [statistics(t.as_py()) for t in batch["text"]]
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch["doc_id"], "features": pa.array(values, pa.list_(pa.float64()))}
             )
+        give_back()
 
     return rows.mapInArrow(run, f"doc_id {id_type}, features array<double>")
 
@@ -152,7 +153,7 @@ def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
 def train(found: DataFrame, labels: DataFrame, *, label_col: str = "quality", id_col: str = "doc_id") -> Discriminant:
     """Fit on all rows of ``found`` (doc_id, features) that are labelled 0 or 1 and not held out.
 
-    Every task adds up its rows; what reaches the driver is 2 x 120 sums. A label row whose id or
+    Every task adds up its rows; what reaches the driver is 2 x 211 sums. A label row whose id or
     label is NULL counts nowhere; a document labelled twice counts twice.
     """
     known = pick(labels, doc_id=id_col, label=label_col).where("doc_id is not null and label in (0, 1)")
@@ -225,8 +226,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, text_col: str = "text", thr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [statistics((t or "").encode()) for t in batch.column(position).to_pylist()]
+            rows = [statistics((t.as_py() or "").encode()) for t in batch.column(position)]
             good = model.score(np.array(rows).reshape(-1, len(FEATURES))) >= threshold
             yield batch.filter(pa.array(good, pa.bool_()))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
