@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import lru_cache
@@ -14,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import content, pick, ship, stage
+from lakegate.llm.common import content, give_back, pick, ship, stage
 from lakegate.llm.encoder import slices
 from lakegate.llm.set_links import links, sketch
 from lakegate.llm.wordhash import LOWER, mix, rolling, word_hashes
@@ -22,6 +23,9 @@ from lakegate.llm.wordhash import LOWER, mix, rolling, word_hashes
 #: A size band ends where sets are this many thresholds larger than where it begins; which of
 #: these a join takes is settled by the cost of its index.
 BAND_STEPS = (1, 2, 3, 6)
+#: Text hashed at a time: hashing takes some fifty times as much memory.
+SLICE_BYTES = 1024 * 1024
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 _SHINGLE = 0x9FB21C651E98DF25
 _KEY = 0xA24BAED4963EE407
 
@@ -178,16 +182,31 @@ def sets(docs: DataFrame, join: Join) -> DataFrame:
                 [batch["doc_id"], batch["text_key"], *(pa.array(list(c), pa.int64()) for c in columns)],
                 names=["doc_id", "text_key", "n", "s1", "s2"],
             )
+        give_back()
 
     return docs.mapInArrow(run, f"doc_id {id_type}, text_key bigint, n bigint, s1 bigint, s2 bigint")
 
 
 def _tokens(texts: list[bytes], join: Join) -> Iterator[np.ndarray]:
-    for _, part in slices(texts):
-        for words in word_hashes([t.translate(LOWER) for t in part]):
+    for _, part in slices(texts, SLICE_BYTES):
+        if len(part[0]) > SLICE_BYTES:
+            hashes = [np.concatenate([word_hashes([p.translate(LOWER)])[0] for p in _pieces(part[0])])]
+        else:
+            hashes = word_hashes([t.translate(LOWER) for t in part])
+        for words in hashes:
             yield shingles(words, join.words)
 
 
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """A long text cut before white space; only a single word may be longer than a slice."""
+    begin = 0
+    while begin < len(text):
+        blank = _BLANK.search(text, begin + SLICE_BYTES)
+        end = blank.start() if blank else len(text)
+        yield text[begin:end]
+        begin = end
+
+
 def postings(packed: DataFrame, join: Join, schemes: dict[int, Scheme]) -> DataFrame:
     """(key, node): index keys of each distinct set."""
 
@@ -201,6 +220,7 @@ def postings(packed: DataFrame, join: Join, schemes: dict[int, Scheme]) -> DataF
                 yield pa.RecordBatch.from_pydict(
                     {"key": pa.array(every), "node": pa.array(np.repeat(nodes, [len(k) for k in found]))}
                 )
+        give_back()
 
     return packed.select("node", "packed").mapInArrow(run, "key bigint, node bigint")
 
@@ -347,6 +367,7 @@ def _pack(texts: DataFrame, join: Join) -> DataFrame:
                     "packed": pa.array([compress(t) for t in every], pa.binary()),
                 }
             )
+        give_back()
 
     return texts.mapInArrow(run, "node bigint, n bigint, sketch binary, packed binary")
 
