@@ -78,40 +78,67 @@ def _begin(join: Join, band: int) -> int:
 @dataclass(frozen=True)
 class Scheme:
     """How a band is indexed: tokens fall into ``segments``; the first ``doubled`` of them stand
-    for two units each, by their subset and its one-deletion neighbours, the others for one."""
+    for two units each, by their subset and its one-deletion neighbours, the others for one.
+
+    ``spare`` units are used beyond what pigeonhole needs, so partners agree in more than that
+    many. A set with no more units than that in empty keys does without them: it meets each of its
+    partners by tokens as well."""
 
     segments: int
     doubled: int
+    spare: int = 0
 
     def used(self, units: int) -> int:
         """Segments a set uses that needs so many units."""
+        units += self.spare
         return units // 2 + units % 2 if units <= 2 * self.doubled else units - self.doubled
 
     def rows(self, used: int, size: float) -> float:
         """Index rows of a set of this size that uses so many segments."""
         return used + min(self.doubled, used) * size / self.segments
 
-    def chance_pairs(self, documents: int, size: float) -> float:
-        """Pairs of unrelated sets that meet, because both have no token in a segment."""
+    def empties(self, used: int, size: float) -> float:
+        """Empty keys that a set of this size is expected to index, by segment."""
         tokens = size / self.segments
-        chance = math.exp(-2 * tokens)
-        return documents * documents / 2 * chance * (self.segments - self.doubled + self.doubled * (1 + 2 * tokens))
+        none, few = math.exp(-tokens), (1 + tokens) * math.exp(-tokens)
+        doubled = min(self.doubled, used)
+        units = (used - doubled) * none + 2 * doubled * few
+        deviation = math.sqrt((used - doubled) * none + 4 * doubled * few) or 1.0
+        needed = math.erfc((self.spare + 0.5 - units) / deviation / math.sqrt(2)) / 2
+        return needed * ((used - doubled) * none + doubled * few) / self.segments
 
 
-def allocate(documents: int, size: int, differing: int, mean_size: float) -> Scheme:
-    """The cheapest scheme of a band, from its number of documents.
+def allocate(differing: int, users: list[tuple[int, int, float]]) -> tuple[float, Scheme]:
+    """The cost of the cheapest scheme of a band, and that scheme.
 
-    With u = differing + 1 units wanted, d doubled segments leave u - d segments. A plain segment
-    costs one row per set, a doubled one a row more for each of its tokens. Fewer segments are
-    larger ones: two unrelated sets meet in a segment when both have no token in it, for
-    documents squared times exp(-2 tokens a segment) pairs.
+    ``users`` holds documents, units needed and mean size, by size. With u units wanted, d doubled
+    segments leave u - d segments. A plain segment costs one row per set, a doubled one a row more
+    for each of its tokens. Fewer segments are larger ones: unrelated sets meet in a segment only
+    by an empty key, and each pair of them is taken to cost a row.
     """
-    units = differing + 1
-    schemes = (Scheme(units - doubled, doubled) for doubled in range(units // 2 + 1))
-    return min(
-        schemes,
-        key=lambda s: documents * s.rows(s.segments, mean_size) + s.chance_pairs(documents, mean_size),
-    )
+
+    def cost(scheme: Scheme) -> float:
+        rows = meeting = 0.0
+        for documents, units, size in users:
+            used = min(scheme.segments, scheme.used(units))
+            rows += documents * scheme.rows(used, size)
+            meeting += documents * scheme.empties(used, size)
+        return rows + scheme.segments * meeting * meeting / 2
+
+    schemes = []
+    for spare in _steps(differing + 1):
+        units = differing + 1 + spare
+        schemes += [Scheme(units - doubled, doubled, spare) for doubled in _steps(units // 2)]
+    return min(((cost(s), s) for s in schemes), key=lambda c: c[0])
+
+
+def _steps(most: int) -> list[int]:
+    """0 to ``most`` in steps that grow by an eighth."""
+    out, n = [0], 1
+    while n < most:
+        out.append(n)
+        n += max(1, n // 8)
+    return [*out, most] if most else out
 
 
 def shingles(words: np.ndarray, n: int) -> np.ndarray:
@@ -139,7 +166,9 @@ def keys(tokens: np.ndarray, join: Join, schemes: dict[int, Scheme]) -> np.ndarr
     A set uses the first segments of a band until the units exceed the tokens in which it may
     differ from a partner that is not larger; the smaller of two partners uses the fewest, and
     those the other has as well. So at most ``differing`` tokens are spread over more units than
-    that, and some segment is equal, or a doubled one differs by one token at most.
+    that, and some segment is equal, or a doubled one differs by one token at most. With spare
+    units, more units than those agree. Where a set's empty keys stand for no more than the spare
+    ones, some key of tokens is among the agreeing ones, whatever the partner is.
     """
     size = len(tokens)
     band = join.band(size)
@@ -161,9 +190,14 @@ def keys(tokens: np.ndarray, join: Join, schemes: dict[int, Scheme]) -> np.ndarr
         sums = np.zeros(scheme.segments, np.uint64)
         np.add.at(sums, segment, values)
         salt = np.arange(scheme.segments, dtype=np.uint64) + np.uint64(b << 32)
-        whole = mix(sums[:used] + salt[:used] * np.uint64(_KEY), 10)
-        out.append(whole)
-        deleted = segment < min(scheme.doubled, used)
+        tokens_in = np.bincount(segment, minlength=scheme.segments)
+        doubled = min(scheme.doubled, used)
+        # Keys of the empty subset: of empty segments, and of doubled ones with a single token.
+        empty = np.count_nonzero(tokens_in[doubled:used] == 0) + 2 * np.count_nonzero(tokens_in[:doubled] <= 1)
+        least = 0 if empty > scheme.spare else 1
+        at = np.flatnonzero(tokens_in[:used] >= least)
+        out.append(mix(sums[at] + salt[at] * np.uint64(_KEY), 10))
+        deleted = (segment < doubled) & (tokens_in[segment] > least)
         if deleted.any():
             left = sums[segment[deleted]] - values[deleted]
             out.append(mix(left + salt[segment[deleted]] * np.uint64(_KEY), 10))
@@ -387,42 +421,24 @@ def banded(known: DataFrame, join: Join) -> tuple[Join, dict[int, Scheme]]:
     found = {r["band"]: (r["documents"], r["mean"]) for r in counts.collect() if r["band"]}
     choices = []
     for steps in BAND_STEPS:
-        wide = replace(join, steps=steps)
-        schemes = _schemes(found, wide)
-        choices.append((_cost(found, wide, schemes), steps, schemes))
+        cost, schemes = _schemes(found, replace(join, steps=steps))
+        choices.append((cost, steps, schemes))
     _, steps, schemes = min(choices, key=lambda c: c[:2])
     return replace(join, steps=steps), schemes
 
 
-def _within(found: dict[int, tuple[int, float]], steps: int) -> dict[int, tuple[int, float]]:
-    """Documents and mean size of bands of ``steps``, from those of one step."""
-    total: dict[int, tuple[int, float]] = {}
-    for narrow, (documents, mean) in found.items():
-        k = (narrow - 1) // steps + 1
-        before, size = total.get(k, (0, 0.0))
-        total[k] = (before + documents, size + documents * mean)
-    return {k: (n, size / n) for k, (n, size) in total.items()}
-
-
-def _schemes(found: dict[int, tuple[int, float]], join: Join) -> dict[int, Scheme]:
-    out = {}
-    for k, (documents, mean) in _within(found, join.steps).items():
-        top = join.begin(k + 1) - 1
-        out[k] = allocate(documents, top, join.differing(top), mean)
-    return out
-
-
-def _cost(found: dict[int, tuple[int, float]], join: Join, schemes: dict[int, Scheme]) -> float:
-    """Index rows and chance meetings. The sets of a band's first step use the band below too."""
-    cost, users = 0.0, dict.fromkeys(schemes, 0)
-    for narrow, (documents, mean) in found.items():
+def _schemes(found: dict[int, tuple[int, float]], join: Join) -> tuple[float, dict[int, Scheme]]:
+    """The cost of the index, and the scheme of each band, from documents and mean size by bands
+    of one step. The sets of a band's first step use the whole of the band below too."""
+    users: dict[int, list[tuple[int, int, float]]] = {}
+    for narrow, (documents, mean) in sorted(found.items()):
         k = (narrow - 1) // join.steps + 1
-        own = schemes[k]
-        cost += documents * own.rows(own.used(join.differing(int(mean)) + 1), mean)
-        users[k] += documents
-        lower = schemes.get(k - 1)
-        if lower and (narrow - 1) % join.steps == 0:
-            cost += documents * lower.rows(lower.segments, mean)
-            users[k - 1] += documents
-    mean_of = _within(found, join.steps)
-    return cost + sum(scheme.chance_pairs(users[k], mean_of[k][1]) for k, scheme in schemes.items())
+        users.setdefault(k, []).append((documents, join.differing(int(mean)) + 1, mean))
+        if k > 1 and (narrow - 1) % join.steps == 0:
+            below = join.differing(join.begin(k) - 1) + 1
+            users.setdefault(k - 1, []).append((documents, below, mean))
+    total, out = 0.0, {}
+    for k, uses in users.items():
+        cost, out[k] = allocate(join.differing(join.begin(k + 1) - 1), uses)
+        total += cost
+    return total, out

@@ -16,6 +16,9 @@ from pyspark.sql import types as T
 
 Result = TypeVar("Result")
 
+#: Spark deletes the shuffle files of a query when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's folder for recoverable intermediate data.
@@ -34,10 +37,22 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write once, read back: cuts lineage and survives the loss of any executor."""
+    """Write once, read back: cuts lineage and survives the loss of any executor.
+
+    The written table stands for the shuffles that made it, so their files go at once and not
+    when the driver's next garbage collection comes.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/lakegate-stage/{label}-{uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

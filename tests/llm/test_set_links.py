@@ -80,3 +80,49 @@ def test_blocks_lose_no_link(spark, monkeypatch, block):
                 label = [low if x == high else x for x in label]
     assert len(set(label)) > 5
     assert {(r["doc_id"], r["component_id"]) for r in got.collect()} == set(enumerate(label))
+
+
+def _near(rng, tokens, join):
+    """A set that differs from ``tokens`` in as many tokens as a link allows."""
+    drop = (100 - join.percent) * len(tokens) // 100
+    swap = (100 - join.percent) * len(tokens) // (100 + join.percent)
+    kept = rng.permutation(tokens)
+    if rng.random() < 0.5:
+        return np.unique(kept[drop:])
+    return np.unique(np.concatenate([kept[swap:], rng.integers(0, 2**63, swap).astype(np.uint64)]))
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_linked_sets_share_a_key_in_every_scheme(percent):
+    """Also where many segments are empty, and where empty keys are left out."""
+    rng = np.random.default_rng(percent)
+    for _ in range(400):
+        join = jaccard_join.Join(5, percent, int(rng.choice(jaccard_join.BAND_STEPS)))
+        a = np.unique(rng.integers(0, 2**63, int(rng.integers(2, 90))).astype(np.uint64))
+        b = _near(rng, a, join)
+        schemes = {}
+        for band in range(1, join.band(max(len(a), len(b))) + 1):
+            spare = int(rng.integers(0, 12))
+            units = join.differing(join.begin(band + 1) - 1) + 1 + spare
+            doubled = int(rng.integers(0, units // 2 + 1)) if rng.random() < 0.5 else 0
+            schemes[band] = jaccard_join.Scheme(units - doubled, doubled, spare)
+        shared = len(np.intersect1d(a, b))
+        if not join.band(len(a)) or 100 * shared < percent * (len(a) + len(b) - shared):
+            continue
+        if not join.band(len(b)):
+            assert not np.array_equal(a, b)
+            continue
+        assert len(np.intersect1d(jaccard_join.keys(a, join, schemes), jaccard_join.keys(b, join, schemes)))
+
+
+@pytest.mark.parametrize("documents", [1_000, 1_000_000])
+def test_the_index_has_fewer_keys_than_tokens_however_many_sets(documents):
+    rng = np.random.default_rng(8)
+    found = {band: (documents, 1.1 * jaccard_join.Join(5, 80).begin(band)) for band in range(8, 28)}
+    cost, schemes = jaccard_join._schemes(found, jaccard_join.Join(5, 80, 3))
+    join = jaccard_join.Join(5, 80, 3)
+    sets = [np.unique(rng.integers(0, 2**63, int(n)).astype(np.uint64)) for n in rng.uniform(40, 1200, 300)]
+    rows = sum(len(jaccard_join.keys(t, join, schemes)) for t in sets)
+    assert rows < 0.6 * sum(map(len, sets))
+    every = np.concatenate([jaccard_join.keys(t, join, schemes) for t in sets])
+    assert len(np.unique(every)) > 0.99 * len(every)
