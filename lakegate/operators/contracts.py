@@ -14,6 +14,7 @@ from lakegate.operators import joins
 from lakegate.sources.staging import stage_measured
 
 REASON = "rejection_reason"
+_SETTLED = "__first_failing"
 
 SAFE_KINDS = ("key", "enum", "number", "timestamp")
 
@@ -104,7 +105,12 @@ def unreconciled(total: str, base: str, minus: str, plus: str, tolerance: float)
 
 def repeated(key: str) -> Predicate:
     """Key occurs on more than one row of the feed (counted before any rule is applied)."""
-    return lambda context: F.col(context.counts[key]) > 1
+
+    def predicate(context: RuleContext) -> Column:
+        return F.col(context.counts[key]) > 1
+
+    predicate.counted = True
+    return predicate
 
 
 def reconciliation_gap(total: str, base: str, minus: str, plus: str) -> Column:
@@ -204,29 +210,51 @@ def attach_key_counts(
         of_key = repeats.where(F.col("key_name") == key).select(
             F.col("key_value").alias("__key_value"), F.col("n").alias("__n")
         )
-        keyed = result.withColumn("__key", F.col(key).cast("string"))
+        keyed, on = result, key
+        if not isinstance(result.schema[key].dataType, T.StringType):
+            keyed, on = result.withColumn("__key", F.col(key).cast("string")), "__key"
         if size <= limit:
-            joined = keyed.join(
-                F.broadcast(of_key), F.col("__key") == F.col("__key_value"), "left"
-            )
+            joined = keyed.join(F.broadcast(of_key), F.col(on) == F.col("__key_value"), "left")
         else:
             splits = joins.splits_from_counts(
                 of_key, "__key_value", "__n", source.agg(F.count(F.lit(1))).scalar(), joins.tasks(df)
             )
-            joined = joins.salted_left_join(keyed, of_key, "__key", "__key_value", splits)
+            joined = joins.salted_left_join(keyed, of_key, on, "__key_value", splits)
         counted = F.when(F.col(key).isNotNull(), F.coalesce(F.col("__n"), F.lit(1)))
         result = joined.withColumn(output, counted).drop("__key", "__key_value", "__n")
     return result.drop(joins.ROW_ID)
 
 
 def classify(df: DataFrame, contract: Contract, context: RuleContext | None = None) -> DataFrame:
-    """Add the first failing rule's reason, NULL for an accepted row."""
+    """Add the first failing rule's reason, NULL for an accepted row.
+
+    Rules whose outcome :func:`settled` has added are not applied again.
+    """
     context = context or RuleContext()
     reason = None
-    for rule in contract.rules:
+    for number, rule in enumerate(contract.rules):
         branch = F.when if reason is None else reason.when
-        reason = branch(rule.fails(context), F.lit(rule.reason))
-    return df.withColumn(REASON, reason)
+        known = _SETTLED in df.columns and not _counted(rule)
+        fails = F.col(_SETTLED) == number if known else rule.fails(context)
+        reason = branch(fails, F.lit(rule.reason))
+    return df.withColumn(REASON, reason).drop(_SETTLED)
+
+
+def settled(df: DataFrame, contract: Contract, context: RuleContext) -> DataFrame:
+    """Add the number of the first failing rule among those that need no key counts.
+
+    Who wants the reasons alone then takes that number and the keys through the join with the
+    counts, and no other field.
+    """
+    first = F.lit(None).cast("int")
+    for number, rule in reversed(list(enumerate(contract.rules))):
+        if not _counted(rule):
+            first = F.when(rule.fails(context), F.lit(number)).otherwise(first)
+    return df.withColumn(_SETTLED, first)
+
+
+def _counted(rule: Rule) -> bool:
+    return getattr(rule.fails, "counted", False)
 
 
 def apply_contract(
@@ -243,12 +271,13 @@ def apply_contract(
     """
     typed = conform(raw, contract.fields, whole_date=whole_date)
     counts = {key: f"{key}_count" for key in contract.unique_keys}
+    context = RuleContext(reject_null_enum=reject_null_enum, counts=counts)
     if counts:
+        typed = settled(typed, contract, context)
         key_fields = [field for field in contract.fields if field.name in counts]
         source = raw if keys_from is None else keys_from
         keys = conform(source.select(*counts), key_fields, whole_date=whole_date, once=False)
         typed = attach_key_counts(typed, counts, keys_only=keys)
-    context = RuleContext(reject_null_enum=reject_null_enum, counts=counts)
     return classify(typed, contract, context).drop(*counts.values())
 
 
