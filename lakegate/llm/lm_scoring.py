@@ -1,283 +1,196 @@
-"""Stupid-backoff language-model scores from n-gram count tables partitioned by hash."""
+"""Stupid-backoff language-model scores from n-gram counts summed by hash and given back to the texts."""
 
 from __future__ import annotations
 
-import gc
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import content, partitions, pick, ship, stage
+from lakegate.llm.common import content, give_back, pick, ship, stage
 from lakegate.llm.encoder import slices
 from lakegate.llm.wordhash import mix, rolling, word_hashes
 
 ORDER = 3
 ALPHA = 0.4
-#: Bytes of corpus text whose n-grams make one hash partition of the tables.
+#: Bytes of text whose n-grams are summed before they leave a task, and scored together.
+SLICE_BYTES = 4 * 1024 * 1024
+#: Bytes of text whose n-grams of one order make one hash bucket.
 BUCKET_BYTES = 24 * 1024 * 1024
-#: N-grams that a task adds up before it hands on their counts.
-PENDING = 4_000_000
-#: Least number of hash partitions of the tables.
+#: Least number of hash buckets.
 LEAST_BUCKETS = 64
 _RUN = 0xA0761D6478BD642F
 #: Stands before the first word.
 _START = np.uint64(0x9D39247E33776D41)
 
-TABLE = "bucket int, kind int, key bigint, grams binary, counts binary, contexts binary, lengths binary"
-_COUNT, _ASK = 0, 1
+PARTS = "n int, bucket int, slice bigint, grams binary, counts binary, ends binary"
+TOTALS = "slice bigint, n int, bucket int, size int, counts binary, ends binary"
 
 
-def grams(words: np.ndarray, order: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bucket, context, gram) of the n-gram that ends at each word, as hashes.
+class Words:
+    """The words of some texts, one after another, with the hash of the n-gram that ends at each.
 
     The first words are preceded by start signs, so every word has an n-gram of every order.
-
-    The bucket follows from the context, so that all counts a relative frequency needs lie in one
-    bucket. Unigrams have no context; their own hash gives the bucket.
     """
-    if not len(words):
-        return words.astype(np.int32), words, words
-    words = np.concatenate([np.full(order - 1, _START), words])
-    gram = mix(rolling(words, order, _RUN), 20 + order)
-    context = mix(rolling(words[:-1], order - 1, _RUN), 30 + order) if order > 1 else np.zeros_like(gram)
-    place = mix(context if order > 1 else gram, 22)
-    return (place % np.uint64(buckets)).astype(np.int32), context, gram
 
+    def __init__(self, texts: Sequence[bytes], order: int) -> None:
+        found = [words for _, part in slices(texts, SLICE_BYTES) for words in word_hashes(part)]
+        self.lengths = np.array([len(words) for words in found], np.int64)
+        self.text = np.repeat(np.arange(len(found)), self.lengths)
+        ends = np.cumsum(self.lengths)
+        #: Last words of the texts that have any, and first ones.
+        self.last = ends[self.lengths > 0] - 1
+        self.first = (ends - self.lengths)[self.lengths > 0]
+        self._at = np.arange(len(self.text)) + (self.text + 1) * (order - 1)
+        self._padded = np.full(len(self.text) + len(found) * (order - 1), _START)
+        if found:
+            self._padded[self._at] = np.concatenate(found)
 
-def _blobs(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    """A binary array of the parts of ``values`` between the bounds."""
-    data = np.ascontiguousarray(values)
-    offsets = (bounds * data.itemsize).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    def grams(self, n: int) -> np.ndarray:
+        return mix(rolling(self._padded, n, _RUN), 20 + n)[self._at - (n - 1)]
 
 
-def _bounds(*columns: np.ndarray) -> np.ndarray:
-    """Where runs of equal values begin, and the end."""
-    n = len(columns[0])
-    change = np.zeros(n, bool)
-    change[:1] = True
-    for c in columns:
-        change[1:] |= c[1:] != c[:-1]
-    return np.append(np.flatnonzero(change), n)
+def _packed(grams: np.ndarray) -> bytes:
+    """Sorted hashes byte by byte: their first bytes are nearly equal, so they compress."""
+    return grams.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-_NAMES = ["bucket", "kind", "key", "grams", "counts", "contexts", "lengths"]
+def _unpacked(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
 
-def _questions(bucket: np.ndarray, key: np.ndarray, cuts: np.ndarray, gram: np.ndarray, *number: np.ndarray) -> pa.RecordBatch:
-    """N-grams with how often they are asked for, their own counts and their contexts' own counts."""
-    blobs = [_blobs(gram, cuts), *(_blobs(x.astype("<u4"), cuts) for x in number)]
-    kind = np.full(len(bucket), _ASK, np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(kind), pa.array(key), *blobs], _NAMES)
+def _numbers(values: np.ndarray) -> bytes:
+    """Counts in as many bytes each as the largest needs."""
+    return values.astype(np.min_scalar_type(int(values.max()))).tobytes()
 
 
-def count_tables(docs: DataFrame, order: int, buckets: int) -> DataFrame:
-    """Partial counts of the n-grams of one order, by bucket and context (rows: text).
+def _read(blob: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(blob, f"<u{len(blob) // n}").astype(np.int64)
 
-    Each task adds up its own n-grams first; a frequent one leaves a task once per PENDING.
-    """
 
-    def flush(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        bucket, context, gram = (np.concatenate(x) for x in zip(*held, strict=True))
-        by = np.lexsort((gram, context, bucket))
-        bucket, context, gram = bucket[by], context[by], gram[by]
-        edges = _bounds(bucket, context, gram)
-        first, counts = edges[:-1], np.diff(edges).astype("<u4")
-        bucket, context, gram = bucket[first], context[first], gram[first]
-        rows, runs = _bounds(bucket), _bounds(bucket, context)
-        lead = runs[:-1]
-        parts = np.searchsorted(runs, rows)
-        place = bucket[rows[:-1]]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(place),
-                pa.array(np.full(len(place), _COUNT, np.int32)),
-                pa.array(np.zeros(len(place), np.int64)),
-                _blobs(gram, rows),
-                _blobs(counts, rows),
-                _blobs(context[lead], parts),
-                _blobs(np.diff(runs).astype("<u4"), parts),
-            ],
-            _NAMES,
-        )
+def _partial(words: Words, orders: Sequence[int], buckets: int, number: int | None, counted: bool) -> Iterator[tuple]:
+    """PARTS rows of a slice: its distinct n-grams by bucket, how often they occur and how often as the last of a text."""
+    for n in orders:
+        grams, which = np.unique(words.grams(n), return_inverse=True)
+        if not len(grams):
+            return
+        counts = np.bincount(which, minlength=len(grams))
+        ends = np.bincount(which[words.last], minlength=len(grams))
+        bucket = (grams >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=bucket[0] + np.uint64(1))), len(grams))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            held = (_numbers(counts[a:b]), _numbers(ends[a:b])) if counted else (None, None)
+            yield n, int(bucket[a]), number, _packed(grams[a:b]), *held
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            for _, part in slices(batch["text"].to_pylist()):
-                for words in word_hashes(part):
-                    found = grams(words, order, buckets)
-                    if len(found[0]):
-                        held.append(found)
-                        size += len(found[0])
-                if size >= PENDING:
-                    yield flush(held)
-                    held, size = [], 0
-        if held:
-            yield flush(held)
-
-    return docs.select("text").mapInArrow(run, TABLE)
-
-
-def _runs(words: np.ndarray, order: int, buckets: int) -> tuple[np.ndarray, ...]:
-    """A text's distinct n-grams by (bucket, context, gram): the order of its words, where runs begin, and these columns."""
-    bucket, context, gram = grams(words, order, buckets)
-    by = np.lexsort((gram, context, bucket))
-    bucket, context, gram = bucket[by], context[by], gram[by]
-    return by, _bounds(context, gram), bucket, context, gram
-
-
-def _asked(docs: DataFrame, order: int, buckets: int, first: bool, own: bool) -> DataFrame:
-    """The exploded n-grams of the documents, one row per document and bucket (rows: key, text, missed).
-
-    In the first round every word asks for its longest n-gram. Later rounds ask for the words
-    whose n-gram one longer is marked in ``missed``: one byte for each distinct n-gram of the text,
-    in the order of ``_runs``. The others are sent too, asked for zero times: an n-gram that is
-    found has all its shorter ones found, so the marks of one order are enough for the next round.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, keys = batch["text"].to_pylist(), batch["key"].to_numpy(zero_copy_only=False)
-            for begin, part in slices(texts):
-                held = []
-                for i, words in enumerate(word_hashes(part), begin):
-                    if not len(words):
-                        continue
-                    asks = np.ones(len(words), np.int64)
-                    if not first:
-                        by, edges, *_ = _runs(words, order + 1, buckets)
-                        lost = np.frombuffer(b"".join(batch["missed"][i].as_py()), np.uint8)
-                        asks[by] = np.repeat(lost, np.diff(edges))
-                    by, edges, bucket, context, gram = _runs(words, order, buckets)
-                    at, counts = edges[:-1], np.diff(edges)
-                    mine = above = np.zeros(len(at), np.int64)
-                    if own and order > 1:
-                        runs = _bounds(context)
-                        mine, above = counts, np.repeat(np.diff(runs), np.diff(np.searchsorted(edges, runs)))
-                    elif own:
-                        mine, above = counts, np.full(len(at), len(words))
-                    asks = np.add.reduceat(asks[by], at)
-                    held.append((bucket[at], np.full(len(at), i), gram[at], asks, mine, above))
-                if not held:
-                    continue
-                bucket, owner, *values = (np.concatenate(x) for x in zip(*held, strict=True))
-                cuts = _bounds(bucket, owner)
-                at = cuts[:-1]
-                yield _questions(bucket[at], keys[owner[at]], cuts, *values)
-
-    return docs.mapInArrow(run, TABLE)
-
-
-class _Table:
-    """One bucket's n-grams with their counts, merged from partial counts, then their shares."""
-
-    def __init__(self) -> None:
-        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.size = self.merged = 0
-
-    def add(self, gram: bytes, counts: bytes, contexts: bytes, lengths: bytes) -> None:
-        context = np.repeat(np.frombuffer(contexts, np.uint64), np.frombuffer(lengths, "<u4"))
-        self.held.append((np.frombuffer(gram, np.uint64), context, np.frombuffer(counts, "<u4").astype(np.int64)))
-        self.size += len(context)
-        if self.size > 2 * self.merged + PENDING:
-            self._merge()
-
-    def _merge(self) -> None:
-        gram, context, counts = (np.concatenate(x) for x in zip(*self.held, strict=True))
-        by = np.argsort(gram, kind="stable")
-        gram = gram[by]
-        first = _bounds(gram)[:-1]
-        self.held = [(gram[first], context[by][first], np.add.reduceat(counts[by], first))]
-        self.size = self.merged = len(first)
-
-    def known(self, total: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted n-grams, their counts, and their contexts' counts (or ``total``)."""
-        if not self.held:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self._merge()
-        gram, context, counts = self.held[0]
-        if total is not None:
-            return gram, counts, np.full(len(gram), total)
-        _, which = np.unique(context, return_inverse=True)
-        sums = np.zeros(which.max() + 1, np.int64)
-        np.add.at(sums, which, counts)
-        return gram, counts, sums[which]
-
-
-def _looked_up(asked: DataFrame, tables: DataFrame, order: int, total: int, alpha: float) -> DataFrame:
-    """(key, bucket, score, missed, lost): sum of the log scores found, less the back-offs; n-grams not found."""
-    spark = asked.sparkSession
-    placed = tables.unionByName(asked).repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "kind")
-    placed = placed.select(*_NAMES)
+_PARTS = pa.schema(
+    [("n", pa.int32()), ("bucket", pa.int32()), ("slice", pa.int64())]
+    + [(name, pa.binary()) for name in ("grams", "counts", "ends")]
+)
+_TOTALS = pa.schema(
+    [("slice", pa.int64())]
+    + [(name, pa.int32()) for name in ("n", "bucket", "size")]
+    + [(name, pa.binary()) for name in ("counts", "ends")]
+)
+
+
+def _table(rows: Sequence[tuple], schema: pa.Schema) -> pa.Table:
+    columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def _asked(placed: DataFrame, orders: Sequence[int], buckets: int, counted: bool) -> DataFrame:
+    """The n-grams of each slice of the texts to be scored, counted in case they belong to the corpus."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        words = Words(rows["text"].to_pylist(), max(orders))
+        out = _table([*_partial(words, orders, buckets, rows["slice"][0].as_py(), counted)], _PARTS)
+        give_back()
+        return out
+
+    return placed.select("slice", "text").groupBy("slice").applyInArrow(run, PARTS)
+
+
+def _counted(corpus: DataFrame, orders: Sequence[int], buckets: int) -> DataFrame:
+    """The n-grams of a corpus that is not scored itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, table, known = None, _Table(), None
         for batch in batches:
-            keys, places, scores, missed, incomplete = [], [], [], [], []
-            pending: list[tuple[int, bytes, bytes, bytes, bytes]] = []
-
-            def answer() -> None:
-                if not pending:
-                    return
-                key, *columns = zip(*pending, strict=True)
-                starts = np.cumsum([0, *(len(g) // 8 for g in columns[0])])
-                gram = np.frombuffer(b"".join(columns[0]), np.uint64)
-                asks, mine, above = (np.frombuffer(b"".join(c), "<u4").astype(np.int64) for c in columns[1:])
-                grams_known, counts, sums = known
-                found = np.zeros(len(gram), bool)
-                if order > 1:
-                    values = np.full(len(gram), math.log(alpha))
-                else:
-                    # A word that was never counted has half a count.
-                    values = np.log(0.5 / np.maximum(1, total - above))
-                if len(grams_known):
-                    at = np.minimum(np.searchsorted(grams_known, gram), len(grams_known) - 1)
-                    left = counts[at] - mine
-                    found = (grams_known[at] == gram) & (left > 0)
-                    values[found] = np.log(left[found] / (sums[at] - above)[found])
-                scores.extend(np.add.reduceat(values * asks, starts[:-1]).tolist())
-                keys.extend(key)
-                places.extend([current] * len(key))
-                incomplete.extend((np.logical_or.reduceat(~found, starts[:-1]) & (order > 1)).tolist())
-                flags = (~found).astype(np.uint8).tobytes()
-                missed.extend(flags[a:b] if order > 1 else None for a, b in zip(starts[:-1], starts[1:], strict=True))
-                pending.clear()
-
-            for bucket, kind, key, gram, *number in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if bucket != current:
-                    answer()
-                    current, table, known = bucket, _Table(), None
-                if kind == _COUNT:
-                    table.add(gram, *number)
-                else:
-                    if known is None:
-                        known = table.known(total if order == 1 else None)
-                        table = _Table()
-                    pending.append((key, gram, *number))
-            answer()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys, pa.int64()),
-                    pa.array(places, pa.int32()),
-                    pa.array(scores, pa.float64()),
-                    pa.array(missed, pa.binary()),
-                    pa.array(incomplete, pa.bool_()),
-                ],
-                ["key", "bucket", "score", "missed", "lost"],
-            )
-
-    return placed.mapInArrow(run, "key bigint, bucket int, score double, missed binary, lost boolean")
-
-
-def _release(spark) -> None:
-    """Let Spark's cleaner delete the shuffle files of frames that are no longer held."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+            for _, part in slices(batch["text"].to_pylist(), SLICE_BYTES):
+                rows = [*_partial(Words(part, max(orders)), orders, buckets, None, True)]
+                yield from _table(rows, _PARTS).to_batches()
+        give_back()
+
+    return corpus.select("text").mapInArrow(run, PARTS)
+
+
+def _totals(parts: DataFrame) -> DataFrame:
+    """For each slice its n-grams' counts in the corpus, in the order of their hashes."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        n, bucket = rows["n"][0].as_py(), rows["bucket"][0].as_py()
+        held = [_unpacked(blob) for blob in rows["grams"].to_pylist()]
+        cuts = np.cumsum([0, *map(len, held)])
+        grams, which = np.unique(np.concatenate(held), return_inverse=True)
+        sums = []
+        for name in ("counts", "ends"):
+            sum_ = np.zeros(len(grams), np.int64)
+            for blob, a, b in zip(rows[name].to_pylist(), cuts[:-1], cuts[1:], strict=True):
+                if blob is not None:
+                    # The n-grams of a part are distinct.
+                    sum_[which[a:b]] += _read(blob, b - a)
+            sums.append(sum_)
+        out = [
+            (number, n, bucket, b - a, *(_numbers(x[which[a:b]]) for x in sums))
+            for number, a, b in zip(rows["slice"].to_pylist(), cuts[:-1], cuts[1:], strict=True)
+            if number is not None
+        ]
+        out = _table(out, _TOTALS)
+        give_back()
+        return out
+
+    return parts.groupBy("n", "bucket").applyInArrow(run, TOTALS)
+
+
+def _own(words: Words, which: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """How often the n-gram of each word occurs in the word's own text, a part of the corpus."""
+    out = np.ones(len(which), np.int64)
+    several = counts > 1
+    pairs = words.text[several] * (int(which.max()) + 1) + which[several]
+    _, at, mine = np.unique(pairs, return_inverse=True, return_counts=True)
+    out[several] = mine[at]
+    return out
+
+
+def _log_scores(
+    words: Words, totals: dict[int, tuple[np.ndarray, np.ndarray]], order: int, total: int, texts: int, alpha: float, own: bool
+) -> np.ndarray:
+    """Each word's score.
+
+    ``totals`` are an order's counts and ends for the sorted distinct n-grams. The count of a
+    context is that of the n-gram one shorter that ends at the word before, less its ends.
+    """
+    rest = np.maximum(1, total - words.lengths[words.text] * own)
+    scores = np.log(0.5 / rest)
+    above = rest
+    for n in range(1, order + 1):
+        _, which = np.unique(words.grams(n), return_inverse=True)
+        left, ends = (x[which] for x in totals[n])
+        if own:
+            closing = np.zeros(len(words.lengths), np.int64)
+            closing[words.text[words.last]] = which[words.last]
+            left = left - _own(words, which, left)
+            ends = ends - (closing[words.text] == which)
+        found = left > 0
+        if n > 1:
+            scores += math.log(alpha)
+        scores[found] = np.log(left[found] / above[found])
+        above = np.roll(left - ends, 1)
+        above[words.first] = texts - own
+    return scores
 
 
 def score(
@@ -299,12 +212,12 @@ def score(
     says that the rows of ``docs`` are rows of ``corpus``: each is scored by the counts of all other
     rows, its own counts being taken off those of its n-grams, their contexts and all words.
 
-    Per order: the tables are partial counts dealt out by the context's hash, the n-grams of each
-    document, with its own counts of them, go to the same partitions, and what is found is summed
-    per document. Only documents with n-grams not found take part in the next round; without any,
-    the scores are complete. The
-    number of hash partitions follows the corpus, so that one holds the n-grams of at most about
-    BUCKET_BYTES of text; a document has at most one row per partition and never more than words.
+    The texts are dealt by hash into slices of about SLICE_BYTES. A slice sends its distinct
+    n-grams with their counts to buckets by hash, where they are summed over the corpus, and gets
+    the sums back in the same order; then each of its texts is scored. A frequent n-gram is sent
+    once per slice. The highest order goes first and alone, so that the n-grams of two high orders
+    are not on disk at once. The numbers of slices and buckets follow the texts, so a bucket holds the
+    n-grams of at most about BUCKET_BYTES of text.
 
     Words are runs of anything but ASCII white space. NULL and empty texts have no words, log_score 0 and
     per_word NULL. Repeated rows get equal scores. Extra columns are not read. With an empty corpus
@@ -312,42 +225,50 @@ def score(
     """
     spark = docs.sparkSession
     ship(spark)
+    same = own and docs is corpus
     rows = pick(docs, doc_id=id_col, text=text_col).select("doc_id", content().alias("text"))
-    rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
     counted = pick(corpus, text=text_col).select(content().alias("text"))
-    spaces = F.lit(r"[^\x20\x09-\x0D]+")
-    words = F.regexp_count(F.col("text").cast("string"), spaces).cast("bigint")
-    sizes = counted.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.coalesce(F.sum(words), F.lit(0))).first()
-    size, total = sizes
-    buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
-
-    known = stage(rows.groupBy("key").agg(F.count("*").alias("copies"), F.max(words).alias("n_words")), "lm-texts")
-    sums: DataFrame | None = None
-    pending = rows.select("key", "text")
-    for n in range(order, 0, -1):
-        asked = _asked(pending, n, buckets, n == order, own)
-        answers = stage(_looked_up(asked, count_tables(counted, n, buckets), n, total, alpha), f"lm-order-{n}")
-        del asked
-        part = answers.groupBy("key").agg(F.sum("score").alias("score"))
-        sums = part if sums is None else sums.unionByName(part)
-        if n == 1 or not answers.where("lost").take(1):
-            break
-        by_bucket = F.sort_array(F.collect_set(F.struct("bucket", "missed")))
-        lost = answers.groupBy("key").agg(by_bucket.alias("missed"), F.max("lost").alias("lost")).where("lost")
-        lost = lost.select("key", F.transform("missed", lambda x: x["missed"]).alias("missed"))
-        pending = rows.select("key", "text").join(lost, "key")
-        _release(spark)
-    _release(spark)
-    scored = sums.groupBy("key").agg(F.sum("score").alias("score"))
-    per_text = known.join(scored, "key", "left").select(
-        "key", "n_words", (F.coalesce("score", F.lit(0.0)) / F.col("copies")).alias("log_score")
-    )
-    return rows.select("doc_id", "key").join(per_text, "key").select(
-        "doc_id",
-        "n_words",
-        "log_score",
-        F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")).alias("per_word"),
-    )
+    words = F.regexp_count(F.col("text").cast("string"), F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint")
+    of_bytes = F.coalesce(F.sum(F.octet_length("text")), F.lit(0))
+    size, total, texts = counted.agg(of_bytes, F.coalesce(F.sum(words), F.lit(0)), F.count_if(words > 0)).first()
+    asked = size if same else rows.agg(of_bytes).first()[0]
+    buckets = max(LEAST_BUCKETS, -(-(size if same else size + asked) // BUCKET_BYTES))
+    number = F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-asked // SLICE_BYTES))))
+    placed = rows.select(number.cast("bigint").alias("slice"), "doc_id", "text")
+
+    answers: DataFrame | None = None
+    rounds = [*((n,) for n in range(order, 2, -1)), tuple(range(min(order, 2), 0, -1))]
+    for orders in rounds:
+        parts = _asked(placed, orders, buckets, same)
+        if not same:
+            parts = parts.unionByName(_counted(counted, orders, buckets))
+        answer = stage(_totals(parts), f"lm-order-{orders[0]}")
+        answers = answer if answers is None else answers.unionByName(answer)
+
+    def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        found = Words(rows["text"].to_pylist(), order)
+        held: dict[int, list[tuple]] = {n: [] for n in range(1, order + 1)}
+        for row in answers.to_pylist():
+            held[row["n"]].append((row["bucket"], row["size"], row["counts"], row["ends"]))
+        sums = np.zeros(rows.num_rows)
+        if len(found.text):
+            # Buckets follow the hashes, so their answers in order are those of the sorted n-grams.
+            totals = {
+                n: tuple(np.concatenate([_read(x[k], x[1]) for x in sorted(parts)]) for k in (2, 3))
+                for n, parts in held.items()
+            }
+            scores = _log_scores(found, totals, order, total, texts, alpha, own)
+            sums = np.bincount(found.text, scores, len(sums))
+        n_words = pa.array(found.lengths)
+        log_score = pa.array(sums)
+        per_word = pa.array(sums / np.maximum(1, found.lengths), mask=found.lengths == 0)
+        out = pa.table({"doc_id": rows["doc_id"], "n_words": n_words, "log_score": log_score, "per_word": per_word})
+        give_back()
+        return out
+
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    pairs = placed.groupBy("slice").cogroup(answers.groupBy("slice"))
+    return pairs.applyInArrow(run, f"doc_id {id_type}, n_words bigint, log_score double, per_word double")
 
 
 def score_corpus(docs: DataFrame, **options) -> DataFrame:

@@ -204,6 +204,34 @@ def test_lm_scores_of_a_corpus_leave_out_the_own_text(docs):
     assert [g[2] for g in got] == pytest.approx([w[2] for w in want])
 
 
+@pytest.mark.parametrize("order", [1, 2, 4])
+def test_lm_scores_do_not_depend_on_slices_and_buckets(docs, monkeypatch, order):
+    columns = "doc_id", "n_words", "log_score"
+    for whole, other in (
+        (lm_scoring.score_corpus, docs),
+        (lambda d, order: lm_scoring.score(d, docs.where("doc_id % 2 = 1"), order=order), docs),
+    ):
+        want = found(whole(other, order=order), *columns)
+        with monkeypatch.context() as m:
+            m.setattr(lm_scoring, "SLICE_BYTES", 3000)
+            m.setattr(lm_scoring, "LEAST_BUCKETS", 5)
+            got = found(whole(other, order=order), *columns)
+        assert [g[:2] for g in got] == [w[:2] for w in want]
+        assert [g[2] for g in got] == pytest.approx([w[2] for w in want])
+
+
+def test_lm_counts_and_questions_are_sent_once(spark):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(50)], k=500)) for _ in range(40)]
+    rows = spark.createDataFrame([(0, t.encode()) for t in texts], "slice bigint, text binary")
+    sent = lm_scoring._asked(rows, (3,), 4, True).collect()
+    assert len(sent) == 4
+    distinct = {g for t in texts for w in [["", "", *t.split()]] for g in zip(w, w[1:], w[2:], strict=False)}
+    assert sum(len(r["grams"]) for r in sent) == 8 * len(distinct)
+    # A count, and how often the n-gram ends a text, take a byte each; nothing else goes along.
+    assert sum(len(r["counts"]) + len(r["ends"]) for r in sent) == 2 * len(distinct)
+
+
 def test_exact_groups(docs, empty):
     rows = corpus()
     size = Counter(r[1] or "" for r in rows)
