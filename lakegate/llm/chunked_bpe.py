@@ -11,13 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakegate.llm.common import content, give_back, pick, ship
-from lakegate.llm.encoder import SPECIAL, PieceEncoder, cut_at_spaces, slices
+from lakegate.llm.encoder import SPECIAL, PieceEncoder, safe_end, safe_start, slices
 
 #: A chunk ends where the hash of its last WINDOW bytes has CHUNK_BITS leading zero bits.
 WINDOW = 16
 CHUNK_BITS = 10
 #: Encoded chunks kept per Python worker, in bytes of text; beyond it the table starts anew.
 TABLE_BYTES = 16 * 1024 * 1024
+#: Pieces kept per Python worker since the last turn of the memo, and as many from before it.
+MEMO_PIECES = 300_000
 #: Text encoded at a time (a longer document is taken alone).
 SLICE_BYTES = 2 * 1024 * 1024
 _SEGMENT = 1024 * 1024
@@ -55,6 +57,24 @@ def chunk_ends(text: bytes, bits: int = CHUNK_BITS) -> list[int]:
     return [*out, whole] if whole else []
 
 
+def cut_parts(parts: list[bytes], dirty: set[bytes]) -> list[bytes]:
+    """``encoder.cut_at_spaces`` of a text split at its spaces, the pieces without their leading space.
+
+    ``dirty`` holds the inner parts that do not begin and end safely; the others are pieces of their own.
+    """
+    pieces, current = [], parts[0]
+    safe, last = safe_end(current), len(parts) - 1
+    for i, part in enumerate(parts[1:], 1):
+        clean = i < last and part not in dirty
+        if safe and (clean or safe_start(part)):
+            pieces.append(current)
+            current = part
+        else:
+            current = current + b" " + part
+        safe = clean or safe_end(part)
+    return [*pieces, current]
+
+
 @dataclass(slots=True)
 class Chunk:
     """An encoded chunk. ``head`` and ``tail`` are the texts outside its outermost safe cuts.
@@ -79,7 +99,8 @@ class ChunkEncoder:
     """
 
     def __init__(self, path: str, bits: int = CHUNK_BITS, table_bytes: int = TABLE_BYTES) -> None:
-        self.pieces = PieceEncoder(path, 600_000)
+        self.pieces = PieceEncoder(path, MEMO_PIECES)
+        self.older: dict[bytes, bytes] = {}
         self.bits, self.limit = bits, table_bytes
         self.table: dict[bytes, Chunk] = {}
         self.size = self.encoded = self.reused = self.widened = 0
@@ -100,7 +121,7 @@ class ChunkEncoder:
             self.table.clear()
             self.size = 0
         if len(self.pieces.memo) > self.pieces.limit:
-            self.pieces.memo.clear()
+            self.older, self.pieces.memo = self.pieces.memo, {}
         plans: list[list[bytes] | None] = []
         new: dict[bytes, list[bytes]] = {}
         for text in texts:
@@ -115,29 +136,63 @@ class ChunkEncoder:
                 if chunk in self.table or chunk in new:
                     self.reused += 1
                 else:
-                    new[chunk] = cut_at_spaces(chunk)
+                    new[chunk] = chunk.split(b" ")
             plans.append(chunks)
         self._add(new)
         whole = self._whole([t for t, plan in zip(texts, plans, strict=True) if plan is None])
         joined = self._join([p for p in plans if p is not None])
         return [next(whole) if plan is None else next(joined) for plan in plans]
 
+    def _learn(self, pieces: set[bytes]) -> None:
+        """Bring pieces that are not in the memo into it."""
+        known = pieces.intersection(self.older) if self.older else set()
+        self.pieces.memo.update((p, self.older[p]) for p in known)
+        self.pieces.learn(pieces - known)
+
     def _add(self, new: dict[bytes, list[bytes]]) -> None:
+        """Encode chunks that were split at their spaces.
+
+        Only pieces between two safe cuts are in the memo, so a part found there is such a piece.
+        """
         memo = self.pieces.memo
-        inner: set[bytes] = set()
-        for pieces in new.values():
-            inner.update(p[1:] for p in pieces[1:-1])
-        self.pieces.learn(inner.difference(memo))
-        for chunk, pieces in new.items():
+        found: list[list[bytes | None]] = []
+        unknown: set[bytes] = set()
+        for parts in new.values():
+            ids = list(map(memo.get, parts[1:-1]))
+            if None in ids:
+                unknown.update([p for p, x in zip(parts[1:-1], ids, strict=True) if x is None])
+            found.append(ids)
+        dirty = {p for p in unknown if not (safe_start(p) and safe_end(p))}
+        self._learn(unknown - dirty)
+        late: dict[bytes, list[bytes]] = {}
+        for (chunk, parts), ids in zip(new.items(), found, strict=True):
             self.size += len(chunk)
             self.encoded += 1
-            if len(pieces) < 3:
-                self.table[chunk] = Chunk(chunk)
+            if len(parts) < 4 or (dirty and not dirty.isdisjoint(parts[1:-1])):
+                late[chunk] = cut_parts(parts, dirty)
                 continue
-            ids = [memo[p[1:]] for p in pieces[1:-1]]
-            self.table[chunk] = Chunk(
-                pieces[0], b"".join(ids), (pieces[1], ids[0]), (pieces[-2], ids[-1]), pieces[-1]
-            )
+            # All inner parts are pieces; only the outer ones may belong to their neighbours.
+            ids = [memo[p] if x is None else x for p, x in zip(parts[1:-1], ids, strict=True)]
+            if not safe_end(parts[0]):
+                parts[:2] = [parts[0] + b" " + parts[1]]
+                del ids[0]
+            if not safe_start(parts[-1]):
+                parts[-2:] = [parts[-2] + b" " + parts[-1]]
+                del ids[-1:]
+            self._keep(chunk, parts, ids)
+        inner: set[bytes] = set()
+        for pieces in late.values():
+            inner.update(pieces[1:-1])
+        self._learn(inner.difference(memo))
+        for chunk, pieces in late.items():
+            self._keep(chunk, pieces, [memo[p] for p in pieces[1:-1]])
+
+    def _keep(self, chunk: bytes, pieces: list[bytes], ids: list[bytes]) -> None:
+        if not ids:
+            self.table[chunk] = Chunk(chunk)
+            return
+        first, last, tail = (b" " + pieces[i] for i in (1, -2, -1))
+        self.table[chunk] = Chunk(pieces[0], b"".join(ids), (first, ids[0]), (last, ids[-1]), tail)
 
     def _join(self, plans: list[list[bytes]]) -> Iterator[bytes]:
         """Ids of each document: chunk, repaired join, chunk, …"""

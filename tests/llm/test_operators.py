@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 from lakegate.llm import (
     chunked_bpe,
     decontaminate,
+    encoder,
     exact_dedup,
     jaccard_join,
     kd_sharding,
@@ -312,6 +313,44 @@ def test_chunked_bpe_equals_the_library(docs, empty):
     assert chunked_bpe.encode_decode(empty, path).count() == 0
 
 
+def _odd_texts(n: int) -> list[bytes]:
+    rng = random.Random(11)
+    words = ["plain", "Two,", "don't", "", "é", "\u0301x", "漢字", "x\u0301", "\n", "a\nb", "\t", "ünder", "“quoted”", "1234", "end."]
+    clean = [f"w{i}" for i in range(40)]
+    return [" ".join(rng.choices(words if i % 3 else clean, k=rng.randint(1, 60)) + rng.choices(clean, k=i % 7)).encode() for i in range(n)]
+
+
+def test_chunk_encoder_with_odd_ends_and_a_turning_memo():
+    path = tokenizer_file("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    texts = _odd_texts(300)
+    for limit in (10, 10_000):
+        tool = chunked_bpe.ChunkEncoder(path, bits=6)
+        tool.pieces.limit = limit
+        for text in texts:
+            assert tool.encode([text])[0].tolist() == tokenizer.encode(text.decode(), add_special_tokens=False).ids
+
+
+def test_parts_are_cut_as_texts_are():
+    for text in _odd_texts(300):
+        parts = text.split(b" ")
+        dirty = {p for p in parts[1:-1] if not (encoder.safe_start(p) and encoder.safe_end(p))}
+        first, *rest = encoder.cut_at_spaces(text)
+        assert chunked_bpe.cut_parts(parts, dirty) == [first, *(p[1:] for p in rest)]
+
+
+def test_frequent_pieces_outlive_a_turn_of_the_memo(monkeypatch):
+    tool = chunked_bpe.ChunkEncoder(tokenizer_file("word_bpe_49k.json"))
+    tool.pieces.limit = 50
+    learnt = Counter()
+    learn = tool.pieces.learn
+    monkeypatch.setattr(tool.pieces, "learn", lambda pieces: learnt.update(new := list(pieces)) or learn(new))
+    for i in range(20):
+        rare = [f"rare{i}x{k}" for k in range(60)]
+        tool.encode([" ".join(["begin", *(w for r in rare for w in (r, "often", "common")), "end"]).encode()])
+    assert learnt[b"often"] == learnt[b"common"] == 1
+
+
 def test_token_files_round_trip(spark, docs, empty):
     path = tokenizer_file("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
