@@ -135,21 +135,53 @@ def _batch(rows: list[tuple], *names: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=list(names))
 
 
+def gathered(labelled: DataFrame, opened: DataFrame) -> DataFrame:
+    """(bucket, node, label, top, members, outside): the rows of ``opened`` buckets, those of buckets
+    that overlap much under the smallest bucket's number, each node once.
+
+    Near copies and what is just too far from them meet in many buckets that differ by a few members,
+    and each would give the same pairs again. Buckets with one largest label and sizes within a factor
+    of two are put together where that makes fewer comparisons than all of them apart; ``outside``
+    counts the members of other labels.
+    """
+    kind = ["top", "class"]
+    opened = opened.withColumn("class", F.floor(F.log2("members")))
+    rows = labelled.select("bucket", "node", "label").join(opened, "bucket")
+    united = rows.select(*kind, "node", "label").distinct().groupBy(kind)
+    united = united.agg(F.count("*").alias("nodes"), F.count_if(F.col("label") != F.col("top")).alias("others"))
+    comparisons = lambda a, b: F.col(a).cast("double") * b
+    apart = opened.groupBy(kind).agg(
+        F.min("bucket").alias("one"), F.sum(comparisons("members", F.col("members") - F.col("largest"))).alias("apart")
+    )
+    fewer = apart.join(united, kind).where(comparisons("nodes", F.col("others")) < F.col("apart"))
+    placed = opened.join(fewer, kind, "left").select(
+        "bucket",
+        "top",
+        F.coalesce("one", "bucket").alias("into"),
+        F.coalesce("nodes", "members").alias("members"),
+        F.coalesce("others", F.col("members") - F.col("largest")).alias("outside"),
+    )
+    placed = stage(placed, "jaccard-gathered")
+    rows = labelled.select("bucket", "node", "label").join(placed, "bucket")
+    return rows.select(F.col("into").alias("bucket"), "node", "label", "top", "members", "outside").distinct()
+
+
 def across(labelled: DataFrame, opened: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """(low, high): all possible pairs of different labels in the ``opened`` buckets.
 
     Members outside a bucket's largest label are compared with all of its members, block by block;
     members of that label are not compared with each other. So a group of m near copies and a few
-    others costs about m rows for each block of the others.
+    others costs about m rows for each block of the others. Buckets that overlap much are compared
+    as one (:func:`gathered`); pairs that shared none of them are no links, and decided as such.
     """
+    rows = gathered(labelled, opened)
     inner = F.ceil(F.col("members") / BLOCK).cast("int")
-    outer = F.ceil((F.col("members") - F.col("largest")) / BLOCK).cast("int")
-    rows = labelled.select("bucket", "node", "label").join(opened, "bucket")
+    outer = F.ceil(F.col("outside") / BLOCK).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), count - 1))
-    inside = rows.withColumn("i", _dealt(inner)).withColumn("j", every(outer)).withColumn("outside", F.lit(0))
+    inside = rows.withColumn("i", _dealt(inner)).withColumn("j", every(outer)).withColumn("side", F.lit(0))
     outside = rows.where("label <> top").withColumn("i", every(inner)).withColumn("j", _dealt(outer))
-    columns = ["bucket", "i", "j", "outside", "node", "label"]
-    dealt = inside.select(columns).unionAll(outside.withColumn("outside", F.lit(1)).select(columns))
+    columns = ["bucket", "i", "j", "side", "node", "label"]
+    dealt = inside.select(columns).unionAll(outside.withColumn("side", F.lit(1)).select(columns))
     dealt = dealt.join(sketches, "node").select(*columns, "n", "sketch")
     group = ("bucket", "i", "j")
     spread = dealt.repartition(partitions(dealt.sparkSession), *group).sortWithinPartitions(*group)

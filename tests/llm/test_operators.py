@@ -383,6 +383,15 @@ def test_quality(spark, docs, empty):
     assert quality.classify(docs, labels.limit(0)).count() == docs.count()
 
 
+def test_quality_learns_without_a_second_python_worker(spark, docs, monkeypatch):
+    """No Python step feeds another one inside a task: two workers for each core would stay."""
+    learnt = []
+    monkeypatch.setattr(quality, "train", lambda found, labels, train=quality.train: learnt.append(found) or train(found, labels))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    assert quality.keep_good(docs, labels).count() == docs.count()
+    assert "MapInArrow" not in learnt[0]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_kd_shards(docs, empty):
     placed = kd_sharding.kd_shards(kd_sharding.metadata(docs.withColumn("lang", F.lit("a")).withColumn("source", F.lit(None).cast("string")).withColumn("n_chars", F.char_length("text"))), shards=8)
     rows = placed.collect()

@@ -126,3 +126,18 @@ def test_the_index_has_fewer_keys_than_tokens_however_many_sets(documents):
     assert rows < 0.6 * sum(map(len, sets))
     every = np.concatenate([jaccard_join.keys(t, join, schemes) for t in sets])
     assert len(np.unique(every)) > 0.99 * len(every)
+
+
+def test_buckets_that_overlap_are_compared_as_one(spark):
+    """Near copies (label 0) and others (a label each) in 20 buckets that differ by a member; and two
+    buckets of another label that share no other member, which stay apart."""
+    rows = [(b, n, 0 if n < 60 else n) for b in range(20) for n in range(90) if n != b]
+    rows += [(b, n, 100 if n < 110 else n) for b in (50, 51) for n in [*range(100, 110), b + 100]]
+    labelled = spark.createDataFrame(rows, "bucket bigint, node bigint, label bigint")
+    opened = [(b, 89, 59, 0) for b in range(20)] + [(b, 11, 10, 100) for b in (50, 51)]
+    opened = spark.createDataFrame(opened, "bucket bigint, members bigint, largest bigint, top bigint")
+    found: dict[tuple, list[int]] = {}
+    for r in set_links.gathered(labelled, opened).collect():
+        found.setdefault((r["bucket"], r["members"], r["outside"]), []).append(r["node"])
+    apart = {(b, 11, 1): [*range(100, 110), b + 100] for b in (50, 51)}
+    assert {k: sorted(v) for k, v in found.items()} == {(0, 90, 30): list(range(90)), **apart}
